@@ -89,7 +89,7 @@ def filter_valid(leads: DataFrame) -> Validated:
     )
 
 
-def _member(column: str, values: Iterable[str] | None) -> Column:
+def is_member(column: str, values: Iterable[str] | None) -> Column:
     allowed = sorted(values or ())
     if not allowed:
         return F.lit(False)
@@ -129,7 +129,7 @@ def score_breakdown(
         F.when(seen.isNull() | today, K.SCORE_NEW).when(recent, K.SCORE_LAST_WEEK).otherwise(0)
     )
     icp = F.when(
-        _member("category_slug", icp_categories) | _member("city_slug", icp_cities), K.SCORE_ICP
+        is_member("category_slug", icp_categories) | is_member("city_slug", icp_cities), K.SCORE_ICP
     ).otherwise(0)
     total = F.least(contact + source_score + recency_score + icp, F.lit(K.SCORE_CAP))
     return F.struct(
