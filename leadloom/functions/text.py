@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,3 +54,12 @@ def joined_nonempty(sep: str, *cols: Column | str) -> Column:
 
 def digits_only(c: Column | str) -> Column:
     return F.regexp_replace(col(c), r"(?U)\D", "")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and hand it to ``body``.
+
+    Inside lambdas nothing is shared between uses, so a parsed document referred to twice
+    would be parsed twice, for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

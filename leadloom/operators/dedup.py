@@ -33,17 +33,17 @@ def _rank() -> Column:
 def deduplicate(
     leads: DataFrame, as_of: datetime | str | Column, hot_rows: int = skew.HOT_ROWS
 ) -> Dedup:
-    """Best lead per key; the others become audit rows. Blank keys pass through."""
-    keyed = leads.where(not_blank("dedup_key"))
-    unkeyed = leads.where(~not_blank("dedup_key"))
-    kept = (
-        keyed.groupBy("dedup_key")
-        .agg(F.min_by(F.struct(*leads.columns), _rank()).alias("w"))
-        .select("w.*")
-        .unionByName(unkeyed)
-    )
+    """Best lead per key; the others become audit rows. Blank keys pass through.
+
+    A row without a key forms a group of its own, spread by ``seq``: one pass over the input
+    and no partition full of blank keys.
+    """
+    has_key = not_blank("dedup_key")
+    kept = _first_per_group(leads, has_key, "dedup_key", _rank())
 
-    narrow = keyed.select("dedup_key", "company_name", "seq", enrichment_count().alias("fields"))
+    narrow = leads.where(has_key).select(
+        "dedup_key", "company_name", "seq", enrichment_count().alias("fields")
+    )
     order = F.struct((-F.col("fields")).alias("poorer"), "company_name", "seq")
     keepers = (
         narrow.groupBy("dedup_key")
@@ -74,6 +74,16 @@ def deduplicate(
     return Dedup(kept, rejected)
 
 
+def _first_per_group(rows: DataFrame, has_key: Column, key: str, rank: Column) -> DataFrame:
+    """Lowest-ranked row per key; rows without a key all stay."""
+    shared = F.when(has_key, F.col(key)).alias("__key")
+    alone = F.when(~has_key, F.col("seq")).alias("__alone")
+    first = F.min_by(F.struct(*rows.columns), rank).alias("w")
+    # inline instead of "w.*": the optimizer would otherwise restate every later filter for
+    # each of the field aliases, which costs seconds of planning on wide rows.
+    return rows.groupBy(shared, alone).agg(first).select(F.inline(F.array("w")))
+
+
 def existing_keys(*tables: DataFrame, key_col: str = "dedup_key") -> DataFrame:
     """Distinct non-empty keys of one or more tables."""
     keys = [t.select(F.col(key_col).alias("dedup_key")).where(present("dedup_key")) for t in tables]
@@ -86,15 +96,13 @@ def filter_new_rows(rows: DataFrame, existing: DataFrame, key_col: str = "dedup_
     Rows without a key always pass. ``existing`` has one column ``dedup_key``.
     """
     has_key = present(key_col)
-    first = (
-        rows.where(has_key)
-        .groupBy(key_col)
-        .agg(F.min_by(F.struct(*rows.columns), "seq").alias("w"))
-        .select("w.*")
+    first = _first_per_group(rows, has_key, key_col, F.col("seq"))
+    # A keyless row gets a join value no stored key has, so blanks do not pile up in one task.
+    probe = F.when(has_key, F.col(key_col)).otherwise(
+        F.concat(F.lit("\u0001"), F.col("seq").cast("string"))
     )
     stored = existing.select(F.col("dedup_key").alias("__stored"))
-    fresh = first.join(stored, F.col(key_col) == F.col("__stored"), "left_anti")
-    return fresh.unionByName(rows.where(~has_key))
+    return first.join(stored, probe == F.col("__stored"), "left_anti")
 
 
 def fill_first(rows: DataFrame, key: str, order: str = "seq") -> DataFrame:

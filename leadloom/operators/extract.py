@@ -30,6 +30,7 @@ from leadloom.functions.text import (
     empty_to_null,
     first_present,
     joined_nonempty,
+    let,
     present,
     safe_str,
     strip,
@@ -64,7 +65,7 @@ def _listing(**fields: Column) -> Column:
 def _named(rows: Column) -> Column:
     """Listings that have a name; never NULL."""
     kept = F.filter(rows, lambda r: present(r["company_name"]))
-    return F.coalesce(kept, F.lit(None).cast(LISTING), F.expr(f"CAST(array() AS {LISTING})"))
+    return F.coalesce(kept, F.expr(f"CAST(array() AS {LISTING})"))
 
 
 def _text(c: Column) -> Column:
@@ -92,26 +93,46 @@ def columnar_listings(html: Column | str) -> Column:
         col(html),
         r'(?s)<script\s+id="__NEXT_DATA__"\s+type="application/json">(.*?)</script>', 1,
     )
-    props = F.from_json(block, _COLUMNAR_PAGE)["props"]["pageProps"]
-    listing = F.coalesce(props["listData"], props["listingData"])
-    names = F.coalesce(listing["results"]["columns"], listing["columns"])
-    data = F.coalesce(listing["results"]["data"], listing["data"])
-
-    def build(raw: Column) -> Column:
-        cells = F.from_json(raw, "ARRAY<STRING>")
-        cell = lambda n: _text(F.get(cells, F.array_position(names, n).cast("int") - 1))
-        nested = F.from_json(cell("bd_params"), _NESTED)["cmp_params"]
-        own_site = company_website(with_scheme(cell("website")))
+    fields = ["name", "VNumber", "NewAddress", "area", "city", "type", "email", "website", "bd_params"]
+
+    def listing(cell: Column, nested: Column) -> Column:
+        own_site = company_website(with_scheme(cell["website"]))
         return _listing(
-            company_name=cell("name"),
+            company_name=cell["name"],
             website=F.coalesce(own_site, company_website(with_scheme(nested["website"]))),
-            email=first_present(cell("email"), nested["email"]),
-            phone=clean_phone(first_present(cell("VNumber"), nested["misc"])),
-            address=safe_str(joined_nonempty(", ", cell("NewAddress"), cell("area"), cell("city"))),
-            industry_code=safe_str(cell("type")),
+            email=first_present(cell["email"], nested["email"]),
+            phone=clean_phone(first_present(cell["VNumber"], nested["misc"])),
+            address=safe_str(joined_nonempty(", ", cell["NewAddress"], cell["area"], cell["city"])),
+            industry_code=safe_str(cell["type"]),
+        )
+
+    def row(raw: Column, at: Column) -> Column:
+        picked = let(
+            F.from_json(raw, "ARRAY<STRING>"),
+            lambda cells: F.struct(*[_text(F.get(cells, at[f])).alias(f) for f in fields]),
+        )
+        return let(
+            picked,
+            lambda cell: let(
+                F.from_json(cell["bd_params"], _NESTED)["cmp_params"],
+                lambda nested: listing(cell, nested),
+            ),
+        )
+
+    def rows(page: Column) -> Column:
+        names = F.coalesce(page["results"]["columns"], page["columns"])
+        data = F.coalesce(page["results"]["data"], page["data"])
+        at = lambda n: F.struct(
+            *[(F.array_position(n, f).cast("int") - 1).alias(f) for f in fields]
         )
+        lists = F.filter(data, lambda r: F.ltrim(r).startswith("["))
+        return let(let(names, at), lambda index: F.transform(lists, lambda r: row(r, index)))
 
-    return _named(F.transform(F.filter(data, lambda r: F.ltrim(r).startswith("[")), build))
+    pages = let(
+        F.from_json(F.nullif(block, F.lit("")), _COLUMNAR_PAGE)["props"]["pageProps"],
+        lambda props: let(F.coalesce(props["listData"], props["listingData"]), rows),
+    )
+    return _named(pages)
 
 
 # --- assigned page state -----------------------------------------------------------------
@@ -130,29 +151,43 @@ def state_json(html: Column | str) -> Column:
 
 def state_listings(html: Column | str) -> Column:
     """Items of the page state; the phone comes from the ad of the same name (last ad wins)."""
-    text = state_json(html)
-    state = F.from_json(F.when(text.startswith("{"), text), _STATE)
-    ads = F.filter(
-        state["plaWidgetData"],
-        lambda a: (_text(a["COMPANYNAME"]) != "") & (_text(a["CONTACT_NUMBER"]) != ""),
-    )
 
-    def build(raw: Column) -> Column:
-        item = F.from_json(F.when(_is_object(raw), raw), _STATE_ITEM)
-        name = _text(item["CMP"])
-        same = F.filter(ads, lambda a: _text(a["COMPANYNAME"]) == name)
-        ad_phone = F.try_element_at(same, F.lit(-1))["CONTACT_NUMBER"]
-        s_url = _text(item["s_url"])
+    def listing(item: Column, name: Column, s_url: Column, ads: Column) -> Column:
+        same = F.filter(ads, lambda a: a["name"] == name)
         return _listing(
             company_name=name,
             website=F.when((s_url != "") & ~s_url.contains("indiamart.com"), s_url),
-            phone=clean_phone(ad_phone),
+            phone=clean_phone(F.try_element_at(same, F.lit(-1))["phone"]),
             address=safe_str(joined_nonempty(", ", *[_text(item[f]) for f in ("ad", "city", "g_s")])),
             industry_code=safe_str(_text(item["ds"]), 300),
             detail_url=profile_url(s_url),
         )
 
-    return _named(F.transform(state["data"], build))
+    def row(raw: Column, ads: Column) -> Column:
+        return let(
+            F.from_json(F.when(_is_object(raw), raw), _STATE_ITEM),
+            lambda item: let(
+                _text(item["CMP"]),
+                lambda name: let(
+                    _text(item["s_url"]), lambda s_url: listing(item, name, s_url, ads)
+                ),
+            ),
+        )
+
+    def rows(state: Column) -> Column:
+        trimmed = F.transform(
+            F.coalesce(state["plaWidgetData"], F.expr("CAST(array() AS ARRAY<STRUCT<COMPANYNAME: STRING, CONTACT_NUMBER: STRING>>)")),
+            lambda a: F.struct(
+                _text(a["COMPANYNAME"]).alias("name"), _text(a["CONTACT_NUMBER"]).alias("phone")
+            ),
+        )
+        usable = F.filter(trimmed, lambda a: (a["name"] != "") & (a["phone"] != ""))
+        return let(usable, lambda ads: F.transform(state["data"], lambda r: row(r, ads)))
+
+    parsed = let(
+        state_json(html), lambda text: F.from_json(F.when(text.startswith("{"), text), _STATE)
+    )
+    return _named(let(parsed, rows))
 
 
 # --- captured requests -------------------------------------------------------------------
@@ -171,12 +206,12 @@ _PAYLOAD_ITEM = ", ".join(
 
 
 def _payload_rows(body: Column) -> Column:
-    parsed = F.from_json(F.when(_is_object(body), body), _PAYLOAD)
     some = lambda a: F.when(F.size(a) > 0, a)
-    rows = F.coalesce(
-        some(parsed["data"]["searchOutput"]["results"]),
-        some(parsed["results"]),
-        some(parsed["listData"]),
+    rows = let(
+        F.from_json(F.when(_is_object(body), body), _PAYLOAD),
+        lambda p: F.coalesce(
+            some(p["data"]["searchOutput"]["results"]), some(p["results"]), some(p["listData"])
+        ),
     )
     return F.filter(rows, _is_object)
 
@@ -190,15 +225,18 @@ def best_payload(payloads: Column | str, site: str = "justdial") -> Column:
             _payload_rows(p["body"]).alias("rows"),
         ),
     )
-    usable = F.filter(parsed, lambda p: p["rows"].isNotNull())
-    own = F.filter(usable, lambda p: p["own"])
-    return F.coalesce(F.get(own, F.lit(0))["rows"], F.get(usable, F.lit(0))["rows"])
+    return let(
+        F.filter(parsed, lambda p: p["rows"].isNotNull()),
+        lambda usable: F.coalesce(
+            F.get(F.filter(usable, lambda p: p["own"]), F.lit(0))["rows"],
+            F.get(usable, F.lit(0))["rows"],
+        ),
+    )
 
 
 def payload_listings(payloads: Column | str) -> Column:
     """Listings of the chosen captured payload, field aliases coalesced."""
-    def build(raw: Column) -> Column:
-        item = F.from_json(raw, _PAYLOAD_ITEM)
+    def listing(item: Column) -> Column:
         pick = lambda *names: _text(first_present(*[item[n] for n in names]))
         return _listing(
             company_name=pick("name", "title"),
@@ -211,7 +249,8 @@ def payload_listings(payloads: Column | str) -> Column:
             industry_code=safe_str(pick("type", "category", "businessType")),
         )
 
-    return _named(F.transform(best_payload(payloads), build))
+    rows = F.transform(best_payload(payloads), lambda r: let(F.from_json(r, _PAYLOAD_ITEM), listing))
+    return _named(rows)
 
 
 # --- JSON-LD -----------------------------------------------------------------------------
@@ -234,37 +273,40 @@ def json_ld_blocks(html: Column | str) -> Column:
 def json_ld_listings(html: Column | str) -> Column:
     """Business nodes of all JSON-LD blocks, members of an ``@graph`` included."""
     def nodes(block: Column) -> Column:
-        graph = F.from_json(F.when(_is_object(block), block), _LD_GRAPH)["@graph"]
-        return F.when(graph.isNotNull(), F.filter(graph, _is_object)).otherwise(
-            F.when(_is_object(block), F.array(block))
+        only = F.when(_is_object(block), F.array(block))
+        return let(
+            F.from_json(F.when(_is_object(block), block), _LD_GRAPH)["@graph"],
+            lambda graph: F.when(graph.isNotNull(), F.filter(graph, _is_object)).otherwise(only),
+        )
+
+    def address(text: Column) -> Column:
+        parts = let(
+            F.from_json(text, _LD_ADDRESS),
+            lambda a: joined_nonempty(
+                ", ", *[_text(a[f]) for f in ("streetAddress", "addressLocality", "addressRegion")]
+            ),
         )
+        return F.when(_is_object(text), parts).otherwise(text)
 
-    def build(raw: Column) -> Column:
-        node = F.from_json(raw, _LD_NODE)
+    def listing(node: Column) -> Column:
+        point = node["contactPoint"]
         points = F.coalesce(
-            F.from_json(node["contactPoint"], "ARRAY<STRUCT<email: STRING>>"),
-            F.array(F.from_json(node["contactPoint"], "email STRING")),
+            F.from_json(point, "ARRAY<STRUCT<email: STRING>>"),
+            F.array(F.from_json(point, "email STRING")),
         )
         mails = F.filter(F.transform(points, lambda p: p["email"]), present)
-        parts = F.from_json(F.when(_is_object(node["address"]), node["address"]), _LD_ADDRESS)
-        address = F.when(
-            _is_object(node["address"]),
-            joined_nonempty(
-                ", ",
-                *[_text(parts[f]) for f in ("streetAddress", "addressLocality", "addressRegion")],
-            ),
-        ).otherwise(node["address"])
         typed = node["@type"].isNull() | node["@type"].isin(K.BUSINESS_TYPES)
         return _listing(
             company_name=F.when(typed, _text(node["name"])),
             website=company_website(blank_to_null(node["url"])),
             email=F.get(mails, F.lit(0)),
             phone=clean_phone(_text(node["telephone"])),
-            address=safe_str(address),
+            address=safe_str(address(node["address"])),
         )
 
     blocks = F.filter(F.transform(json_ld_blocks(html), nodes), lambda b: b.isNotNull())
-    return _named(F.transform(F.flatten(blocks), build))
+    rows = F.transform(F.flatten(blocks), lambda r: let(F.from_json(r, _LD_NODE), listing))
+    return _named(rows)
 
 
 # --- text fallback -----------------------------------------------------------------------
@@ -286,22 +328,21 @@ def text_listings(
     if distinct:
         names = F.array_distinct(names)
     h = col(html)
-    # One contact struct per page, shared by all its names.
-    contact = F.struct(
-        first_website(h).alias("website"), first_email(h).alias("email"),
-        first_phone(h).alias("phone"),
-    )
     cut = (lambda n: F.substring(n, 1, max_len)) if max_len else (lambda n: n)
-    with_contact = F.transform(
-        F.array(contact),
-        lambda c: F.transform(
-            names,
-            lambda n: _listing(
-                company_name=cut(n), website=c["website"], email=c["email"], phone=c["phone"]
-            ),
-        ),
-    )
-    return _named(F.when(F.size(names) > 0, F.flatten(with_contact)))
+
+    def with_contact(found: Column) -> Column:
+        # One contact struct per page, shared by all its names.
+        contact = F.struct(
+            first_website(h).alias("website"), first_email(h).alias("email"),
+            first_phone(h).alias("phone"),
+        )
+        listing = lambda n, c: _listing(
+            company_name=cut(n), website=c["website"], email=c["email"], phone=c["phone"]
+        )
+        rows = let(contact, lambda c: F.transform(found, lambda n: listing(n, c)))
+        return F.when(F.size(found) > 0, rows)
+
+    return _named(let(names, with_contact))
 
 
 def site_text_listings(html: Column | str, site: str) -> Column:

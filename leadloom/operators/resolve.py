@@ -247,7 +247,9 @@ def resolve(
         for e in elected
     ]
     leaders = reduce(DataFrame.unionByName, own + ([known] if known is not None else []))
-    return Resolution(_assign(rows, leaders, edges, records.columns, hot_rows), leaders)
+    resolved = _assign(rows, leaders, edges, records.columns, hot_rows)
+    # Node and edge tables, log and statistics all read the result: compute it once.
+    return Resolution(cut_lineage(resolved), leaders)
 
 
 def _assign(

@@ -1,15 +1,18 @@
-"""Joining rows back to a one-row-per-key summary when single keys can be huge.
+"""Joining rows back to a per-key summary when single keys can be huge.
 
 A summary (winner per key, cutoff per target, ...) is the result of an aggregation, so its
 side of the join is not a plain exchange and adaptive skew-join splitting does not apply.
 Hot keys are therefore handled explicitly. A key is hot when it owns more than ``hot_rows``
 rows, hence at most ``total_rows / hot_rows`` keys are hot, whatever the data looks like:
-that is the bound that makes broadcasting the hot part safe. Hot rows never shuffle; the
-rest takes the ordinary shuffle join.
+that is the bound that makes broadcasting the hot part safe. Everything else takes the
+ordinary shuffle join. Rows are read once: those that found their hot key go through the
+shuffle under an artificial key that spreads them evenly and matches nothing.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,34 +25,34 @@ def attach(
     keys: list[str],
     weight: str,
     hot_rows: int = HOT_ROWS,
-    keep_unmatched: bool = False,
     on: Column | None = None,
 ) -> DataFrame:
-    """Join ``rows`` to ``summary``, where ``weight`` counts the rows of a summary key.
+    """Inner join of ``rows`` and ``summary``; ``weight`` counts the rows of a summary key.
 
-    ``on`` adds a non-equality condition (it must name only columns unique to one side).
-    The summary may hold several rows per key as long as each row carries the key's weight.
+    The first key must be text, and rows need a distinguishing column (``seq``). A summary
+    may hold several rows per key, each carrying the key's weight; ``on`` then picks among
+    them.
     """
-    is_hot = F.col(weight) > F.lit(hot_rows)
-    hot = F.broadcast(summary.where(is_hot).drop(weight))
-    cold = summary.where(~is_hot).drop(weight)
-    how = "left" if keep_unmatched else "inner"
-
-    def joined(left: DataFrame, right: DataFrame, kind: str) -> DataFrame:
-        if on is None:
-            return left.join(right, keys, kind)
-        renamed = right.select(
-            *[F.col(k).alias(f"__{k}") for k in keys],
-            *[c for c in right.columns if c not in keys],
-        )
-        cond = on
-        for k in keys:
-            cond = cond & (F.col(k) == F.col(f"__{k}"))
-        return left.join(renamed, cond, kind).drop(*[f"__{k}" for k in keys])
-
-    hot_keys = F.broadcast(summary.where(is_hot).select(*keys).distinct())
-    if keep_unmatched and on is not None:
-        raise ValueError("a range condition cannot be combined with keep_unmatched")
-    hot_rows_joined = joined(rows, hot, "inner")
-    cold_rows_joined = joined(rows.join(hot_keys, keys, "left_anti"), cold, how)
-    return cold_rows_joined.unionByName(hot_rows_joined)
+    values = [c for c in summary.columns if c not in keys and c != weight]
+    packed = summary.select(*keys, weight, F.struct(*values).alias("s"))
+    side = lambda cond, tag: packed.where(cond).select(
+        *[F.col(k).alias(f"__{tag}_{k}") for k in keys], F.col("s").alias(f"__{tag}")
+    )
+    hot = F.broadcast(side(F.col(weight) > F.lit(hot_rows), "hot"))
+    cold = side(F.col(weight) <= F.lit(hot_rows), "cold")
+
+    equal = lambda tag, ks: [F.col(k) == F.col(f"__{tag}_{k}") for k in ks]
+    with_hot = rows.join(hot, reduce(Column.__and__, equal("hot", keys)), "left")
+    missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    settled = F.col("__hot").isNotNull() | missing
+    spread = F.concat(F.lit("\u0001"), F.xxhash64(*rows.columns).cast("string"))
+    probe = F.when(settled, spread).otherwise(F.col(keys[0]))
+    cold_match = reduce(
+        Column.__and__, [probe == F.col(f"__cold_{keys[0]}"), *equal("cold", keys[1:])]
+    )
+    joined = with_hot.join(cold, cold_match, "left")
+    found = joined.withColumn("__s", F.coalesce("__hot", "__cold")).where(
+        F.col("__s").isNotNull()
+    )
+    out = found.select(*rows.columns, "__s.*")
+    return out if on is None else out.where(on)
