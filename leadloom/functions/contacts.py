@@ -15,19 +15,29 @@ from leadloom.constants import (
     UNVERIFIED_PREFIX,
     URL_PATTERN,
 )
-from leadloom.functions.text import blank_to_null, col, not_blank, present, strip
+from leadloom.functions.text import blank_to_null, col, let, not_blank, present, strip
 from leadloom.functions.urls import drop_www, is_directory_host
 
 MIN_PHONE, MAX_PHONE = 10, 15
 
 
+# Long texts rarely hold a contact, so each extractor first looks for what every match must
+# contain; the pattern itself runs only on texts that have it.
+
+
+def _with_at(text: Column | str) -> Column:
+    return F.when(col(text).contains("@"), col(text))
+
+
 def emails(text: Column | str) -> Column:
     """All e-mail addresses in order of appearance."""
-    return F.regexp_extract_all(col(text), F.lit(EMAIL_PATTERN), F.lit(0))
+    found = F.regexp_extract_all(_with_at(text), F.lit(EMAIL_PATTERN), F.lit(0))
+    none = F.when(col(text).isNotNull(), F.expr("CAST(array() AS ARRAY<STRING>)"))
+    return F.coalesce(found, none)
 
 
 def first_email(text: Column | str) -> Column:
-    return F.nullif(F.regexp_extract(col(text), EMAIL_PATTERN, 0), F.lit(""))
+    return F.nullif(F.regexp_extract(_with_at(text), EMAIL_PATTERN, 0), F.lit(""))
 
 
 def _phone_chars(c: Column) -> Column:
@@ -38,22 +48,33 @@ def _first_match(text: Column, pattern: str) -> Column:
     return F.nullif(_phone_chars(F.regexp_extract(text, "(?U)" + pattern, 0)), F.lit(""))
 
 
+def _dialable(text: Column | str) -> Column:
+    """Text reduced to its digit groups, NULL when no six digits follow each other.
+
+    The phone patterns allow one separator at most between digits or plus signs, so a longer
+    gap can never lie inside a match and shrinks to one mark.
+    """
+    c = col(text)
+    return F.when(c.rlike(r"(?U)\d{6}"), F.regexp_replace(c, r"(?U)[^\d+]{2,}", "#"))
+
+
 def first_mobile(text: Column | str) -> Column:
     """First mobile number, cut to 15 characters."""
-    return F.substring(_first_match(col(text), MOBILE_PATTERN), 1, MAX_PHONE)
+    return F.substring(_first_match(_dialable(text), MOBILE_PATTERN), 1, MAX_PHONE)
 
 
 def first_phone(text: Column | str) -> Column:
     """First mobile, else international, else landline number (first match of each)."""
-    t = col(text)
-    mobile = _first_match(t, MOBILE_PATTERN)
-    foreign = _first_match(t, INTERNATIONAL_PATTERN)
-    found = F.coalesce(
-        F.when(F.length(mobile) >= MIN_PHONE, mobile),
-        F.when(F.length(foreign) >= MIN_PHONE, foreign),
-        _first_match(t, LANDLINE_PATTERN),
-    )
-    return F.substring(found, 1, MAX_PHONE)
+    def find(t: Column) -> Column:
+        mobile = _first_match(t, MOBILE_PATTERN)
+        foreign = _first_match(t, INTERNATIONAL_PATTERN)
+        return F.coalesce(
+            F.when(F.length(mobile) >= MIN_PHONE, mobile),
+            F.when(F.length(foreign) >= MIN_PHONE, foreign),
+            _first_match(t, LANDLINE_PATTERN),
+        )
+
+    return F.substring(let(_dialable(text), find), 1, MAX_PHONE)
 
 
 def clean_phone(c: Column | str) -> Column:
@@ -64,12 +85,14 @@ def clean_phone(c: Column | str) -> Column:
 
 def websites(html: Column | str) -> Column:
     """Distinct company URLs in order: scripts, styles and directory hosts are ignored."""
-    visible = F.regexp_replace(col(html), r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
+    linked = F.when(col(html).contains("http"), col(html))
+    visible = F.regexp_replace(linked, r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
     urls = F.regexp_extract_all(visible, F.lit("(?U)" + URL_PATTERN), F.lit(0))
     host = lambda u: drop_www(F.lower(F.regexp_extract(u, r"https?://([^/?#]+)", 1)))
     own = F.filter(urls, lambda u: host(u).contains(".") & ~is_directory_host(host(u)))
     cut = lambda u: F.regexp_replace(F.regexp_replace(u, r"\?.*$", ""), r"/+$", "")
-    return F.array_distinct(F.transform(own, cut))
+    none = F.when(col(html).isNotNull(), F.expr("CAST(array() AS ARRAY<STRING>)"))
+    return F.coalesce(F.array_distinct(F.transform(own, cut)), none)
 
 
 def first_website(html: Column | str) -> Column:

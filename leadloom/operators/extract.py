@@ -53,7 +53,7 @@ class Parsed(NamedTuple):
 
 def page_text(content: Column | str, binary: bool = False) -> Column:
     """Page text; binary captures are decoded as UTF-8 with bad bytes replaced."""
-    return F.decode(col(content), "UTF-8") if binary else col(content)
+    return F.make_valid_utf8(col(content).cast("string")) if binary else col(content)
 
 
 def _listing(**fields: Column) -> Column:

@@ -153,8 +153,7 @@ def _with_minima(
 
 
 def _elect_leaders(
-    types: DataFrame, edges: DataFrame | None, registry: DataFrame | None, max_rounds: int,
-    hot_rows: int,
+    types: DataFrame, edges: DataFrame, known: DataFrame | None, max_rounds: int, hot_rows: int,
 ) -> list[DataFrame]:
     """Types that found no earlier leader when their first record arrived.
 
@@ -163,26 +162,24 @@ def _elect_leaders(
     neighbour is undecided. All types advance together; on tangled inputs the number of
     rounds grows with the longest alternating chain, typically logarithmically.
     """
-    open_ = cut_lineage(types.withColumn("state", F.lit("open")))
-    fresh = registry
+    open_ = types.withColumn("state", F.lit("open"))
+    fresh = open_.where(F.lit(False))
+    if known is not None:
+        fresh = known.select(
+            *_CAND, F.col("leader_key").alias("entity_key"), F.col("leader_seq").alias("seq")
+        )
     elected: list[DataFrame] = []
     for _ in range(max_rounds):
         total = open_.count()
         if total == 0:
             return elected
-        if fresh is None:
-            fresh = open_.limit(0)
         by_key = _seq_minima(["entity_key"], fresh, open_)
         judged = _with_minima(
             open_.drop("state"), by_key, ["entity_key"], ("key_lead", "key_wait"), total, hot_rows
         )
-        if edges is not None:
-            near = edges.join(_seq_minima(_CAND, fresh, open_), _CAND)
-            near = near.groupBy(*_NODE).agg(F.min("lead").alias("lead"), F.min("wait").alias("wait"))
-            judged = _with_minima(judged, near, _NODE, ("name_lead", "name_wait"), total, hot_rows)
-        else:
-            none = F.lit(None).cast("bigint")
-            judged = judged.withColumns({"name_lead": none, "name_wait": none})
+        near = edges.join(_seq_minima(_CAND, fresh, open_), _CAND)
+        near = near.groupBy(*_NODE).agg(F.min("lead").alias("lead"), F.min("wait").alias("wait"))
+        judged = _with_minima(judged, near, _NODE, ("name_lead", "name_wait"), total, hot_rows)
         seq = F.col("seq")
         earlier = lambda c: F.coalesce(F.col(c) < seq, F.lit(False))
         state = (
@@ -217,7 +214,10 @@ def resolve(
     rows = with_identity(records)
     types = (
         rows.groupBy(*_NODE, "entity_key", F.col("phone_key").isNotNull().alias("has_phone"))
-        .agg(F.min("seq").alias("seq"), F.min_by("stored_name", "seq").alias("leader_name"))
+        .agg(
+            F.min("seq").alias("seq"), F.min_by("stored_name", "seq").alias("leader_name"),
+            F.count("*").alias("type_rows"),
+        )
         .withColumn("cand_form", fuzzy_form("leader_name"))
         .withColumn("cand_norm", F.col("in_norm"))
     )
@@ -232,13 +232,9 @@ def resolve(
         edges = cut_lineage(
             similar_names(types.select(*_NODE).distinct(), candidates.distinct(), threshold)
         )
-
-    seeds = None
-    if known is not None:
-        seeds = known.select(
-            *_CAND, F.col("leader_key").alias("entity_key"), F.col("leader_seq").alias("seq")
-        )
-    elected = _elect_leaders(types, edges, seeds, max_rounds, hot_rows)
+        elected = _elect_leaders(types, edges, known, max_rounds, hot_rows)
+    else:
+        elected = [_first_per_key(types, known)]
     own = [
         e.select(
             F.col("entity_key").alias("leader_key"), "leader_name", *_CAND,
@@ -247,21 +243,33 @@ def resolve(
         for e in elected
     ]
     leaders = reduce(DataFrame.unionByName, own + ([known] if known is not None else []))
-    resolved = _assign(rows, leaders, edges, records.columns, hot_rows)
+    resolved = _assign(rows, types, leaders, edges, records.columns, hot_rows)
     # Node and edge tables, log and statistics all read the result: compute it once.
     return Resolution(cut_lineage(resolved), leaders)
 
 
+def _first_per_key(types: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Leaders without fuzzy matching: the first type of every key not stored yet."""
+    first = (
+        types.groupBy("entity_key")
+        .agg(F.min_by(F.struct("leader_name", *_CAND, "seq"), "seq").alias("w"))
+        .select("entity_key", "w.*")
+    )
+    if known is None:
+        return first
+    return first.join(known.select(F.col("leader_key").alias("entity_key")), "entity_key", "left_anti")
+
+
 def _assign(
-    rows: DataFrame, leaders: DataFrame, edges: DataFrame | None, columns: list[str],
-    hot_rows: int,
+    rows: DataFrame, types: DataFrame, leaders: DataFrame, edges: DataFrame | None,
+    columns: list[str], hot_rows: int,
 ) -> DataFrame:
     """Match of every record among the leaders that existed when it arrived."""
     by_key = leaders.select(
         F.col("leader_key").alias("entity_key"), F.col("leader_seq").alias("key_seq"),
         F.col("leader_name").alias("key_name"),
     )
-    key_sizes = rows.groupBy("entity_key").agg(F.count("*").alias("key_rows"))
+    key_sizes = types.groupBy("entity_key").agg(F.sum("type_rows").alias("key_rows"))
     out = skew.attach(
         rows, key_sizes.join(by_key, "entity_key", "left"), ["entity_key"], "key_rows", hot_rows
     )
@@ -274,7 +282,7 @@ def _assign(
             .groupBy(*_NODE, "leader_seq")
             .agg(F.min(_best()).alias("b"))
         )
-        nodes = rows.groupBy(*_NODE).agg(F.count("*").alias("node_rows"))
+        nodes = types.groupBy(*_NODE).agg(F.sum("type_rows").alias("node_rows"))
         start = nodes.select(
             *_NODE, F.lit(-2).cast("bigint").alias("leader_seq"),
             F.lit(None).cast(steps.schema["b"].dataType).alias("b"),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom import constants as K
+from leadloom.operators.extract import page_text
 from leadloom.operators.graph import Graph
 from leadloom.operators.report import dashboard_rows
 from leadloom.operators.resolve import review_lines
@@ -126,9 +127,9 @@ def read_record_batch(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str, binary: bool = False) -> DataFrame:
-    """Captured pages; binary captures are decoded as UTF-8."""
+    """Captured pages; binary captures are decoded as UTF-8, bad bytes replaced."""
     pages = spark.read.parquet(path)
-    return pages.withColumn("html", F.decode("html", "UTF-8")) if binary else pages
+    return pages.withColumn("html", page_text("html", binary=True)) if binary else pages
 
 
 def read_legacy_leads(spark: SparkSession, path: str) -> DataFrame:
