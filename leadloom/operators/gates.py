@@ -96,7 +96,32 @@ def run_summary(
     )
 
 
+def staged_summary(leads: DataFrame, staged: DataFrame, errors: DataFrame) -> DataFrame:
+    """The counts of :func:`run_summary` once the valid leads are stored.
+
+    Rejected and invalid rows follow from key counts, so this reads three columns of the
+    leads instead of running deduplication again.
+    """
+    keyed = not_blank("dedup_key")
+    enriched = F.count_if(F.col("employee_count").isNotNull() | F.col("revenue_band").isNotNull())
+    duplicates = F.count_if(keyed) - F.count_distinct(F.when(keyed, F.col("dedup_key")))
+    counts = leads.agg(
+        F.count("*").alias("scraped"), enriched.alias("enriched_count"),
+        duplicates.alias("rejected_duplicates"),
+    )
+    stored = _one_row(
+        {"kept_after_validation": (staged, F.count("*")), "errors": (errors, F.count("*"))}
+    )
+    # Two single-row inputs.
+    both = counts.withColumn("one", F.lit(1)).join(stored.withColumn("one", F.lit(1)), "one")
+    invalid = F.col("scraped") - F.col("rejected_duplicates") - F.col("kept_after_validation")
+    return both.select(
+        "scraped", "enriched_count", "kept_after_validation", "rejected_duplicates", "errors",
+        invalid.alias("invalid_records"),
+    )
+
+
 __all__ = [
     "ThresholdExceeded", "failure_gate", "require_gate", "promotable", "promote",
-    "run_summary", "present",
+    "run_summary", "staged_summary", "present",
 ]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom import constants as K
+from leadloom import skew
 from leadloom.functions.contacts import mark_unverified
 from leadloom.functions.text import empty_to_null, first_present, not_blank, present, strip
 from leadloom.functions.urls import is_valid_url, site_key, source_name
@@ -177,15 +178,18 @@ def rescore_from_companies(
 
     ``resolved`` maps ``seq`` to a company key; all three inputs are distributed tables.
     """
+    linked = resolved.select("seq", F.col("dedup_key").alias("company_key"))
+    sizes = linked.groupBy("company_key").agg(F.count("*").alias("company_rows"))
     company_sources = companies.select(
         F.col("dedup_key").alias("company_key"), F.col("sources").alias("company_sources")
+    ).join(sizes, "company_key")
+    found = skew.attach(
+        leads.join(linked, "seq"), company_sources, ["company_key"], "company_rows"
     )
-    linked = resolved.select("seq", F.col("dedup_key").alias("company_key"))
     enriched = (
-        leads.join(linked, "seq", "left")
-        .join(company_sources, "company_key", "left")
-        .withColumn("sources", F.coalesce("company_sources", "sources"))
+        found.withColumn("sources", F.coalesce("company_sources", "sources"))
         .drop("company_key", "company_sources")
+        .unionByName(leads.join(linked.select("seq"), "seq", "left_anti"))
     )
     return score_leads(enriched, as_of, icp_categories, icp_cities)
 

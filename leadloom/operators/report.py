@@ -56,11 +56,12 @@ def source_counts(leads: DataFrame) -> DataFrame:
 
 
 def dashboard_rows(leads: DataFrame) -> DataFrame:
-    """Dashboard dataset: eight columns plus the derived source, ordered by name."""
-    return (
-        leads.select(*DASHBOARD_COLUMNS)
-        .withColumn("source", source_label("source_url", "dashboard"))
-        .orderBy("company_name")
+    """Dashboard dataset: eight columns plus the derived source, ordered by name.
+
+    ``seq`` breaks ties, which also lets the sort split a name that fills many rows.
+    """
+    return leads.orderBy("company_name", "seq").select(
+        *DASHBOARD_COLUMNS, source_label("source_url", "dashboard").alias("source")
     )
 
 

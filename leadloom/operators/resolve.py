@@ -24,6 +24,8 @@ from leadloom.operators.similar import PREFIX, name_prefix, similar_names
 from leadloom.session import cut_lineage
 
 REVIEW_FLOOR = 80
+FIRST_GENERATION = 100_000
+GENERATION_GROWTH = 4
 _NODE = ["in_form", "in_norm"]
 _CAND = ["cand_form", "cand_norm"]
 
@@ -79,7 +81,9 @@ def phone_match(batch: DataFrame, registry: DataFrame) -> DataFrame:
         F.col("dedup_key").alias("matched_key"), F.col("company_name").alias("matched_name")
     )
     keyed = batch.withColumn("phone_key", phone_key(blank_to_null("phone")))
-    return keyed.join(known, F.col("phone_key") == F.col("matched_key"), "left")
+    # Records without a phone key spread out instead of sharing the NULL partition.
+    alone = F.concat(F.lit("\u0001"), F.col("seq").cast("string"))
+    return keyed.join(known, F.coalesce("phone_key", alone) == F.col("matched_key"), "left")
 
 
 def block_sizes(batch: DataFrame, registry: DataFrame) -> DataFrame:
@@ -152,6 +156,13 @@ def _with_minima(
     return skew.attach(rows, sizes.join(renamed, keys, "left"), keys, "key_rows", hot_rows)
 
 
+def _leader_rows(types: DataFrame) -> DataFrame:
+    return types.select(
+        F.col("entity_key").alias("leader_key"), "leader_name", *_CAND,
+        F.col("seq").alias("leader_seq"),
+    )
+
+
 def _elect_leaders(
     types: DataFrame, edges: DataFrame, known: DataFrame | None, max_rounds: int, hot_rows: int,
 ) -> list[DataFrame]:
@@ -189,7 +200,7 @@ def _elect_leaders(
         )
         judged = cut_lineage(judged.withColumn("state", state).select(open_.columns))
         fresh = judged.where("state = 'leader'")
-        elected.append(fresh)
+        elected.append(_leader_rows(fresh))
         open_ = judged.where("state = 'open'")
     if open_.isEmpty():
         return elected
@@ -198,7 +209,7 @@ def _elect_leaders(
 
 def resolve(
     records: DataFrame, registry: DataFrame | None = None, threshold: float = FUZZY_THRESHOLD,
-    max_rounds: int = 500, hot_rows: int = skew.HOT_ROWS,
+    max_rounds: int = 500, hot_rows: int = skew.HOT_ROWS, first_generation: int = FIRST_GENERATION,
 ) -> Resolution:
     """Resolve a batch as if records were upserted one by one in ``seq`` order.
 
@@ -207,9 +218,11 @@ def resolve(
     A threshold above 100 turns fuzzy matching off.
 
     Records with the same identity form, key and phone flag are one *type*: only its first
-    record can create a node, so the iteration runs over types and copies never meet. The
-    winner per record afterwards is a lookup in per-name time intervals, because leaders
-    only ever join.
+    record can create a node, so the iteration runs over types and copies never meet. Large
+    batches go in generations of growing size: a type similar to a leader of an earlier
+    generation is settled before it is compared with its own generation, so dense groups of
+    near-equal names shrink to their leaders instead of meeting pairwise. The winner per
+    record afterwards is a lookup in per-name time intervals, because leaders only ever join.
     """
     rows = with_identity(records)
     types = (
@@ -223,31 +236,71 @@ def resolve(
     )
     types = cut_lineage(types)
     known = as_leaders(registry) if registry is not None else None
+    everyone = lambda own: reduce(DataFrame.unionByName, own + ([known] if known is not None else []))
 
     edges = None
-    if threshold <= 100:
-        candidates = types.select(*_CAND)
-        if known is not None:
-            candidates = candidates.unionByName(known.select(*_CAND))
-        edges = cut_lineage(
-            similar_names(types.select(*_NODE).distinct(), candidates.distinct(), threshold)
-        )
-        elected = _elect_leaders(types, edges, known, max_rounds, hot_rows)
+    if threshold > 100:
+        leaders = everyone([_first_per_key(types, known)])
     else:
-        elected = [_first_per_key(types, known)]
-    own = [
-        e.select(
-            F.col("entity_key").alias("leader_key"), "leader_name", *_CAND,
-            F.col("seq").alias("leader_seq"),
-        )
-        for e in elected
-    ]
-    leaders = reduce(DataFrame.unionByName, own + ([known] if known is not None else []))
+        cuts = _generation_cuts(types, first_generation)
+        if cuts:
+            own: list[DataFrame] = []
+            bounds = [None, *cuts, None]
+            for low, high in zip(bounds, bounds[1:]):
+                batch = types if low is None else types.where(F.col("seq") > low)
+                batch = batch if high is None else batch.where(F.col("seq") <= high)
+                if own or known is not None:
+                    batch = _unmatched(batch, everyone(own), threshold)
+                near = _type_edges(batch, None, threshold)
+                own += _elect_leaders(batch, near, None, max_rounds, hot_rows)
+            leaders = everyone(own)
+            edges = cut_lineage(
+                similar_names(
+                    types.select(*_NODE).distinct(), leaders.select(*_CAND).distinct(), threshold
+                )
+            )
+        else:
+            edges = _type_edges(types, known, threshold)
+            leaders = everyone(_elect_leaders(types, edges, known, max_rounds, hot_rows))
     resolved = _assign(rows, types, leaders, edges, records.columns, hot_rows)
     # Node and edge tables, log and statistics all read the result: compute it once.
     return Resolution(cut_lineage(resolved), leaders)
 
 
+def _generation_cuts(types: DataFrame, first: int) -> list[float]:
+    """Arrival positions between generations, each four times the one before."""
+    total = types.count()
+    shares, size, upto = [], first, first
+    while upto < total:
+        shares.append(upto / total)
+        size *= GENERATION_GROWTH
+        upto += size
+    if not shares:
+        return []
+    # Any cut is correct; a rough quantile only shifts work between generations.
+    return sorted(set(types.approxQuantile("seq", shares, max(1e-5, first / total / 4))))
+
+
+def _type_edges(types: DataFrame, known: DataFrame | None, threshold: float) -> DataFrame:
+    """Similar names among the types themselves and towards known companies."""
+    candidates = types.select(*_CAND)
+    if known is not None:
+        candidates = candidates.unionByName(known.select(*_CAND))
+    return cut_lineage(
+        similar_names(types.select(*_NODE).distinct(), candidates.distinct(), threshold)
+    )
+
+
+def _unmatched(batch: DataFrame, leaders: DataFrame, threshold: float) -> DataFrame:
+    """Types of a generation that match no leader before it, by key or by name."""
+    keys = leaders.select(F.col("leader_key").alias("entity_key"))
+    open_ = cut_lineage(batch.join(keys, "entity_key", "left_anti"))
+    near = similar_names(
+        open_.select(*_NODE).distinct(), leaders.select(*_CAND).distinct(), threshold
+    )
+    return cut_lineage(open_.join(near.select(*_NODE), _NODE, "left_anti"))
+
+
 def _first_per_key(types: DataFrame, known: DataFrame | None) -> DataFrame:
     """Leaders without fuzzy matching: the first type of every key not stored yet."""
     first = (
@@ -255,9 +308,10 @@ def _first_per_key(types: DataFrame, known: DataFrame | None) -> DataFrame:
         .agg(F.min_by(F.struct("leader_name", *_CAND, "seq"), "seq").alias("w"))
         .select("entity_key", "w.*")
     )
+    first = _leader_rows(first)
     if known is None:
         return first
-    return first.join(known.select(F.col("leader_key").alias("entity_key")), "entity_key", "left_anti")
+    return first.join(known.select("leader_key"), "leader_key", "left_anti")
 
 
 def _assign(
@@ -293,11 +347,12 @@ def _assign(
             F.col("leader_seq").alias("from_seq"),
             F.lead("leader_seq").over(by_time).alias("to_seq"),
             F.min("b").over(by_time.rowsBetween(W.unboundedPreceding, 0)).alias("b"),
+            F.count("*").over(W.partitionBy(*_NODE)).alias("spans"),
         ).join(nodes, _NODE)
         inside = (F.col("seq") > F.col("from_seq")) & (
             F.col("to_seq").isNull() | (F.col("seq") <= F.col("to_seq"))
         )
-        out = skew.attach(out, spans, _NODE, "node_rows", hot_rows, on=inside)
+        out = skew.attach(out, spans, _NODE, "node_rows", hot_rows, on=inside, fanout="spans")
     else:
         out = out.withColumn(
             "b", F.lit(None).cast("struct<neg_score: double, leader_name: string, leader_key: string>")
@@ -334,10 +389,11 @@ def review_log(
     nodes = open_rows.groupBy(*_NODE).agg(F.count("*").alias("node_rows"))
     leaders = resolution.leaders.select("leader_name", "leader_seq", *_CAND)
     pairs = similar_names(nodes.select(*_NODE), leaders.select(*_CAND).distinct(), floor)
-    near = pairs.join(leaders, _CAND).join(nodes, _NODE)
-    lines = skew.attach(
-        open_rows, near, _NODE, "node_rows", on=F.col("leader_seq") < F.col("seq")
-    )
+    near = pairs.join(leaders, _CAND).withColumn(
+        "near", F.count("*").over(W.partitionBy(*_NODE))
+    ).join(nodes, _NODE)
+    earlier = F.col("leader_seq") < F.col("seq")
+    lines = skew.attach(open_rows, near, _NODE, "node_rows", on=earlier, fanout="near")
     return lines.select(
         as_of_column(as_of).alias("timestamp"),
         F.lit("FUZZY_MATCH").alias("action"),

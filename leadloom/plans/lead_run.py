@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.constants import FUZZY_THRESHOLD
 from leadloom.operators.dedup import deduplicate
-from leadloom.operators.gates import failure_gate, promote, require_gate, run_summary
+from leadloom.operators.gates import failure_gate, promote, require_gate, staged_summary
 from leadloom.operators.graph import build_graph, check_constraints, graph_stats, write_stats
 from leadloom.operators.leads import filter_valid, raw_to_lead, score_leads
 from leadloom.operators.resolve import resolve, review_log
@@ -47,16 +46,14 @@ def resolve_into_graph(
     """Resolve staged leads against the stored graph and write its next version."""
     existing = store.read_graph()
     resolution = resolve(scored, existing.companies, threshold)
-    resolved = resolution.records.persist(StorageLevel.MEMORY_AND_DISK)
-    graph = build_graph(resolved, as_of, existing)
-    store.write_graph(graph)
+    resolved = resolution.records
+    store.write_graph(build_graph(resolved, as_of, existing))
     stored = store.read_graph()
     check_constraints(stored)
     if log_review and threshold <= 100:
         store.append("fuzzy_review", review_log(resolution, as_of, threshold))
     stats = write_stats(resolved).first().asDict()
     stats.update({r["label"]: r["count"] for r in graph_stats(stored).collect()})  # seven rows
-    resolved.unpersist()
     return stats
 
 
@@ -75,9 +72,7 @@ def lead_run(
     store.append("scrape_errors", errors.withColumn("run_id", F.lit(run_id)))
     store.append("rejected_duplicates", result.rejected)
     staged = store.read("staging")
-    summary = run_summary(
-        result.leads, staged, result.rejected, errors, result.invalid
-    ).first().asDict()
+    summary = staged_summary(result.leads, staged, errors).first().asDict()
     if dry_run:
         return summary
     summary.update(resolve_into_graph(store, staged, as_of, threshold))

@@ -26,20 +26,23 @@ def attach(
     weight: str,
     hot_rows: int = HOT_ROWS,
     on: Column | None = None,
+    fanout: str | None = None,
 ) -> DataFrame:
     """Inner join of ``rows`` and ``summary``; ``weight`` counts the rows of a summary key.
 
     The first key must be text, and rows need a distinguishing column (``seq``). A summary
     may hold several rows per key, each carrying the key's weight; ``on`` then picks among
-    them.
+    them and ``fanout`` names the column with their number. A key must outweigh the limit by
+    that factor to be hot, which keeps the bound on broadcast rows.
     """
-    values = [c for c in summary.columns if c not in keys and c != weight]
-    packed = summary.select(*keys, weight, F.struct(*values).alias("s"))
+    values = [c for c in summary.columns if c not in keys and c not in (weight, fanout)]
+    packed = summary.select(*keys, weight, F.struct(*values).alias("s"), *([fanout] if fanout else []))
+    limit = F.lit(hot_rows) * F.col(fanout) if fanout else F.lit(hot_rows)
     side = lambda cond, tag: packed.where(cond).select(
         *[F.col(k).alias(f"__{tag}_{k}") for k in keys], F.col("s").alias(f"__{tag}")
     )
-    hot = F.broadcast(side(F.col(weight) > F.lit(hot_rows), "hot"))
-    cold = side(F.col(weight) <= F.lit(hot_rows), "cold")
+    hot = F.broadcast(side(F.col(weight) > limit, "hot"))
+    cold = side(F.col(weight) <= limit, "cold")
 
     equal = lambda tag, ks: [F.col(k) == F.col(f"__{tag}_{k}") for k in ks]
     with_hot = rows.join(hot, reduce(Column.__and__, equal("hot", keys)), "left")

@@ -187,12 +187,22 @@ def _(spark, sf):
     return D.fill_first(rows, "key")
 
 
+# The same phone number listed by another directory every 700 leads.
+_SPREAD = """SELECT phone, CASE (seq // 700) % 3 WHEN 0 THEN 'https://www.justdial.com/list'
+  WHEN 1 THEN 'https://dir.indiamart.com/list' ELSE 'https://elsewhere.example.org' END AS source_url"""
+
+
 @query("multi_source", f"""
 SELECT phone10, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources FROM (
-  SELECT right({digits('phone')}, 10) AS phone10, {source_name('source_url')} AS source FROM ({LEADS})
+  SELECT right({digits('phone')}, 10) AS phone10, {source_name('source_url')} AS source FROM ({_SPREAD} FROM ({LEADS}))
   WHERE length({digits('phone')}) >= 10) WHERE source IS NOT NULL GROUP BY phone10 HAVING count(DISTINCT source) >= 2""")
 def _(spark, sf):
-    return D.multi_source_groups(A.leads(spark, sf)).withColumn("sources", F.array_join("sources", ","))
+    leads = A.leads(spark, sf)
+    k = F.floor(F.col("seq") / 700) % 3
+    url = (F.when(k == 0, "https://www.justdial.com/list").when(k == 1, "https://dir.indiamart.com/list")
+           .otherwise("https://elsewhere.example.org"))
+    groups = D.multi_source_groups(leads.withColumn("source_url", url))
+    return groups.withColumn("sources", F.array_join("sources", ","))
 
 
 @query("run_summary", f"""
@@ -269,9 +279,9 @@ _HAY = "lower(company_name || ' ' || coalesce(phone, '') || ' ' || coalesce(addr
 
 @query("search_leads", f"""
 SELECT company_name, phone, email, source_url FROM ({LEADS})
-WHERE contains({_HAY}, 'ova') AND {_LABEL} = 'IndiaMART' AND phone <> '' AND email <> ''""")
+WHERE contains({_HAY}, 'vert') AND {_LABEL} = 'IndiaMART' AND phone <> '' AND email <> ''""")
 def _(spark, sf):
-    found = H.search_leads(H.dashboard_rows(_leads(spark, sf)), "OVA", "IndiaMART", "phone_email")
+    found = H.search_leads(H.dashboard_rows(_leads(spark, sf)), "VERT", "IndiaMART", "phone_email")
     return found.select("company_name", "phone", "email", "source_url")
 
 

@@ -71,6 +71,19 @@ def test_registry_and_hot_split(spark):
     assert got == rounded(naive.resolve(as_dicts(second), registry))
 
 
+def test_generations_do_not_change_the_result(spark):
+    first, second = random_batch(50, 31), random_batch(170, 32)
+    base = naive.resolve(as_dicts(first))
+    names = {r[0]: (r[1] or "").strip() or "Unknown" for r in first}
+    registry = [(k, names[s], naive.norm(names[s])) for s, k, m, _, _ in base if m is None]
+    stored = spark.createDataFrame(
+        registry, "dedup_key STRING, company_name STRING, normalized_name STRING"
+    )
+    batch = spark.createDataFrame(second, RECORD)
+    for known, truth in ((None, naive.resolve(as_dicts(second))), (stored, naive.resolve(as_dicts(second), registry))):
+        assert outcome(R.resolve(batch, known, first_generation=15)) == rounded(truth)
+
+
 def test_fuzzy_off(spark):
     rows = random_batch(60, 5)
     got = outcome(R.resolve(spark.createDataFrame(rows, RECORD), threshold=101))
