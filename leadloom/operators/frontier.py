@@ -133,7 +133,7 @@ def daily_quota(
     rank = F.row_number().over(W.partitionBy(*group).orderBy("seq"))
     head = requests.select(*group, "seq").withColumn("rank", rank).where(F.col("rank") <= max_cap)
     sizes = requests.groupBy(*group).agg(F.count("*").alias("group_rows"))
-    limits = sizes.join(F.broadcast(caps), "domain", "left")
+    limits = sizes.join(caps, "domain", "left")
     if prior is not None:
         limits = limits.join(prior, group, "left")
     else:
@@ -170,7 +170,7 @@ def quota_report(
     before = F.coalesce(F.col("consumed"), F.lit(0))
     cap = F.coalesce(F.col("cap"), F.lit(0))
     used = before + F.least(asked, F.greatest(cap - before, F.lit(0)))
-    return counts.join(F.broadcast(caps), "domain", "left").select(
+    return counts.join(caps, "domain", "left").select(
         "date", "domain", used.cast("bigint").alias("used"),
         (asked > F.greatest(cap - before, F.lit(0))).alias("cap_reached"),
     )

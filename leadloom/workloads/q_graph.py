@@ -1,5 +1,7 @@
 """Entity resolution and graph queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from leadloom.functions.similarity import indel_ratio
@@ -7,16 +9,21 @@ from leadloom.operators import graph as G
 from leadloom.operators import resolve as R
 from leadloom.operators.legacy import build_legacy_graph
 from leadloom.operators.leads import rescore_from_companies
+from leadloom.plans.lead_run import lead_run
+from leadloom.session import ensure_checkpoint_dir
+from leadloom.sources.tables import TableStore
 from leadloom.workloads import adapters as A
 from leadloom.workloads.catalog import (
     EMAIL,
     IDENTITY,
-    LEADS,
+    JUDGED,
     LEGACY,
     REGISTRY,
     blank_to_null,
     digits,
+    entity_key,
     not_blank,
+    phone_key,
     present,
     query,
     ratio,
@@ -273,7 +280,7 @@ def _(spark, sf):
     return G.company_count(_graph(spark, sf))
 
 
-@query("idempotency_delta", f"WITH {_graph_sql()} SELECT label, count AS before, count AS after, 0 AS delta FROM ({_STATS})")
+@query("idempotency_delta", f"WITH {_graph_sql()} SELECT label, count AS before, count AS after, 0::BIGINT AS delta FROM ({_STATS})")
 def _(spark, sf):
     before = _graph(spark, sf)
     again = R.resolve(_leads(spark, sf), before.companies, threshold=NO_FUZZY).records
@@ -375,3 +382,39 @@ def _(spark, sf):
 @query("legacy_industries", f"WITH {_LEGACY} SELECT code, arg_min(industry, seq) AS name FROM w WHERE code <> '' GROUP BY code")
 def _(spark, sf):
     return build_legacy_graph(A.legacy_rows(spark, sf)).industries
+
+
+# --- whole batch run ---------------------------------------------------------------------
+
+_RUN = f"""
+{JUDGED},
+valid AS MATERIALIZED (SELECT j.*, {entity_key('company_name', blank_to_null('phone'), 'website')} AS entity_key,
+  {phone_key(blank_to_null('phone'))} AS phone_key, {source_name('source_url')} AS source FROM judged j WHERE reason IS NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY seq) AS rn FROM valid)"""
+
+
+@query("batch_run", f"""
+WITH {_RUN}
+SELECT (SELECT count(*) FROM leads) AS scraped, (SELECT count(*) FROM valid) AS kept_after_validation,
+  (SELECT count(*) FROM keyed) - (SELECT count(*) FROM kept) AS rejected_duplicates,
+  (SELECT count(*) FROM judged WHERE reason IS NOT NULL) AS invalid_records,
+  count(*) FILTER (WHERE rn = 1) AS created, count(*) FILTER (WHERE rn > 1 AND phone_key IS NOT NULL) AS merged_phone,
+  count(*) FILTER (WHERE rn > 1 AND phone_key IS NULL) AS merged_key,
+  (SELECT count(DISTINCT (entity_key, category_slug)) FROM valid) AS listed_in,
+  (SELECT count(DISTINCT (entity_key, source)) FROM valid WHERE source IS NOT NULL) AS sourced_from,
+  (SELECT count(*) FROM valid) AS promoted
+FROM ranked""")
+def _(spark, sf):
+    """Clean, stage, resolve into stored graph tables, gate and promote, in a fresh store."""
+    store = TableStore(spark, f"{ensure_checkpoint_dir(spark)}/batch-run-{uuid.uuid4().hex}")
+    errors = A.errors(spark, sf).where("run_id = 'none'").withColumn("timestamp", F.lit(A.AS_OF).cast("timestamp"))
+    summary = lead_run(
+        store, A.leads(spark, sf), errors, A.targets(spark, sf), A.AS_OF, "run", threshold=NO_FUZZY
+    )
+    names = ["scraped", "kept_after_validation", "rejected_duplicates", "invalid_records", "created",
+             "merged_phone", "merged_key"]
+    counts = [F.lit(summary[n]).cast("bigint").alias(n) for n in names]
+    edges = [F.lit(summary[n]).cast("bigint").alias(n.lower()) for n in ("LISTED_IN", "SOURCED_FROM")]
+    return store.read("leads").agg(*[F.max(c).alias(n) for c, n in zip(counts, names)],
+                                   F.max(edges[0]).alias("listed_in"), F.max(edges[1]).alias("sourced_from"),
+                                   F.count("*").alias("promoted"))
