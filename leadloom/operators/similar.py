@@ -83,6 +83,25 @@ def name_prefix(norm: Column) -> Column:
     return F.substring(norm, 1, PREFIX)
 
 
+def _within_edits(t: float) -> Column:
+    """Necessary condition checked where pairs meet, before anything is shuffled or scored.
+
+    An insertion or deletion is one edit, so a pair over the budget in (banded, JVM-side)
+    edit distance cannot reach the threshold. Names sharing a long common part stop here.
+    """
+    total = F.length("in_form") + F.length("cand_form")
+    budget = _whole(total * F.lit((100 - t) / 100))
+    return F.call_function("levenshtein", F.col("in_form"), F.col("cand_form"), budget) >= 0
+
+
+def _spread(names: DataFrame, column: str) -> DataFrame:
+    """Names in full parallelism. They are small but every row explodes into many, so the
+    size-based merging of shuffle partitions would leave the work to a few tasks."""
+    spark = names.sparkSession
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return names.repartition(max(wanted, spark.sparkContext.defaultParallelism), column)
+
+
 def similar_names(incoming: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
     """All (incoming, candidate) name pairs in the same prefix block scoring >= threshold.
 
@@ -96,6 +115,7 @@ def similar_names(incoming: DataFrame, candidates: DataFrame, threshold: float)
             "and the join would compare everything with everything"
         )
     t = float(threshold)
+    incoming, candidates = _spread(incoming, "in_form"), _spread(candidates, "cand_form")
     prefix = name_prefix(F.col("in_norm"))
     is_long = F.length("in_norm") >= PREFIX
     index = _index(candidates, t)
@@ -115,7 +135,7 @@ def similar_names(incoming: DataFrame, candidates: DataFrame, threshold: float)
         long_probes.join(by_block, "sig")
         .unionByName(short_probes.join(anywhere, "sig"))
         .drop("sig")
-        .where(F.col("cand_norm").startswith(prefix))
+        .where(F.col("cand_norm").startswith(prefix) & _within_edits(t))
         .distinct()
     )
     return pairs.withColumn("score", indel_ratio("in_form", "cand_form")).where(
