@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from leadloom.constants import DIRECTORY_DOMAINS
 from leadloom.functions import contacts as C
 from leadloom.functions import urls as U
 from leadloom.operators import detail as T
@@ -11,7 +12,7 @@ from leadloom.workloads.catalog import LEADS, clean_phone, not_blank, present, q
 
 _HIDDEN = r"regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g')"
 _W = r"\p{L}\p{M}\p{Nd}\p{Pc}"
-_DIRECTORY = "|".join(d.replace(".", r"\.") for d in __import__("leadloom.constants", fromlist=["x"]).DIRECTORY_DOMAINS)
+_DIRECTORY = "|".join(d.replace(".", r"\.") for d in DIRECTORY_DOMAINS)
 _HOST = r"regexp_replace(lower(regexp_extract(u, 'https?://([^/?#]+)', 1)), '^www\.', '')"
 _URLS = rf"""
 SELECT page_id, list(u ORDER BY i) AS websites FROM (

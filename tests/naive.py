@@ -3,8 +3,10 @@
 import re
 from hashlib import md5
 
-LEGAL = r"\b(pvt|ltd|llp|private\s*limited|opc|inc|corp|corporation|llc|limited|co|company)\b"
-DESCRIPTORS = r"\b(technologies|solutions|services|systems|group|industries|enterprises?)\b"
+from leadloom.constants import DESCRIPTOR_WORDS, LEGAL_WORDS
+
+LEGAL = r"\b(" + "|".join(LEGAL_WORDS) + r")\b"
+DESCRIPTORS = r"\b(" + "|".join(DESCRIPTOR_WORDS) + r")\b"
 
 
 def squeeze(text):
