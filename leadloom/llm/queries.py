@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bpe, html_text, mixing, secret_scan, topk
+from leadloom.llm import bpe, html_text, mixing, quality, secret_scan, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,6 +44,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, path, public_tokenizers.PATTERN, decoded=True))
 
 
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("stratum")
+
+
 MIX_SQL = r"""
 WITH RECURSIVE sized AS MATERIALIZED (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -94,6 +99,14 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(docs, secret_scan.fit(docs)))
 
 
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_from_labels(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, ["doc_id"]).select(
+        "doc_id", (toxicity.fold("doc_id") == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 TOPK_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
