@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bpe, html_text, mixing, quality, secret_scan, topk, toxicity
+from leadloom.llm import bpe, html_text, mixing, ngram_join, quality, secret_scan, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,6 +93,32 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, mixing.word_count("text")).plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w
+), each AS MATERIALIZED (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, r.component_id
+FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = s.doc_id
+"""
+
+
+@query("op7_ngram_join", NEAR_SQL)
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 @query("op8_secret_scan")
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
