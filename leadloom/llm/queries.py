@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bpe, html_text, mixing, ngram_join, quality, secret_scan, topk, toxicity
+from leadloom.llm import bpe, html_text, line_dedup, mixing, ngram_join, quality, secret_scan, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +49,40 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("stratum")
 
 
+LINES_SQL = r"""
+WITH l AS MATERIALIZED (
+  SELECT doc_id, i AS number, line, list_distinct(regexp_extract_all(
+      translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS s,
+    len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n_words
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents)
+), sets AS MATERIALIZED (
+  SELECT list_sort(s) AS s, len(s) AS n, min((doc_id, number)) AS first, row_number() OVER () AS k
+  FROM l WHERE n_words >= 5 GROUP BY list_sort(s), len(s)
+), each AS MATERIALIZED (
+  SELECT k, n, unnest(s) AS x FROM sets
+), rare AS MATERIALIZED (
+  -- Frequent words join last; sets at 4/5 share one of their rarest n - ceil(4n/5) + 1 words.
+  SELECT k, n, x FROM (SELECT k, n, x, row_number() OVER (PARTITION BY k ORDER BY c, x) AS r
+    FROM each JOIN (SELECT x, count(*) AS c FROM each GROUP BY x) USING (x)) WHERE r <= n - ceil(0.8 * n) + 1
+), candidates AS MATERIALIZED (
+  SELECT DISTINCT a.k AS a, b.k AS b FROM rare a JOIN rare b ON a.x = b.x AND a.k <> b.k AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+), later AS MATERIALIZED (
+  SELECT DISTINCT b.k FROM candidates JOIN sets a ON a.k = candidates.a JOIN sets b ON b.k = candidates.b
+  WHERE a.first < b.first AND 5 * len(list_intersect(a.s, b.s)) >= 4 * (a.n + b.n - len(list_intersect(a.s, b.s)))
+), judged AS (
+  SELECT l.doc_id, l.number, l.line, coalesce(s.k IN (SELECT k FROM later) OR (l.doc_id, l.number) <> s.first, false) AS removed
+  FROM l LEFT JOIN sets s ON l.n_words >= 5 AND list_sort(l.s) = s.s
+)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (NOT removed), '') AS text, count_if(removed)::INT AS n_removed
+FROM judged GROUP BY doc_id
+"""
+
+
+@query("op5_line_dedup", LINES_SQL)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
+
+
 MIX_SQL = r"""
 WITH RECURSIVE sized AS MATERIALIZED (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 # n-grams per class. Texts are chosen by hash of their id.
 MODEL_DOCS, CALIBRATION_DOCS, MAX_NGRAMS = 4000, 1500, 500_000
 ORDER, DISCOUNT = 5, 0.75
-CACHE = 200_000
+# Entries an executor's worker keeps.
+CACHE, GRAM_CACHE = 200_000, 400_000
 
 _WORD = re.compile(r"\w+")
 
@@ -60,18 +61,15 @@ class Model:
             p = (max(self.lower[n].get(part, 0) - DISCOUNT, 0) + DISCOUNT * kinds * p) / total
         return p
 
-    def ratio(self, word: str) -> float:
-        """Toxic less ordinary log-likelihood of a word."""
-        out = 0.0
-        for gram in grams(word, self.order):
-            seen = [c.get(gram[:-1]) for c in self.context]
-            if seen[0] is None and seen[1] is None:
-                continue
-            back = self.shared(gram[1:])
-            p = [back if s is None else (max(t.get(gram, 0) - DISCOUNT, 0) + DISCOUNT * s[1] * back) / s[0]
-                 for t, s in zip(self.top, seen, strict=True)]
-            out += math.log(p[1] / p[0])
-        return out
+    def ratio(self, gram: str) -> float:
+        """Toxic less ordinary log-likelihood of the last letter of an n-gram."""
+        seen = [c.get(gram[:-1]) for c in self.context]
+        if seen[0] is None and seen[1] is None:
+            return 0.0
+        back = self.shared(gram[1:])
+        p = [back if s is None else (max(t.get(gram, 0) - DISCOUNT, 0) + DISCOUNT * s[1] * back) / s[0]
+             for t, s in zip(self.top, seen, strict=True)]
+        return math.log(p[1] / p[0])
 
     def features(self, words: list[str], cache: dict[str, float]) -> tuple[float, float]:
         """Difference of log-likelihoods per letter of the text, and the logarithm of the mean
@@ -90,17 +88,31 @@ class Model:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
-class _Ratios(dict):
-    """Word -> ratio, computed once; emptied when full."""
+class _Grams(dict):
+    """N-gram -> ratio, computed once; emptied when full."""
 
     def __init__(self, model: Model) -> None:
         super().__init__()
         self.model = model
 
+    def __missing__(self, gram: str) -> float:
+        if len(self) >= GRAM_CACHE:
+            self.clear()
+        value = self[gram] = self.model.ratio(gram)
+        return value
+
+
+class _Ratios(dict):
+    """Word -> ratio, the sum over its n-grams; emptied when full."""
+
+    def __init__(self, model: Model) -> None:
+        super().__init__()
+        self.order, self.of_gram = model.order, _Grams(model).__getitem__
+
     def __missing__(self, word: str) -> float:
         if len(self) >= CACHE:
             self.clear()
-        value = self[word] = self.model.ratio(word)
+        value = self[word] = sum(map(self.of_gram, grams(word, self.order)))
         return value
 
 
