@@ -18,7 +18,7 @@ STRETCH = 16_384
 
 _SAFE = re.compile(r"[A-Za-z0-9](?=[ \n])")
 # White space as the library's engine sees it.
-_SPACE = r"\t-\r \x85\xa0  -     　"
+_SPACE = r"\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 @lru_cache(maxsize=4)
@@ -75,29 +75,30 @@ def encode_text(enc: tiktoken.Encoding, text: str, size: int = STRETCH) -> list[
 
 def encode(
     docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-    decoded: bool = False,
+    decoded: bool = False, keep: list[str] | None = None,
 ) -> DataFrame:
     """``id_col, ids array<int>`` of every whole text; with ``decoded`` also the decoded bytes.
 
-    A NULL text counts as empty and has no ids. Rows are independent: repeated ids stay, and
-    other columns are dropped. No shuffle; the rank file is read once per Python worker.
+    A NULL text counts as empty and has no ids. Rows are independent: repeated ids stay; of the
+    other columns only those in ``keep`` stay. No shuffle; the rank file is read once per Python worker.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, ids array<int>" + (", decoded binary" if decoded else "")
+    kept = [id_col, *(keep or [])]
+    types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
+    schema = f"{types}, ids array<int>" + (", decoded binary" if decoded else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(rank_file, pattern)
         for batch in batches:
             for part in _slices(batch):
-                ids = [encode_text(enc, t or "") for t in part.column(1).to_pylist()]
-                out = [part.column(0), pa.array(ids, pa.list_(pa.int32()))]
-                names = [id_col, "ids"]
+                ids = [encode_text(enc, t or "") for t in part.column(0).to_pylist()]
+                out = [*part.columns[1:], pa.array(ids, pa.list_(pa.int32()))]
+                names = [*kept, "ids"]
                 if decoded:
                     out.append(pa.array([enc.decode_bytes(i) for i in ids], pa.binary()))
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(out, names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(F.col(text_col).alias("__text"), *kept).mapInArrow(run, schema)
 
 
 def decode(

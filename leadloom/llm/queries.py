@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bpe, html_text, line_dedup, mixing, ngram_join, quality, secret_scan, topk, toxicity
+from leadloom.llm import bpe, html_text, line_dedup, lm_score, mixing, ngram_join, quality, secret_scan, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +37,11 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
+@query("op2_lm_score")
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 @query("op3_bpe")
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
