@@ -24,6 +24,7 @@ BUCKET_ENTRIES, FLUSH = 1_500_000, 1_000_000
 HOT = 16
 # Ids that may be broadcast to pick texts; beyond that the texts are joined by shuffle.
 BROADCAST_IDS = 1_000_000
+PAIRS_PER_SALT = 1000
 
 
 # --- signatures -----------------------------------------------------------------------------
@@ -207,45 +208,73 @@ def meet(frame: pd.DataFrame, hot: int = HOT) -> pd.DataFrame:
 # --- verification -----------------------------------------------------------------------------
 
 
-def common(left: np.ndarray, right: np.ndarray) -> int:
-    """Size of the intersection of two sorted arrays without repetitions."""
-    if len(left) > len(right):
-        left, right = right, left
-    place = np.searchsorted(right, left)
-    place[place == len(right)] = 0
-    return int((right[place] == left).sum()) if len(right) else 0
+def packed_set(features: np.ndarray) -> bytes:
+    """A sorted set as steps between the leading 40 bits of its hashes, 4 bytes each where they fit."""
+    steps = np.diff(features >> np.uint64(24), prepend=np.uint64(0))
+    small = steps.max(initial=0) < 2 ** 32
+    return (b"\x04" if small else b"\x08") + steps.astype(np.uint32 if small else np.uint64).tobytes()
+
+
+def unpacked_set(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, np.uint32 if raw[0] == 4 else np.uint64, offset=1), dtype=np.uint64)
 
 
 def similar(left: np.ndarray, right: np.ndarray) -> bool:
-    shared = common(left, right)
+    """At the threshold; the arrays are sorted, without repetitions and not empty."""
+    if len(left) > len(right):
+        left, right = right, left
+    if DENOMINATOR * len(left) < NUMERATOR * len(right):
+        return False
+    place = np.minimum(np.searchsorted(right, left), len(right) - 1)
+    shared = int((right[place] == left).sum())
     return DENOMINATOR * shared >= NUMERATOR * (len(left) + len(right) - shared)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The pairs ``a, b`` of nodes whose sets really are similar, from their texts."""
+    """The pairs ``a, b`` of nodes whose sets really are similar, from their texts.
+
+    Every set travels once per pair to its ``a``, and the set of ``a`` once per thousand pairs:
+    many pairs with one ``a`` are dealt out under a salt. A task sees the set of ``a`` first and
+    then one ``b`` after the other, so it holds two sets at a time.
+    """
     pairs = stored(pairs.select("a", "b"))
-    wanted = stored(pairs.select("a").union(pairs.select("b")).distinct().join(classes, F.col("a") == F.col("node")).select("node", "doc_id"))
-    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    crowd = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_PER_SALT).cast("int").alias("salts"))
+    sent = pairs.join(crowd, "a").select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("turn"))
+    leads = crowd.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("turn"))
+    wanted = stored(sent.unionAll(leads).join(classes, "node").select("doc_id", "node", "a", "salt", "turn"))
+    # Texts are picked by a list of bounded size, or else by a shuffle.
+    wants = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sets = [f.tobytes() for f in _sets(batch, 1, hashes, shingle)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "features"])
+            last, raw = None, []
+            for text in batch.column(0):
+                text = text.as_py()
+                if text is not last and text != last:
+                    last, features = text, shingles(hashes.of(split_words(text)), shingle)
+                    found = (node_of(features), packed_set(features))
+                raw.append(found)
+            # Rows sharing an id may have other texts: only the one that gave the node counts.
+            good = pa.array([n == node for (n, _), node in zip(raw, batch.column(1).to_pylist(), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array([r for _, r in raw], pa.binary())],
+                                             ["node", "a", "salt", "turn", "features"]).filter(good)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead, own = None, None
         for batch in batches:
-            good = [similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64))
-                    for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+            found = []
+            for node, a, turn, raw in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), batch.column(4), strict=True):
+                if turn == 0:
+                    lead, own = a, unpacked_set(raw.as_py())
+                elif lead == a and similar(own, unpacked_set(raw.as_py())):
+                    found.append((a, node))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(ids, "doc_id").select("node", "text")
-    # Rows sharing an id have different texts perhaps: only the text that gave the node counts.
-    sets = stored(texts.mapInArrow(run, "node bigint, features binary").where(F.length("features") > 0))
-    checked = sets.select("node", "features")
-    right = pairs.join(checked.select(F.col("node").alias("b"), F.col("features").alias("right")), "b")
-    both = right.join(checked.select(F.col("node").alias("a"), F.col("features").alias("left")), "a")
-    return both.select("a", "b", "left", "right").mapInArrow(compare, "a bigint, b bigint").distinct()
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(wants, "doc_id").select("text", "node", "a", "salt", "turn")
+    sets = texts.mapInArrow(run, "node bigint, a bigint, salt int, turn int, features binary")
+    dealt = sets.repartition(F.col("a"), F.col("salt")).sortWithinPartitions("a", "salt", "turn")
+    return dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 # --- operator -----------------------------------------------------------------------------------
@@ -265,7 +294,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     their group, the most promising pair of each node first and the others only while they lie
     in different components. Groups that then still span components are compared pair by pair;
     from those that are hot, sets drop out that can spare all their hot groups (see
-    ``signatures``). Elements are compared as 64-bit hashes.
+    ``signatures``). Elements are compared as hashes, of 40 bits in the last test.
     """
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     profile = stored(profiles(own, shingle))
