@@ -65,6 +65,7 @@ class Block:
     path: tuple[int, ...]
     main: int
     around: bool
+    tag: str
     label: str = ""
 
 
@@ -115,7 +116,8 @@ def blocks(html: str) -> list[Block]:
         pieces.clear()
         if text:
             around = state["around"] > 0 or (state["header"] > 0 and not (state["main"] and state["heading"]))
-            out.append(Block(text, state["linked"], tuple(e[1] for e in stack if e[0] in BLOCK_TAGS), state["main"], around))
+            held = [e for e in stack if e[0] in BLOCK_TAGS]
+            out.append(Block(text, state["linked"], tuple(e[1] for e in held), state["main"], around, held[-1][0] if held else ""))
         state["linked"] = 0
 
     def pop() -> None:
@@ -238,8 +240,8 @@ def classify(found: list[Block], stop_words: frozenset[str] = STOP_WORDS) -> Non
     First pass, by the block alone: surroundings and blocks of links are bad; long blocks with
     many stop words are good; short ones, and those with few stop words inside an article, are
     open. Second pass: an open block takes the label of the nearest decided block before or after
-    it: the one sharing more enclosing blocks, then the one fewer blocks away, then the bad one.
-    Inside an article only its own blocks count, and without any the block is good.
+    it: the one sharing more enclosing blocks, then of the same kind of element, then (for a
+    heading) the one that follows, then the one fewer blocks away, then the bad one. Inside an article only its own blocks count, and without any the block is good.
     """
     for b in found:
         words = [_WORD_EDGE.sub("", w).lower() for w in b.text.split()]
@@ -274,10 +276,10 @@ def classify(found: list[Block], stop_words: frozenset[str] = STOP_WORDS) -> Non
         for j in (before[i], after[i]):
             if j is None or b.main and (found[j].main != b.main or found[j].around):
                 continue
-            rank = (-_shared(b.path, found[j].path), abs(i - j), found[j].label)
+            rank = (-_shared(b.path, found[j].path), b.tag != found[j].tag, b.tag in HEADINGS and j < i, abs(i - j), found[j].label)
             if best is None or rank < best:
                 best = rank
-        labels.append(best[2] if best else "good")
+        labels.append(best[-1] if best else "good")
     for b, label in zip(found, labels, strict=True):
         b.label = label
     # With an article on the page, text elsewhere is not part of it.
