@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.llm.words import WordHashes, mix, split_words
+from leadloom.llm.words import hash_texts, mix
 
 ORDER, BACKOFF = 2, 0.4
 # Words a batch of documents and a bucket of n-grams should hold.
@@ -52,11 +52,6 @@ def _unpack_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate((first, steps)), dtype=np.uint64)
 
 
-def _hashed(texts: pd.Series) -> list[np.ndarray]:
-    hashes = WordHashes()
-    return [hashes.of(split_words(t)) for t in texts]
-
-
 def _batch_tables(words: list[np.ndarray], order: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Sorted n-grams of a batch and their counts, for n from 1 to ``order``."""
     return [np.unique(np.concatenate([ngrams(w, n, bits) for w in words]), return_counts=True) for n in range(1, order + 1)]
@@ -65,7 +60,7 @@ def _batch_tables(words: list[np.ndarray], order: int, bits: int) -> list[tuple[
 def word_total(docs: DataFrame) -> int:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = sum(len(split_words(t.as_py())) for t in batch.column(0))
+            n = sum(len((t.as_py() or b"").split()) for t in batch.column(0))
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
     return docs.select("bytes").mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
@@ -103,7 +98,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     def ask(frame: pd.DataFrame) -> pd.DataFrame:
         rows = []
         batch = int(frame["batch"].iloc[0])
-        for n, (keys, counts) in enumerate(_batch_tables(_hashed(frame["bytes"]), order, bits), 1):
+        for n, (keys, counts) in enumerate(_batch_tables(hash_texts(frame["bytes"].tolist()), order, bits), 1):
             bucket = bucket_of(keys)
             cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(keys) else []
             for lo, hi in zip(cut[:-1], cut[1:], strict=True):
@@ -124,7 +119,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         return pd.concat(parts, ignore_index=True)
 
     def judge(frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        words = _hashed(frame["bytes"])
+        words = hash_texts(frame["bytes"].tolist())
         tables = []
         for n, (keys, _) in enumerate(_batch_tables(words, order, bits), 1):
             same = answers[answers["n"] == n].sort_values("bucket")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from leadloom.llm.components import components
 from leadloom.llm.shared import stored
-from leadloom.llm.words import WordHashes, mix, shingles, split_words
+from leadloom.llm.words import hash_texts, hash_words, mix, pack_set, shingles, similar, unpack_set
 
 SHINGLE = 5
 # Threshold 3/4 as integers: sets link when 4 * intersection >= 3 * union.
@@ -44,7 +44,7 @@ def partitions(scheme: int) -> int:
 
 
 def signatures(features: np.ndarray, scheme: int) -> tuple[np.ndarray, int]:
-    """Signatures of a set (sorted hashes) in a band, and how many of them it could leave out.
+    """Signatures of a set (sorted hashes) in a band, and the number of its non-empty parts.
 
     Sets a, b at the threshold differ in at most (|a| + |b|) / 7 elements, so in no more than a
     third of the smaller and the larger. Each element falls into one part, so they agree in all
@@ -52,7 +52,8 @@ def signatures(features: np.ndarray, scheme: int) -> tuple[np.ndarray, int]:
     both leave empty is agreement too, but says nothing: a set with more non-empty parts than
     ``limit = |a| // 3`` agrees with each similar set in a non-empty one and signs only those;
     otherwise it signs all. By the same count it may leave out ``non-empty - limit - 1`` more,
-    provided the other set leaves out the same ones.
+    provided the other set leaves out the same ones; and two sets must share as many signatures
+    as either has non-empty parts, less (|a| + |b|) // 7.
     """
     parts = partitions(scheme)
     limit = len(features) // 3
@@ -67,12 +68,13 @@ def signatures(features: np.ndarray, scheme: int) -> tuple[np.ndarray, int]:
             filled = np.concatenate((filled, empty))
             sums = np.concatenate((sums, np.zeros(len(empty), np.uint64)))
         keys = mix(sums + mix(filled + np.uint64(scheme + 1) * np.uint64(1 << 40)))
-    return keys, len(starts) - limit - 1
+    return keys, len(starts)
 
 
-def _sets(batch: pa.RecordBatch, column: int, hashes: WordHashes, size: int) -> Iterator[np.ndarray]:
-    for text in batch.column(column):
-        yield shingles(hashes.of(split_words(text.as_py())), size)
+def _sets(batch: pa.RecordBatch, column: int, size: int) -> Iterator[np.ndarray]:
+    for start in range(0, batch.num_rows, 200):
+        for hashes in hash_texts(batch.column(column).slice(start, 200).to_pylist()):
+            yield shingles(hashes, size)
 
 
 def node_of(features: np.ndarray) -> int:
@@ -85,10 +87,9 @@ def node_of(features: np.ndarray) -> int:
 def profiles(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, node``: set size and digest of every whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             sizes, nodes = [], []
-            for features in _sets(batch, 1, hashes, shingle):
+            for features in _sets(batch, 1, shingle):
                 sizes.append(len(features))
                 nodes.append(node_of(features))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
@@ -99,8 +100,8 @@ def profiles(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 def packed_signatures(docs: DataFrame, buckets: int, shingle: int = SHINGLE) -> DataFrame:
     """Signatures of all sets, packed per bucket: 48 bits of each key and a number into the list
-    of (node, scheme, spare). Equal sets of a pack sign once."""
-    def pack(keys: list[np.ndarray], owners: list[tuple[int, int, int]]) -> pd.DataFrame:
+    of (node, scheme, size, non-empty parts). Equal sets of a pack sign once."""
+    def pack(keys: list[np.ndarray], owners: list[tuple[int, int, int, int]]) -> pd.DataFrame:
         at = np.repeat(np.arange(len(owners), dtype=np.uint16), [len(k) for k in keys])
         key = np.concatenate(keys)
         bucket = (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
@@ -117,21 +118,20 @@ def packed_signatures(docs: DataFrame, buckets: int, shingle: int = SHINGLE) ->
         return pd.DataFrame(rows, columns=["bucket", "keys", "at", "nodes", "rest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         keys: list[np.ndarray] = []
-        owners: list[tuple[int, int, int]] = []
+        owners: list[tuple[int, int, int, int]] = []
         seen: set[int] = set()
         held = 0
         for batch in batches:
-            for features in _sets(batch, 0, hashes, shingle):
+            for features in _sets(batch, 0, shingle):
                 node = node_of(features)
                 if node == 0 or node in seen:
                     continue
                 seen.add(node)
                 for scheme in schemes(len(features)):
-                    own, spare = signatures(features, scheme)
+                    own, filled = signatures(features, scheme)
                     keys.append(own)
-                    owners.append((node, scheme, spare))
+                    owners.append((node, scheme, len(features), filled))
                     held += len(own)
                 if held >= FLUSH or len(owners) > 60_000:
                     yield pa.RecordBatch.from_pandas(pack(keys, owners), preserve_index=False)
@@ -144,14 +144,21 @@ def packed_signatures(docs: DataFrame, buckets: int, shingle: int = SHINGLE) ->
 
 
 PAIR, MEMBER, HEAT = 0, 1, 2
+MET = "kind int, a bigint, b bigint, scheme int, n bigint, need bigint, size bigint"
+
+
+def _needed(size_a, filled_a, size_b, filled_b):
+    """Signatures that two similar sets share at least."""
+    return np.maximum(filled_a, filled_b) - (size_a + size_b) // 7
 
 
 def meet(frame: pd.DataFrame, hot: int = HOT) -> pd.DataFrame:
-    """What the signatures of one bucket say: ``kind, a, b, n, scheme``.
+    """What the signatures of one bucket say: ``kind, a, b, scheme, n, need, size``.
 
-    PAIR: smallest set a of a group and another member b, n groups. MEMBER: set b belongs to
-    group a of n >= 3 sets (groups with the same members once). HEAT: set a, which can spare b,
-    is in n hot groups of the scheme.
+    PAIR: sets a < b of fitting sizes share n signatures, in groups of at most ``hot`` sets, and
+    need that many in all. MEMBER: set b, of so many elements (``size``) and non-empty parts
+    (``need``), is in n larger groups with the same members, together named a. HEAT: set a is in
+    n larger groups and could spare b.
     """
     keys, nodes, rest = [], [], []
     for row in frame.itertuples():
@@ -161,75 +168,56 @@ def meet(frame: pd.DataFrame, hot: int = HOT) -> pd.DataFrame:
         at = np.frombuffer(row.at, np.uint16)
         keys.append(wide.view(np.uint64).ravel())
         nodes.append(np.frombuffer(row.nodes, np.int64)[at])
-        rest.append(np.frombuffer(row.rest, np.int32).reshape(-1, 2)[at])
+        rest.append(np.frombuffer(row.rest, np.int32).reshape(-1, 3)[at])
     key, node, rest = np.concatenate(keys), np.concatenate(nodes), np.concatenate(rest)
     order = np.argsort(key, kind="stable")
-    key = key[order]
-    same = key[1:] == key[:-1]
-    shared = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-    order, key = order[shared], key[shared]
-    node, rest = node[order], rest[order]
-    order = np.lexsort((node, key))
-    key, node, rest = key[order], node[order], rest[order]
+    sorted_key = key[order]
+    same = sorted_key[1:] == sorted_key[:-1]
+    order = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
+    order = order[np.lexsort((node[order], key[order]))]
+    key, node, rest = key[order], node[order], rest[order].astype(np.int64)
     first = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))[:len(key)]
     key, node, rest = key[first], node[first], rest[first]
-    none = pd.DataFrame({"kind": [], "a": [], "b": [], "n": [], "scheme": []}).astype(
-        {"kind": "int32", "a": "int64", "b": "int64", "n": "int64", "scheme": "int32"})
+    names = ["kind", "a", "b", "scheme", "n", "need", "size"]
+    out = [pd.DataFrame({c: np.zeros(0, np.int32 if c in ("kind", "scheme") else np.int64) for c in names})]
     if not len(key):
-        return none
+        return out[0]
+    scheme, size, filled = rest.T
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     sizes = np.diff(np.append(starts, len(key)))
     group = np.repeat(np.arange(len(starts)), sizes)
-    size, leader = sizes[group], node[starts][group]
-    out = []
-
-    def add(kind: int, a, b, n, scheme) -> None:
-        out.append(pd.DataFrame({"kind": np.int32(kind), "a": a, "b": b, "n": n, "scheme": scheme}))
-
-    other = node != leader
-    pairs = pd.DataFrame({"a": leader[other], "b": node[other]}).groupby(["a", "b"], sort=False).size().reset_index(name="n")
-    add(PAIR, pairs["a"], pairs["b"], pairs["n"].astype(np.int64), np.int32(0))
-    if (sizes >= 3).any():
+    many = sizes[group] > hot
+    found = []
+    for d in range(1, min(hot, len(key))):
+        x = np.flatnonzero((group[:-d] == group[d:]) & ~many[:-d])
+        if not len(x):
+            break
+        y = x + d
+        fits = DENOMINATOR * np.minimum(size[x], size[y]) >= NUMERATOR * np.maximum(size[x], size[y])
+        x, y = x[fits], y[fits]
+        found.append((node[x], node[y], scheme[x], _needed(size[x], filled[x], size[y], filled[y])))
+    if found:
+        pairs = pd.DataFrame(dict(zip(("a", "b", "scheme", "need"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
+        pairs = pairs.groupby(["a", "b", "scheme", "need"], sort=False).size().reset_index(name="n")
+        out.append(pairs.assign(kind=PAIR, size=0)[names])
+    if many.any():
         with np.errstate(over="ignore"):
-            whole = np.add.reduceat(mix(node.view(np.uint64)), starts) + rest[starts, 0].astype(np.uint64)
-        _, kept = np.unique(whole, return_index=True)
-        chosen = np.zeros(len(starts), bool)
-        chosen[kept] = True
-        chosen = chosen[group] & (size >= 3)
-        add(MEMBER, whole.view(np.int64)[group][chosen], node[chosen], size[chosen].astype(np.int64), rest[chosen, 0])
-        many = size > hot
-        if many.any():
-            heat = pd.DataFrame({"a": node[many], "b": rest[many, 1].astype(np.int64), "s": rest[many, 0]}).groupby(
-                ["a", "b", "s"], sort=False).size().reset_index(name="n")
-            add(HEAT, heat["a"], heat["b"], heat["n"].astype(np.int64), heat["s"])
-    return pd.concat(out, ignore_index=True) if out else none
+            whole = np.add.reduceat(mix(node.view(np.uint64)), starts) + scheme[starts].astype(np.uint64)
+        _, kept, times = np.unique(whole, return_index=True, return_counts=True)
+        number = np.zeros(len(starts), np.int64)
+        number[kept] = times
+        chosen = many & (number[group] > 0)
+        out.append(pd.DataFrame({"kind": MEMBER, "a": whole.view(np.int64)[group][chosen], "b": node[chosen], "scheme": scheme[chosen],
+                                 "n": number[group][chosen], "need": filled[chosen], "size": size[chosen]}))
+        heat = pd.DataFrame({"a": node[many], "b": (filled - size // 3 - 1)[many], "scheme": scheme[many]})
+        heat = heat.groupby(["a", "b", "scheme"], sort=False).size().reset_index(name="n")
+        out.append(heat.assign(kind=HEAT, need=0, size=0)[names])
+    return pd.concat(out, ignore_index=True).astype({"kind": np.int32, "scheme": np.int32})
 
 
 # --- verification -----------------------------------------------------------------------------
 
 
-def packed_set(features: np.ndarray) -> bytes:
-    """A sorted set as steps between the leading 40 bits of its hashes, 4 bytes each where they fit."""
-    steps = np.diff(features >> np.uint64(24), prepend=np.uint64(0))
-    small = steps.max(initial=0) < 2 ** 32
-    return (b"\x04" if small else b"\x08") + steps.astype(np.uint32 if small else np.uint64).tobytes()
-
-
-def unpacked_set(raw: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(raw, np.uint32 if raw[0] == 4 else np.uint64, offset=1), dtype=np.uint64)
-
-
-def similar(left: np.ndarray, right: np.ndarray) -> bool:
-    """At the threshold; the arrays are sorted, without repetitions and not empty."""
-    if len(left) > len(right):
-        left, right = right, left
-    if DENOMINATOR * len(left) < NUMERATOR * len(right):
-        return False
-    place = np.minimum(np.searchsorted(right, left), len(right) - 1)
-    shared = int((right[place] == left).sum())
-    return DENOMINATOR * shared >= NUMERATOR * (len(left) + len(right) - shared)
-
-
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The pairs ``a, b`` of nodes whose sets really are similar, from their texts.
 
@@ -246,14 +234,13 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int
     wants = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             last, raw = None, []
             for text in batch.column(0):
                 text = text.as_py()
                 if text is not last and text != last:
-                    last, features = text, shingles(hashes.of(split_words(text)), shingle)
-                    found = (node_of(features), packed_set(features))
+                    last, features = text, shingles(hash_words(text)[0], shingle)
+                    found = (node_of(features), pack_set(features))
                 raw.append(found)
             # Rows sharing an id may have other texts: only the one that gave the node counts.
             good = pa.array([n == node for (n, _), node in zip(raw, batch.column(1).to_pylist(), strict=True)], pa.bool_())
@@ -266,8 +253,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int
             found = []
             for node, a, turn, raw in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), batch.column(4), strict=True):
                 if turn == 0:
-                    lead, own = a, unpacked_set(raw.as_py())
-                elif lead == a and similar(own, unpacked_set(raw.as_py())):
+                    lead, own = a, unpack_set(raw.as_py())
+                elif lead == a and similar(own, unpack_set(raw.as_py()), NUMERATOR, DENOMINATOR):
                     found.append((a, node))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
@@ -290,38 +277,55 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     ids are rows of their own with one component; rows without id have the component of the rest
     of their group.
 
-    Equal sets become one node. Nodes sharing a signature are compared with the smallest one of
-    their group, the most promising pair of each node first and the others only while they lie
-    in different components. Groups that then still span components are compared pair by pair;
-    from those that are hot, sets drop out that can spare all their hot groups (see
-    ``signatures``). Elements are compared as hashes, of 40 bits in the last test.
+    Equal sets become one node. Nodes meet by signature. In groups of up to ``HOT`` nodes all
+    pairs are counted, and those that share as many signatures as similar sets must are compared:
+    the most promising one of each node first, the others only while they lie in different
+    components. From larger groups those nodes drop out that can spare all of them (see
+    ``signatures``); the others, mostly large groups of near copies, are compared with the
+    smallest node of their group, and what then still lies in different components pair by
+    pair, again after counting. Elements are compared as hashes, of 40 bits in the last test.
     """
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     profile = stored(profiles(own, shingle))
     classes = stored(profile.where("node <> 0 AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
     total = profile.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_ENTRIES))
-    met = stored(packed_signatures(own, buckets, shingle).groupBy("bucket").applyInPandas(
-        lambda frame: meet(frame), "kind int, a bigint, b bigint, n bigint, scheme int"))
+    met = stored(packed_signatures(own, buckets, shingle).groupBy("bucket").applyInPandas(lambda frame: meet(frame), MET))
 
-    pairs = stored(met.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("n")))
+    heat = met.where(F.col("kind") == HEAT).groupBy(F.col("a").alias("node"), "scheme").agg(
+        F.first("b").alias("spare"), F.sum("n").alias("heat"))
+    heat = stored(heat)
+    counted = met.where(F.col("kind") == PAIR).groupBy("a", "b", "scheme").agg(F.sum("n").alias("n"), F.first("need").alias("need"))
+    # Groups too large to count may hold the rest of what a pair needs.
+    warm = lambda side: heat.select(F.col("node").alias(side), "scheme", F.col("heat").alias(f"h{side}"))
+    counted = counted.join(warm("a"), ["a", "scheme"], "left").join(warm("b"), ["b", "scheme"], "left")
+    counted = stored(counted.withColumn("both", F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))).select("a", "b", "scheme", "n", "need", "both"))
+    pairs = stored(counted.where("n + both >= need").groupBy("a", "b").agg(F.max("n").alias("n")))
     likely = pairs.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a"))
     links = stored(verified(likely, own, classes, shingle))
     labels = stored(components(links))
     links, labels = _more(links, labels, pairs.join(likely, ["a", "b"], "left_anti"), own, classes, shingle)
 
-    heat = met.where(F.col("kind") == HEAT).groupBy(F.col("a").alias("b"), "scheme").agg(
-        F.first("b").alias("spare"), F.sum("n").alias("heat"))
-    spared = heat.where("heat <= spare").select("b", "scheme")
-    member = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("key"), "b", "n", "scheme").distinct()
-    member = member.join(labels, member["b"] == labels["node"], "left").select("key", "b", "n", "scheme", F.coalesce("component", "b").alias("component"))
-    open_keys = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    member = member.join(open_keys, "key", "left_semi")
-    member = stored(member.where(F.col("n") <= HOT).unionAll(member.where(F.col("n") > HOT).join(spared, ["b", "scheme"], "left_anti").select(*member.columns)))
-    left = member.select("key", F.col("b").alias("a"), F.col("component").alias("ca"))
-    rest = left.join(member.select("key", "b", F.col("component").alias("cb")), "key").where("a < b AND ca <> cb").select("a", "b").distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    links, labels = _more(links, labels, rest, own, classes, shingle)
+    spared = heat.where("heat <= spare").select(F.col("node").alias("b"), "scheme")
+    member = met.where(F.col("kind") == MEMBER).groupBy(F.col("a").alias("key"), "b", "scheme").agg(
+        F.sum("n").alias("n"), F.first("need").alias("filled"), F.first("size").alias("size"))
+    member = stored(member.join(spared, ["b", "scheme"], "left_anti"))
+    if not member.isEmpty():
+        stars = member.join(member.groupBy("key").agg(F.min("b").alias("a")), "key").where("a <> b").select("a", "b", "n")
+        stars = stored(stars.groupBy("a", "b").agg(F.sum("n").alias("n")))
+        first = stars.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a"))
+        links, labels = _more(links, labels, first, own, classes, shingle)
+        links, labels = _more(links, labels, stars.join(first, ["a", "b"], "left_anti"), own, classes, shingle)
+        named = member.join(labels, member["b"] == labels["node"], "left").select(*member.columns, F.coalesce("component", "b").alias("component"))
+        spans = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+        named = stored(named.join(spans, "key", "left_semi"))
+        other = named.select("key", F.col("b").alias("a"), F.col("size").alias("sa"), F.col("filled").alias("fa"), F.col("component").alias("ca"))
+        apart = other.join(named, "key").where("a < b AND ca <> component AND 4 * least(sa, size) >= 3 * greatest(sa, size)")
+        apart = apart.groupBy("a", "b", "scheme").agg(F.sum("n").alias("shared"), F.first(
+            F.greatest("fa", "filled") - F.expr("(sa + size) div 7")).alias("least"))
+        apart = apart.join(counted.select("a", "b", "scheme", F.col("n").alias("cold")), ["a", "b", "scheme"], "left")
+        apart = apart.where("shared + coalesce(cold, 0) >= least").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+        links, labels = _more(links, labels, apart, own, classes, shingle)
 
     named = labels.join(classes, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = labels.join(named, "component").select("node", "component_id")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 
-_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
+# Bytes hashed at once.
+WINDOW = 1 << 19
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit numbers."""
@@ -19,30 +20,91 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """Word (bytes) -> xxh64, computed once per word; emptied when it holds ``most`` words."""
+_FACTOR = 0xD1342543DE82EF95
+
+
+def _powers(factor: int, n: int) -> np.ndarray:
+    steps = np.full(n, factor, np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+_POWERS, _INVERSES = _powers(_FACTOR, WINDOW), _powers(pow(_FACTOR, -1, 2 ** 64), WINDOW)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+# A random number for every byte, the same for A-Z and a-z.
+_LETTERS = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x51ED27))
+_LETTERS[65:91] = _LETTERS[97:123]
+
+
+def hash_words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of every word between ASCII white space; A-Z count as a-z.
 
-    def __init__(self, most: int = 200_000) -> None:
-        super().__init__()
-        self.most = most
+    A word's hash is a polynomial in its bytes: the difference of two running sums, shifted back
+    by the power of its place. Texts are taken in windows cut at white space; a word longer than
+    a window is summed up over several.
+    """
+    hashes, starts = [], []
+    data = np.frombuffer(text, np.uint8)
+    at, carry, length, began = 0, 0, 0, 0
+    while at < len(data):
+        part = data[at:at + WINDOW]
+        space = _SPACE[part]
+        size = len(part)
+        if at + size < len(data):
+            last = np.flatnonzero(space)
+            size = int(last[-1]) + 1 if len(last) else size
+            part, space = part[:size], space[:size]
+        with np.errstate(over="ignore"):
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_LETTERS[part] * _POWERS[:size], dtype=np.uint64)))
+            edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+            if not space[0]:
+                edge = np.concatenate(([0], edge))
+            if not space[-1]:
+                edge = np.concatenate((edge, [size]))
+            first, end = edge[0::2], edge[1::2]
+            value = (sums[end] - sums[first]) * _INVERSES[first]
+            long = end - first
+            value, long, place = value.copy(), long.copy(), first + at
+            if length and len(first) and first[0] == 0:  # goes on from the window before
+                value[0] = np.uint64((carry + int(value[0]) * pow(_FACTOR, length, 2 ** 64)) % 2 ** 64)
+                long[0] += length
+                place[0] = began
+            elif length:
+                value, long, place = (np.concatenate(([x], y)) for x, y in ((np.uint64(carry), value), (length, long), (began, place)))
+            carry, length = 0, 0
+            if not space[-1] and at + size < len(data):  # unfinished
+                carry, length, began = int(value[-1]), int(long[-1]), int(place[-1])
+                value, long, place = value[:-1], long[:-1], place[:-1]
+            hashes.append(mix(value + long.astype(np.uint64) * _STEP))
+            starts.append(place)
+        at += size
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(starts)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = xxhash.xxh64_intdigest(word)
-        if len(word) <= 100:
-            self[word] = value
-        return value
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def hash_texts(texts: list[bytes | None]) -> list[np.ndarray]:
+    """Word hashes of each text; short texts share a window."""
+    out: list[np.ndarray] = []
+    held: list[bytes] = []
+    size = 0
 
+    def flush() -> None:
+        if held:
+            hashes, starts = hash_words(b"\n".join(held))
+            ends = np.cumsum([len(t) + 1 for t in held])
+            out.extend(np.split(hashes, np.searchsorted(starts, ends[:-1])))
+            held.clear()
 
-def split_words(text: bytes | None, lower: bool = True) -> list[bytes]:
-    """Words between ASCII white space, A-Z lower-cased if asked."""
-    if not text:
-        return []
-    return (text.translate(_LOWER) if lower else text).split()
+    for text in texts:
+        if held and size + len(text or b"") > WINDOW:
+            flush()
+            size = 0
+        held.append(text or b"")
+        size += len(held[-1]) + 1
+    flush()
+    return out
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -59,4 +121,27 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
             factor = factor * _STEP + np.uint64(2)
         if width < size:
             total += np.uint64(width)
-    return np.unique(mix(total))
+    found = np.sort(mix(total))
+    return found[np.concatenate(([True], found[1:] != found[:-1]))]
+
+
+def pack_set(features: np.ndarray) -> bytes:
+    """A sorted set as steps between the leading 40 bits of its hashes, 4 bytes each where they fit."""
+    steps = np.diff(features >> np.uint64(24), prepend=np.uint64(0))
+    small = steps.max(initial=0) < 2 ** 32
+    return (b"\x04" if small else b"\x08") + steps.astype(np.uint32 if small else np.uint64).tobytes()
+
+
+def unpack_set(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, np.uint32 if raw[0] == 4 else np.uint64, offset=1), dtype=np.uint64)
+
+
+def similar(left: np.ndarray, right: np.ndarray, numerator: int, denominator: int) -> bool:
+    """Jaccard similarity of two sorted sets, not empty, is at least numerator / denominator."""
+    if len(left) > len(right):
+        left, right = right, left
+    if denominator * len(left) < numerator * len(right):
+        return False
+    place = np.minimum(np.searchsorted(right, left), len(right) - 1)
+    shared = int((right[place] == left).sum())
+    return denominator * shared >= numerator * (len(left) + len(right) - shared)
