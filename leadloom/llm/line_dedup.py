@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -11,113 +12,121 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.llm.shared import stored
-from leadloom.llm.words import WordHashes, mix, split_words
+from leadloom.llm.words import hash_words, mix, pack_set, similar, unpack_set
 
 # Lines match at Jaccard similarity 4/5 of their word sets; shorter lines are left alone.
 NUMERATOR, DENOMINATOR = 4, 5
 LEAST_WORDS = 5
 # Slots of the table that ranks words by rarity: a fixed size, counted over all lines.
-SLOTS = 2 ** 18
-BUCKET_ENTRIES, CHUNK_WORDS = 1_500_000, 400_000
+SLOTS = 2 ** 22
+BUCKET_ENTRIES, CHUNK_BYTES, CHUNK_LINES = 1_500_000, 1 << 20, 60_000
 # Up to so many lines under one word all pairs are taken at once; above, first those with the
 # earliest line, then what is still open.
 DIRECT = 16
 BROADCAST_IDS = 1_000_000
+PAIRS_PER_SALT = 1000
 
-_LOW48 = np.uint64((1 << 48) - 1)
+_LOW40, _LOW48 = (np.uint64((1 << n) - 1) for n in (40, 48))
 
 
-def _eligible(text: bytes | None) -> Iterator[tuple[int, list[bytes]]]:
-    """Number and words of each line with enough words."""
-    if text:
-        for number, line in enumerate(text.split(b"\n")):
-            words = split_words(line)
-            if len(words) >= LEAST_WORDS:
-                yield number, words
-
-
-class Chunk:
-    """Lines of a few documents as flat arrays."""
-
-    def __init__(self) -> None:
-        self.words: list[bytes] = []
-        self.sizes: list[int] = []
-        self.rows: list[tuple] = []
-
-    def add(self, row: tuple, words: list[bytes]) -> None:
-        self.rows.append(row)
-        self.sizes.append(len(words))
-        self.words += words
-
-    def full(self) -> bool:
-        return len(self.words) >= CHUNK_WORDS or len(self.rows) >= 60_000
-
-    def features(self, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-        """Line and hash of every word."""
-        return np.repeat(np.arange(len(self.rows), dtype=np.uint64), self.sizes), hashes.of(self.words)
-
-
-def _nodes(line: np.ndarray, word: np.ndarray, n: int) -> np.ndarray:
-    """Digest of every line's set of word hashes, which must come without repetitions."""
-    with np.errstate(over="ignore"):
-        total = np.zeros(n, np.uint64)
-        np.add.at(total, line.astype(np.int64), mix(word ^ np.uint64(0xA5A5A5A5)))
-        sizes = np.bincount(line.astype(np.int64), minlength=n).astype(np.uint64)
-        return mix(total + sizes * np.uint64(0x632BE59BD9B4E019)).view(np.int64)
+class Chunk(NamedTuple):
+    """Lines with enough words, of one or more documents, as flat arrays.
 
+    ``line`` and ``word``: line and 40-bit hash of every word; ``doc`` and ``number``: place of a
+    line's document among the ids of the chunk, and its number in it.
+    """
 
-def _distinct(line: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((word, line))
-    line, word = line[order], word[order]
-    first = np.concatenate(([True], (line[1:] != line[:-1]) | (word[1:] != word[:-1])))[:len(line)]
-    return line[first], word[first]
+    line: np.ndarray
+    word: np.ndarray
+    doc: np.ndarray
+    number: np.ndarray
+    ids: list[tuple]
+
+
+def _chunk(texts: list[bytes], ids: list[tuple]) -> Iterator[Chunk]:
+    whole = b"\n".join(texts)
+    hashes, starts = hash_words(whole)
+    breaks = np.flatnonzero(np.frombuffer(whole, np.uint8) == 10)
+    line = np.searchsorted(breaks, starts)
+    enough = np.bincount(line, minlength=len(breaks) + 1) >= LEAST_WORDS
+    chosen = np.flatnonzero(enough)
+    offsets = np.cumsum([0] + [t.count(b"\n") + 1 for t in texts])
+    doc = np.searchsorted(offsets, chosen, "right") - 1
+    number = chosen - offsets[doc]
+    kept = enough[line]
+    line, word = (np.cumsum(enough) - 1)[line[kept]], hashes[kept] >> np.uint64(24)
+    for lo in range(0, len(chosen), CHUNK_LINES):
+        hi = min(lo + CHUNK_LINES, len(chosen))
+        at = slice(np.searchsorted(line, lo), np.searchsorted(line, hi))
+        yield Chunk(line[at] - lo, word[at], doc[lo:hi], number[lo:hi], ids)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[Chunk]:
-    chunk = Chunk()
+    """Lines of all texts; the last column is the text, those before it are kept as ids."""
+    texts: list[bytes] = []
+    ids: list[tuple] = []
+    size = 0
     for batch in batches:
-        ids = [batch.column(i).to_pylist() for i in range(keys)]
+        columns = [batch.column(i).to_pylist() for i in range(keys)]
         for i, text in enumerate(batch.column(keys)):
-            row = tuple(c[i] for c in ids)
-            for number, words in _eligible(text.as_py()):
-                chunk.add((*row, number), words)
-                if chunk.full():
-                    yield chunk
-                    chunk = Chunk()
-    if chunk.rows:
-        yield chunk
+            text = text.as_py()
+            if text:
+                texts.append(text)
+                ids.append(tuple(c[i] for c in columns))
+                size += len(text)
+            if size >= CHUNK_BYTES:
+                yield from _chunk(texts, ids)
+                texts, ids, size = [], [], 0
+    if texts:
+        yield from _chunk(texts, ids)
+
+
+def _nodes(line: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Digest, size and 64-bit parity sketch of every line's set; pairs are distinct, by line.
+
+    Each word flips one bit of the sketch, so sets whose sketches differ in d bits differ in at
+    least d words.
+    """
+    starts = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
+    sizes = np.diff(np.append(starts, len(line)))
+    with np.errstate(over="ignore"):
+        total = np.add.reduceat(mix(word), starts)
+        digest = mix(total + sizes.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)).view(np.int64)
+        sketch = np.bitwise_xor.reduceat(np.uint64(1) << (word & np.uint64(63)), starts).view(np.int64)
+    return digest, sizes, sketch
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, version, number, node``: every line with enough words and its set."""
+    """Every line with enough words and its set: ``doc_id, version, number, node``; and, in rows
+    of their own, how many words of such lines fall into a slot of the table that ranks words by
+    rarity: ``slot, n``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        total = np.zeros(SLOTS, np.int32)
+        names = ["doc_id", "version", "number", "node", "slot", "n"]
         for chunk in _chunks(batches, 2):
-            line, word = _distinct(*chunk.features(hashes))
-            rows = list(zip(*chunk.rows, strict=True))
+            np.add.at(total, (chunk.word % np.uint64(SLOTS)).astype(np.int64), 1)
+            packed = np.unique((chunk.line.astype(np.uint64) << np.uint64(40)) | chunk.word)
+            node, _, _ = _nodes(packed >> np.uint64(40), packed & _LOW40)
+            at = pa.array(chunk.doc)
+            none = pa.nulls(len(node), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()),
-                 pa.array(_nodes(line, word, len(chunk.rows)))], ["doc_id", "version", "number", "node"])
+                [pa.array([i[0] for i in chunk.ids], pa.int64()).take(at), pa.array([i[1] for i in chunk.ids], pa.int64()).take(at),
+                 pa.array(chunk.number.astype(np.int32)), pa.array(node), none, none], names)
+        used = np.flatnonzero(total)
+        none = pa.nulls(len(used), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(used), pa.int32()), none, pa.array(used.astype(np.int32)), pa.array(total[used])], names)
 
-    return docs.select("doc_id", "version", "bytes").mapInArrow(run, "doc_id bigint, version bigint, number int, node bigint")
+    return docs.select("doc_id", "version", "bytes").mapInArrow(run, "doc_id bigint, version bigint, number int, node bigint, slot int, n int")
 
 
-def rarity(docs: DataFrame, slots: int = SLOTS) -> tuple[np.ndarray, int]:
+def rarity(counted: DataFrame) -> tuple[np.ndarray, int]:
     """Logarithmic frequency class of every slot of words, and the number of words counted.
 
-    Each word of each line with enough words counts, wherever it is; words of a slot share their
+    The table has a fixed number of slots and covers all lines; words of a slot share their
     class, which only makes the order coarser. The driver gets one number per slot.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = WordHashes(), np.zeros(slots, np.int64)
-        for chunk in _chunks(batches, 0):
-            total += np.bincount((hashes.of(chunk.words) % np.uint64(slots)).astype(np.int64), minlength=slots)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["slot", "n"])
-
-    counted = docs.select("bytes").mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
-    rows = counted.toArrow()
-    counts = np.zeros(slots, np.int64)
+    rows = counted.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
     counts[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
     return np.minimum(255, np.floor(8 * np.log2(counts + 1.0))).astype(np.uint8), int(counts.sum())
 
@@ -129,22 +138,18 @@ def prefixes(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
     order common to all lines: here by frequency class, then hash.
     """
     sent = docs.sparkSession.sparkContext.broadcast(classes)
-    slots = len(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, rank = WordHashes(), sent.value
+        rank = sent.value
         for chunk in _chunks(batches, 1):
-            line, word = chunk.features(hashes)
-            n_lines = len(chunk.rows)
             # One number sorts by line, then rarity, then hash, and names the word by its lower 48 bits.
-            of_word = (rank[(word % np.uint64(slots)).astype(np.int64)].astype(np.uint64) << np.uint64(40)) | (word >> np.uint64(24))
-            node = _nodes(*_distinct(line, word), n_lines)
-            packed = np.unique((line << np.uint64(48)) | of_word)
+            of_word = (rank[(chunk.word % np.uint64(SLOTS)).astype(np.int64)].astype(np.uint64) << np.uint64(40)) | chunk.word
+            packed = np.unique((chunk.line.astype(np.uint64) << np.uint64(48)) | of_word)
             line = (packed >> np.uint64(48)).astype(np.int64)
-            sizes = np.bincount(line, minlength=n_lines)
+            node, sizes, sketch = _nodes(line, packed & _LOW40)
             place = np.arange(len(packed)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             length = sizes - (NUMERATOR * sizes + DENOMINATOR - 1) // DENOMINATOR + 1
-            once = np.zeros(n_lines, bool)  # equal sets of a chunk sign once
+            once = np.zeros(len(node), bool)  # equal sets of a chunk sign once
             once[np.unique(node, return_index=True)[1]] = True
             kept = (place < length[line]) & once[line]
             key, line, place = packed[kept] & _LOW48, line[kept], place[kept]
@@ -152,35 +157,39 @@ def prefixes(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
             order = np.argsort(bucket, kind="stable")
             key, line, place, bucket = key[order], line[order], place[order], bucket[order]
             cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
-            doc = np.array([-1 if r[0] is None else r[0] for r in chunk.rows], np.int64)
+            doc = np.array([-1 if i[0] is None else i[0] for i in chunk.ids], np.int64)[chunk.doc]
+            about = np.stack([node, doc, sizes.astype(np.int64), sketch], axis=1)
             out = []
             for lo, hi in zip(cut[:-1], cut[1:], strict=True):
                 used, at = np.unique(line[lo:hi], return_inverse=True)
                 raw = key[lo:hi].view(np.uint8).reshape(-1, 8)[:, :6]
                 out.append((int(bucket[lo]), raw.tobytes(), at.astype(np.uint16).tobytes(), place[lo:hi].astype(np.uint32).tobytes(),
-                            node[used].tobytes(), doc[used].tobytes(), sizes[used].astype(np.int32).tobytes()))
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["bucket", "keys", "at", "places", "nodes", "docs", "sizes"]),
-                                             preserve_index=False)
+                            about[used].tobytes()))
+            yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["bucket", "keys", "at", "places", "about"]), preserve_index=False)
 
-    return docs.select("doc_id", "bytes").mapInArrow(
-        run, "bucket bigint, keys binary, at binary, places binary, nodes binary, docs binary, sizes binary")
+    return docs.select("doc_id", "bytes").mapInArrow(run, "bucket bigint, keys binary, at binary, places binary, about binary")
 
 
-def _may_match(n, i, m, j):
-    """Length and positional filter for sets of n and m words that share their i-th and j-th."""
+def _may_match(n, i, x, m, j, y):
+    """Length, positional and sketch filter for sets of n and m words, sketches x and y, whose
+    first shared word in their order is the i-th of one and the j-th of the other.
+
+    Pairs are tried at every word they share; at the first one nothing before it is shared, so a
+    pair the filter rejects everywhere is not similar.
+    """
     low, high = np.minimum(n, m), np.maximum(n, m)
     # Least intersection: 4/9 of both sizes, rounded up.
     least = -(-NUMERATOR * (n + m) // (NUMERATOR + DENOMINATOR))
-    # What comes before the first shared place differs; a shared word may be the last of its set's prefix part.
-    reach = 1 + np.minimum(n - i - 1, m - j - 1) + np.minimum(i, j)
-    return (DENOMINATOR * low >= NUMERATOR * high) & (reach >= least)
+    reach = 1 + np.minimum(n - i - 1, m - j - 1)
+    return (DENOMINATOR * low >= NUMERATOR * high) & (reach >= least) & (np.bitwise_count((x ^ y).view(np.uint64)) <= n + m - 2 * least)
 
 
 PAIR, MEMBER = 0, 1
+MET = "kind int, a bigint, b bigint, n bigint, place bigint, sketch bigint"
 
 
 def meet(frame: pd.DataFrame, direct: int = DIRECT) -> pd.DataFrame:
-    """Candidates of one bucket: ``kind, a, b, n, place``.
+    """Candidates of one bucket: ``kind, a, b, n, place, sketch``.
 
     PAIR: two sets that share a word of their prefixes and pass the filters. MEMBER: set b, of n
     words, holds word a of a group of more than ``direct`` sets at the given place.
@@ -190,22 +199,21 @@ def meet(frame: pd.DataFrame, direct: int = DIRECT) -> pd.DataFrame:
         raw = np.frombuffer(row.keys, np.uint8).reshape(-1, 6)
         wide = np.zeros((len(raw), 8), np.uint8)
         wide[:, :6] = raw
-        at = np.frombuffer(row.at, np.uint16)
-        parts.append((wide.view(np.uint64).ravel(), np.frombuffer(row.nodes, np.int64)[at], np.frombuffer(row.docs, np.int64)[at],
-                      np.frombuffer(row.sizes, np.int32)[at].astype(np.int64), np.frombuffer(row.places, np.uint32).astype(np.int64)))
-    key, node, doc, size, place = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        about = np.frombuffer(row.about, np.int64).reshape(-1, 4)[np.frombuffer(row.at, np.uint16)]
+        parts.append((wide.view(np.uint64).ravel(), about, np.frombuffer(row.places, np.uint32).astype(np.int64)))
+    key, about, place = (np.concatenate([p[i] for p in parts]) for i in range(3))
     order = np.argsort(key, kind="stable")
     sorted_key = key[order]
     same = sorted_key[1:] == sorted_key[:-1]
     order = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
-    key, node, doc, size, place = key[order], node[order], doc[order], size[order], place[order]
     # The earliest document of each (word, set).
-    order = np.lexsort((doc, node, key))
-    key, node, doc, size, place = key[order], node[order], doc[order], size[order], place[order]
+    order = order[np.lexsort((about[order, 1], about[order, 0], key[order]))]
+    key, place = key[order], place[order]
+    node, doc, size, sketch = about[order].T
     first = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))[:len(key)]
-    key, node, doc, size, place = key[first], node[first], doc[first], size[first], place[first]
-    out = [pd.DataFrame({"kind": np.zeros(0, np.int32), "a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64),
-                         "n": np.zeros(0, np.int64), "place": np.zeros(0, np.int64)})]
+    key, node, doc, size, sketch, place = (x[first] for x in (key, node, doc, size, sketch, place))
+    names = ["kind", "a", "b", "n", "place", "sketch"]
+    out = [pd.DataFrame({c: np.zeros(0, np.int32 if c == "kind" else np.int64) for c in names})]
     if not len(key):
         return out[0]
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
@@ -214,60 +222,71 @@ def meet(frame: pd.DataFrame, direct: int = DIRECT) -> pd.DataFrame:
     lefts, rights = [], []
 
     def take(x: np.ndarray, y: np.ndarray) -> None:
-        good = _may_match(size[x], place[x], size[y], place[y]) & (node[x] != node[y])
+        good = _may_match(size[x], place[x], sketch[x], size[y], place[y], sketch[y]) & (node[x] != node[y])
         lefts.append(node[x[good]])
         rights.append(node[y[good]])
 
     small = sizes[group] <= direct
-    for d in range(1, direct):
-        x = np.flatnonzero(small[:-d] & (group[:-d] == group[d:])) if len(group) > d else np.zeros(0, np.int64)
+    for d in range(1, min(direct, len(key))):
+        x = np.flatnonzero(small[:-d] & (group[:-d] == group[d:]))
         if not len(x):
             break
         take(x, x + d)
     if not small.all():
-        by_doc = np.lexsort((node, doc, group))
-        leader = by_doc[starts][group]
+        leader = np.lexsort((node, doc, group))[starts][group]
         take(leader[~small], np.flatnonzero(~small))
-        out.append(pd.DataFrame({"kind": np.int32(MEMBER), "a": key[~small].view(np.int64), "b": node[~small], "n": size[~small], "place": place[~small]}))
-    a, b = np.concatenate(lefts) if lefts else np.zeros(0, np.int64), np.concatenate(rights) if rights else np.zeros(0, np.int64)
+        out.append(pd.DataFrame({"kind": MEMBER, "a": key[~small].view(np.int64), "b": node[~small], "n": size[~small],
+                                 "place": place[~small], "sketch": sketch[~small]}))
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lefts, rights))
     pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-    out.append(pd.DataFrame({"kind": np.int32(PAIR), "a": pairs["a"], "b": pairs["b"], "n": np.int64(0), "place": np.int64(0)}))
-    return pd.concat(out, ignore_index=True)
+    out.append(pairs.assign(kind=PAIR, n=0, place=0, sketch=0)[names])
+    return pd.concat(out, ignore_index=True).astype({"kind": np.int32})
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Pairs whose word sets really are similar, from the text of each set's first line."""
+    """Pairs whose word sets really are similar, from the text of each set's first line.
+
+    Every set travels once per pair to its ``a``, the set of ``a`` once per thousand pairs, so
+    that a task holds two sets at a time however many pairs an ``a`` has.
+    """
     pairs = stored(pairs.select("a", "b").distinct())
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.join(firsts, "node").groupBy("doc_id", "version").agg(F.collect_list(F.struct("node", "number")).alias("wanted"))
+    crowd = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_PER_SALT).cast("int").alias("salts"))
+    sent = pairs.join(crowd, "a").select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("turn"))
+    leads = crowd.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("turn"))
+    wanted = sent.unionAll(leads).join(firsts, "node").groupBy("doc_id", "version").agg(
+        F.collect_list(F.struct("number", "node", "a", "salt", "turn")).alias("wanted"))
     wanted = stored(wanted)
+    # Texts are picked by a list of bounded size, or else by a shuffle.
     lists = F.broadcast(wanted) if (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= BROADCAST_IDS else wanted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            nodes, sets = [], []
+            out = []
             for asked, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                lines = text.as_py().split(b"\n")
+                lines, sets = text.as_py().split(b"\n"), {}
                 for x in asked:
-                    nodes.append(x["node"])
-                    sets.append(np.unique(hashes.of(split_words(lines[x["number"]]))).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "features"])
+                    i = x["number"]
+                    if i not in sets:
+                        sets[i] = pack_set(np.unique(hash_words(lines[i])[0]))
+                    out.append((x["node"], x["a"], x["salt"], x["turn"], sets[i]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(
+                (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["node", "a", "salt", "turn", "features"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead, own = None, None
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                left, right = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                shared = len(np.intersect1d(left, right, assume_unique=True))
-                good.append(DENOMINATOR * shared >= NUMERATOR * (len(left) + len(right) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+            found = []
+            for node, a, turn, raw in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), batch.column(4), strict=True):
+                if turn == 0:
+                    lead, own = a, unpack_set(raw.as_py())
+                elif lead == a and similar(own, unpack_set(raw.as_py()), NUMERATOR, DENOMINATOR):
+                    found.append((a, node))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
-    found = docs.join(lists, ["doc_id", "version"]).select("wanted", "bytes").mapInArrow(run, "node bigint, features binary")
-    sets = stored(found.dropDuplicates(["node"]))
-    side = lambda n, c: sets.select(F.col("node").alias(n), F.col("features").alias(c))
-    both = pairs.join(side("b", "right"), "b").join(side("a", "left"), "a")
-    return both.select("a", "b", "left", "right").mapInArrow(compare, "a bigint, b bigint")
+    # Rows alike in id and text give the same sets twice, which does no harm.
+    sets = docs.join(lists, ["doc_id", "version"]).select("wanted", "bytes").mapInArrow(
+        run, "node bigint, a bigint, salt int, turn int, features binary")
+    return sets.repartition(F.col("a"), F.col("salt")).sortWithinPartitions("a", "salt", "turn").mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def _later(links: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -282,24 +301,25 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
     ``docs`` has ``doc_id, version, bytes``.
     """
-    lines = stored(lines_of(docs))
-    classes, total = rarity(docs)
+    read = stored(lines_of(docs))
+    lines = read.where("slot IS NULL").select("doc_id", "version", "number", "node")
+    classes, total = rarity(read.where("slot IS NOT NULL"))
     firsts = stored(lines.groupBy("node").agg(
         F.min(F.struct("doc_id", "version", "number")).alias("f"), F.count("*").alias("n")).select("node", "f.*", "n"))
     buckets = max(1, -(-total // (4 * BUCKET_ENTRIES)))
-    met = stored(prefixes(docs, classes, buckets).groupBy("bucket").applyInPandas(
-        lambda frame: meet(frame), "kind int, a bigint, b bigint, n bigint, place bigint"))
+    met = stored(prefixes(docs, classes, buckets).groupBy("bucket").applyInPandas(lambda frame: meet(frame), MET))
     pairs = stored(met.where(F.col("kind") == PAIR).select("a", "b").distinct())
     later = stored(_later(_verified(pairs, docs, firsts), firsts))
 
     # Crowded words: any line against those not yet known to repeat an earlier one.
-    member = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("word"), F.col("b").alias("node"), "n", "place").distinct()
-    member = stored(member)
+    member = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("word"), F.col("b").alias("node"), "n", "place", "sketch")
     if not member.isEmpty():
-        still = member.join(later, "node", "left_anti").select("word", F.col("node").alias("y"), F.col("n").alias("m"), F.col("place").alias("j"))
+        still = member.join(later, "node", "left_anti").select(
+            "word", F.col("node").alias("y"), F.col("n").alias("m"), F.col("place").alias("j"), F.col("sketch").alias("z"))
         least = F.ceil((NUMERATOR * (F.col("n") + F.col("m"))) / (NUMERATOR + DENOMINATOR))
-        reach = 1 + F.least(F.col("n") - F.col("place") - 1, F.col("m") - F.col("j") - 1) + F.least("place", "j")
-        fits = (DENOMINATOR * F.least("n", "m") >= NUMERATOR * F.greatest("n", "m")) & (reach >= least)
+        reach = 1 + F.least(F.col("n") - F.col("place") - 1, F.col("m") - F.col("j") - 1)
+        fits = (DENOMINATOR * F.least("n", "m") >= NUMERATOR * F.greatest("n", "m")) & (reach >= least) & (
+            F.bit_count(F.col("sketch").bitwiseXOR(F.col("z"))) <= F.col("n") + F.col("m") - 2 * least)
         open_pairs = member.join(still, "word").where((F.col("node") != F.col("y")) & fits)
         open_pairs = open_pairs.select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).distinct()
         open_pairs = stored(open_pairs.join(pairs, ["a", "b"], "left_anti"))
