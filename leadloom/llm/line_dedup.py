@@ -18,11 +18,11 @@ from leadloom.llm.words import hash_words, mix, pack_set, similar, unpack_set
 NUMERATOR, DENOMINATOR = 4, 5
 LEAST_WORDS = 5
 # Slots of the table that ranks words by rarity: a fixed size, counted over all lines.
-SLOTS = 2 ** 22
+SLOTS, BLOCK = 2 ** 22, 4096
 BUCKET_ENTRIES, CHUNK_BYTES, CHUNK_LINES = 1_500_000, 1 << 20, 60_000
-# Up to so many lines under one word all pairs are taken at once; above, first those with the
-# earliest line, then what is still open.
-DIRECT = 16
+# Up to so many lines under one word all pairs are filtered at once; above, first those with one
+# line of the group, then what is still open.
+DIRECT = 1024
 BROADCAST_IDS = 1_000_000
 PAIRS_PER_SALT = 1000
 
@@ -81,8 +81,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[Chunk]:
         yield from _chunk(texts, ids)
 
 
-def _nodes(line: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Digest, size and 64-bit parity sketch of every line's set; pairs are distinct, by line.
+def _nodes(line: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Digest, size and 128-bit parity sketch of every line's set; pairs are distinct, by line.
 
     Each word flips one bit of the sketch, so sets whose sketches differ in d bits differ in at
     least d words.
@@ -92,31 +92,37 @@ def _nodes(line: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     with np.errstate(over="ignore"):
         total = np.add.reduceat(mix(word), starts)
         digest = mix(total + sizes.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)).view(np.int64)
-        sketch = np.bitwise_xor.reduceat(np.uint64(1) << (word & np.uint64(63)), starts).view(np.int64)
+        bit, low = np.uint64(1) << (word & np.uint64(63)), (word & np.uint64(64)) == 0
+        sketch = [np.bitwise_xor.reduceat(np.where(side, bit, np.uint64(0)), starts).view(np.int64) for side in (low, ~low)]
     return digest, sizes, sketch
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """Every line with enough words and its set: ``doc_id, version, number, node``; and, in rows
-    of their own, how many words of such lines fall into a slot of the table that ranks words by
-    rarity: ``slot, n``."""
+    of their own, how many words of such lines fall into the slots of the table that ranks words
+    by rarity: ``block, slots, counts``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int32)
-        names = ["doc_id", "version", "number", "node", "slot", "n"]
+        names = ["doc_id", "version", "number", "node", "block", "slots", "counts"]
         for chunk in _chunks(batches, 2):
             np.add.at(total, (chunk.word % np.uint64(SLOTS)).astype(np.int64), 1)
             packed = np.unique((chunk.line.astype(np.uint64) << np.uint64(40)) | chunk.word)
             node, _, _ = _nodes(packed >> np.uint64(40), packed & _LOW40)
             at = pa.array(chunk.doc)
-            none = pa.nulls(len(node), pa.int32())
+            none = [pa.nulls(len(node), t) for t in (pa.int32(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i[0] for i in chunk.ids], pa.int64()).take(at), pa.array([i[1] for i in chunk.ids], pa.int64()).take(at),
-                 pa.array(chunk.number.astype(np.int32)), pa.array(node), none, none], names)
-        used = np.flatnonzero(total)
-        none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(used), pa.int32()), none, pa.array(used.astype(np.int32)), pa.array(total[used])], names)
+                 pa.array(chunk.number.astype(np.int32)), pa.array(node), *none], names)
+        rows = []
+        for block in range(0, SLOTS, BLOCK):
+            used = np.flatnonzero(total[block:block + BLOCK])
+            if len(used):
+                rows.append((block, used.astype(np.uint16).tobytes(), total[block + used].astype(np.int64).tobytes()))
+        none = [pa.nulls(len(rows), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))], names)
 
-    return docs.select("doc_id", "version", "bytes").mapInArrow(run, "doc_id bigint, version bigint, number int, node bigint, slot int, n int")
+    return docs.select("doc_id", "version", "bytes").mapInArrow(
+        run, "doc_id bigint, version bigint, number int, node bigint, block int, slots binary, counts binary")
 
 
 def rarity(counted: DataFrame) -> tuple[np.ndarray, int]:
@@ -125,9 +131,19 @@ def rarity(counted: DataFrame) -> tuple[np.ndarray, int]:
     The table has a fixed number of slots and covers all lines; words of a slot share their
     class, which only makes the order coarser. The driver gets one number per slot.
     """
-    rows = counted.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(BLOCK, np.int64)
+        for slots, counts in zip(frame["slots"], frame["counts"], strict=True):
+            total[np.frombuffer(slots, np.uint16)] += np.frombuffer(counts, np.int64)
+        used = np.flatnonzero(total)
+        return pd.DataFrame({"block": frame["block"].iloc[:1], "slots": [used.astype(np.uint16).tobytes()], "counts": [total[used].tobytes()]})
+
+    kind = "block int, slots binary, counts binary"
+    # In two steps, so that no group holds a row of every map task.
+    some = counted.groupBy("block", F.pmod(F.xxhash64("counts"), F.lit(64))).applyInPandas(lambda f: add(f), kind)
     counts = np.zeros(SLOTS, np.int64)
-    counts[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
+    for block, slots, values in some.groupBy("block").applyInPandas(lambda f: add(f), kind).collect():
+        counts[block + np.frombuffer(slots, np.uint16).astype(np.int64)] = np.frombuffer(values, np.int64)
     return np.minimum(255, np.floor(8 * np.log2(counts + 1.0))).astype(np.uint8), int(counts.sum())
 
 
@@ -141,7 +157,7 @@ def prefixes(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = sent.value
-        for chunk in _chunks(batches, 1):
+        for chunk in _chunks(batches, 0):
             # One number sorts by line, then rarity, then hash, and names the word by its lower 48 bits.
             of_word = (rank[(chunk.word % np.uint64(SLOTS)).astype(np.int64)].astype(np.uint64) << np.uint64(40)) | chunk.word
             packed = np.unique((chunk.line.astype(np.uint64) << np.uint64(48)) | of_word)
@@ -157,8 +173,7 @@ def prefixes(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
             order = np.argsort(bucket, kind="stable")
             key, line, place, bucket = key[order], line[order], place[order], bucket[order]
             cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
-            doc = np.array([-1 if i[0] is None else i[0] for i in chunk.ids], np.int64)[chunk.doc]
-            about = np.stack([node, doc, sizes.astype(np.int64), sketch], axis=1)
+            about = np.stack([node, sizes.astype(np.int64), *sketch], axis=1)
             out = []
             for lo, hi in zip(cut[:-1], cut[1:], strict=True):
                 used, at = np.unique(line[lo:hi], return_inverse=True)
@@ -167,79 +182,88 @@ def prefixes(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
                             about[used].tobytes()))
             yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["bucket", "keys", "at", "places", "about"]), preserve_index=False)
 
-    return docs.select("doc_id", "bytes").mapInArrow(run, "bucket bigint, keys binary, at binary, places binary, about binary")
+    return docs.select("bytes").mapInArrow(run, "bucket bigint, keys binary, at binary, places binary, about binary")
 
 
-def _may_match(n, i, x, m, j, y):
-    """Length, positional and sketch filter for sets of n and m words, sketches x and y, whose
-    first shared word in their order is the i-th of one and the j-th of the other.
+def _may_match(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Length, positional and sketch filter for sets a and b (columns as in ``about``) whose first
+    shared word in their order is the i-th of one and the j-th of the other.
 
     Pairs are tried at every word they share; at the first one nothing before it is shared, so a
     pair the filter rejects everywhere is not similar.
     """
-    low, high = np.minimum(n, m), np.maximum(n, m)
+    n, m = a[:, 1], b[:, 1]
     # Least intersection: 4/9 of both sizes, rounded up.
     least = -(-NUMERATOR * (n + m) // (NUMERATOR + DENOMINATOR))
-    reach = 1 + np.minimum(n - i - 1, m - j - 1)
-    return (DENOMINATOR * low >= NUMERATOR * high) & (reach >= least) & (np.bitwise_count((x ^ y).view(np.uint64)) <= n + m - 2 * least)
+    good = (DENOMINATOR * np.minimum(n, m) >= NUMERATOR * np.maximum(n, m)) & (1 + np.minimum(n - i - 1, m - j - 1) >= least)
+    # Unsigned, as numpy counts the bits of absolute values.
+    differ = np.bitwise_count((a[:, 2:] ^ b[:, 2:]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+    return good & (differ <= n + m - 2 * least)
 
 
 PAIR, MEMBER = 0, 1
-MET = "kind int, a bigint, b bigint, n bigint, place bigint, sketch bigint"
+MET = "kind int, a bigint, b bigint, n bigint, place bigint, low bigint, high bigint"
 
 
 def meet(frame: pd.DataFrame, direct: int = DIRECT) -> pd.DataFrame:
-    """Candidates of one bucket: ``kind, a, b, n, place, sketch``.
+    """Candidates of one bucket: ``kind, a, b, n, place, low, high``.
 
     PAIR: two sets that share a word of their prefixes and pass the filters. MEMBER: set b, of n
-    words, holds word a of a group of more than ``direct`` sets at the given place.
+    words and with this sketch, holds word a of a group of more than ``direct`` sets at the given
+    place.
     """
     parts = []
     for row in frame.itertuples():
         raw = np.frombuffer(row.keys, np.uint8).reshape(-1, 6)
         wide = np.zeros((len(raw), 8), np.uint8)
         wide[:, :6] = raw
-        about = np.frombuffer(row.about, np.int64).reshape(-1, 4)[np.frombuffer(row.at, np.uint16)]
-        parts.append((wide.view(np.uint64).ravel(), about, np.frombuffer(row.places, np.uint32).astype(np.int64)))
-    key, about, place = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        about = np.frombuffer(row.about, np.int64).reshape(-1, 4)
+        parts.append((wide.view(np.uint64).ravel(), about, np.frombuffer(row.at, np.uint16).astype(np.int64), np.frombuffer(row.places, np.uint32)))
+    offsets = np.cumsum([0] + [len(p[1]) for p in parts])
+    key, about, place = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 3))
+    at = np.concatenate([p[2] + o for p, o in zip(parts, offsets, strict=False)])
+    del parts
     order = np.argsort(key, kind="stable")
     sorted_key = key[order]
     same = sorted_key[1:] == sorted_key[:-1]
     order = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
-    # The earliest document of each (word, set).
-    order = order[np.lexsort((about[order, 1], about[order, 0], key[order]))]
-    key, place = key[order], place[order]
-    node, doc, size, sketch = about[order].T
+    # By word, then size, so that what is too long for a set is too long from there on.
+    order = order[np.lexsort((about[at[order], 0], about[at[order], 1], key[order]))]
+    key, place, at = key[order], place[order].astype(np.int64), at[order]
+    node = about[at, 0]
     first = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))[:len(key)]
-    key, node, doc, size, sketch, place = (x[first] for x in (key, node, doc, size, sketch, place))
-    names = ["kind", "a", "b", "n", "place", "sketch"]
+    key, place, at, node = key[first], place[first], at[first], node[first]
+    names = ["kind", "a", "b", "n", "place", "low", "high"]
     out = [pd.DataFrame({c: np.zeros(0, np.int32 if c == "kind" else np.int64) for c in names})]
     if not len(key):
         return out[0]
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     sizes = np.diff(np.append(starts, len(key)))
     group = np.repeat(np.arange(len(starts)), sizes)
+    size = about[at, 1]
     lefts, rights = [], []
 
     def take(x: np.ndarray, y: np.ndarray) -> None:
-        good = _may_match(size[x], place[x], sketch[x], size[y], place[y], sketch[y]) & (node[x] != node[y])
+        good = _may_match(about[at[x]], place[x], about[at[y]], place[y]) & (node[x] != node[y])
         lefts.append(node[x[good]])
         rights.append(node[y[good]])
 
     small = sizes[group] <= direct
-    for d in range(1, min(direct, len(key))):
-        x = np.flatnonzero(small[:-d] & (group[:-d] == group[d:]))
-        if not len(x):
-            break
-        take(x, x + d)
+    x, d = np.flatnonzero(small), 0
+    while len(x):
+        d += 1
+        x = x[x + d < len(key)]
+        x = x[(group[x + d] == group[x]) & (DENOMINATOR * size[x] >= NUMERATOR * size[x + d])]
+        for lo in range(0, len(x), 200_000):
+            take(x[lo:lo + 200_000], x[lo:lo + 200_000] + d)
     if not small.all():
-        leader = np.lexsort((node, doc, group))[starts][group]
-        take(leader[~small], np.flatnonzero(~small))
-        out.append(pd.DataFrame({"kind": MEMBER, "a": key[~small].view(np.int64), "b": node[~small], "n": size[~small],
-                                 "place": place[~small], "sketch": sketch[~small]}))
+        many = np.flatnonzero(~small)
+        take(starts[group[many]], many)
+        out.append(pd.DataFrame({"kind": MEMBER, "a": key[many].view(np.int64), "b": node[many], "n": size[many], "place": place[many],
+                                 "low": about[at[many], 2], "high": about[at[many], 3]}))
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lefts, rights))
     pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-    out.append(pairs.assign(kind=PAIR, n=0, place=0, sketch=0)[names])
+    out.append(pairs.assign(kind=PAIR, n=0, place=0, low=0, high=0)[names])
     return pd.concat(out, ignore_index=True).astype({"kind": np.int32})
 
 
@@ -302,8 +326,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     ``docs`` has ``doc_id, version, bytes``.
     """
     read = stored(lines_of(docs))
-    lines = read.where("slot IS NULL").select("doc_id", "version", "number", "node")
-    classes, total = rarity(read.where("slot IS NOT NULL"))
+    lines = read.where("block IS NULL").select("doc_id", "version", "number", "node")
+    classes, total = rarity(read.where("block IS NOT NULL").select("block", "slots", "counts"))
     firsts = stored(lines.groupBy("node").agg(
         F.min(F.struct("doc_id", "version", "number")).alias("f"), F.count("*").alias("n")).select("node", "f.*", "n"))
     buckets = max(1, -(-total // (4 * BUCKET_ENTRIES)))
@@ -312,14 +336,14 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     later = stored(_later(_verified(pairs, docs, firsts), firsts))
 
     # Crowded words: any line against those not yet known to repeat an earlier one.
-    member = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("word"), F.col("b").alias("node"), "n", "place", "sketch")
+    member = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("word"), F.col("b").alias("node"), "n", "place", "low", "high")
     if not member.isEmpty():
         still = member.join(later, "node", "left_anti").select(
-            "word", F.col("node").alias("y"), F.col("n").alias("m"), F.col("place").alias("j"), F.col("sketch").alias("z"))
+            "word", F.col("node").alias("y"), F.col("n").alias("m"), F.col("place").alias("j"), F.col("low").alias("l"), F.col("high").alias("h"))
         least = F.ceil((NUMERATOR * (F.col("n") + F.col("m"))) / (NUMERATOR + DENOMINATOR))
         reach = 1 + F.least(F.col("n") - F.col("place") - 1, F.col("m") - F.col("j") - 1)
         fits = (DENOMINATOR * F.least("n", "m") >= NUMERATOR * F.greatest("n", "m")) & (reach >= least) & (
-            F.bit_count(F.col("sketch").bitwiseXOR(F.col("z"))) <= F.col("n") + F.col("m") - 2 * least)
+            F.bit_count(F.col("low").bitwiseXOR(F.col("l"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("h"))) <= F.col("n") + F.col("m") - 2 * least)
         open_pairs = member.join(still, "word").where((F.col("node") != F.col("y")) & fits)
         open_pairs = open_pairs.select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).distinct()
         open_pairs = stored(open_pairs.join(pairs, ["a", "b"], "left_anti"))
@@ -345,18 +369,18 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """
     names = [c for c in docs.columns if c not in (id_col, text_col)]
     version = F.xxhash64(F.col(text_col))
-    own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), version.alias("version"), F.col(text_col).cast("binary").alias("bytes"))
-    numbers = repeated_lines(own).select(
-        F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("doc_id").isNull().alias("__none"), F.col("version").alias("__version"), "numbers")
-    wide = docs.withColumn("__v", version).withColumn("__i", F.coalesce(F.col(id_col).cast("bigint"), F.lit(0))).withColumn(
-        "__n", F.col(id_col).isNull())
-    joined = wide.join(numbers, (wide["__i"] == numbers["__id"]) & (wide["__n"] == numbers["__none"]) & (wide["__v"] == numbers["__version"]), "left")
+    # NULL ids take the smallest number, so that joins keep them.
+    number = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-2 ** 63))
+    own = docs.select(number.alias("doc_id"), version.alias("version"), F.col(text_col).cast("binary").alias("bytes"))
+    numbers = repeated_lines(own).select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("numbers").alias("__numbers"))
+    wide = docs.withColumn("__v", version).withColumn("__i", number)
+    joined = wide.join(numbers, (wide["__i"] == numbers["__id"]) & (wide["__v"] == numbers["__version"]), "left")
 
     def without(lines: Column) -> Column:
-        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("numbers"))
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__numbers"))
         return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
 
     lines = F.element_at(F.transform(F.array(F.split(F.col(text_col), "\n", -1)), without), 1)
-    text = F.when(F.col("numbers").isNull(), F.col(text_col)).otherwise(lines)
-    out = joined.select(id_col, text.alias(text_col), *names, F.coalesce(F.size("numbers"), F.lit(0)).alias("n_removed"))
+    text = F.when(F.col("__numbers").isNull(), F.col(text_col)).otherwise(lines)
+    out = joined.select(id_col, text.alias(text_col), *names, F.coalesce(F.when(F.col("__numbers").isNotNull(), F.size("__numbers")), F.lit(0)).alias("n_removed"))
     return out.select(*docs.columns, "n_removed")

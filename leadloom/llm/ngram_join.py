@@ -25,6 +25,7 @@ HOT = 16
 # Ids that may be broadcast to pick texts; beyond that the texts are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 PAIRS_PER_SALT = 1000
+NO_ID = 2 ** 63 - 1
 
 
 # --- signatures -----------------------------------------------------------------------------
@@ -275,7 +276,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     and link with nothing. Rows link at Jaccard similarity 3/4 and more; ``component_id`` is the
     smallest id reachable by links. Rows with equal sets are linked through their set; repeated
     ids are rows of their own with one component; rows without id have the component of the rest
-    of their group.
+    of their group, NULL if no row of it has an id.
 
     Equal sets become one node. Nodes meet by signature. In groups of up to ``HOT`` nodes all
     pairs are counted, and those that share as many signatures as similar sets must are compared:
@@ -285,9 +286,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     smallest node of their group, and what then still lies in different components pair by
     pair, again after counting. Elements are compared as hashes, of 40 bits in the last test.
     """
-    own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    # NULL ids take the largest number, so that joins keep them.
+    own = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).alias("text"))
     profile = stored(profiles(own, shingle))
-    classes = stored(profile.where("node <> 0 AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
+    classes = stored(profile.where("node <> 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
     total = profile.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_ENTRIES))
     met = stored(packed_signatures(own, buckets, shingle).groupBy("bucket").applyInPandas(lambda frame: meet(frame), MET))
@@ -337,7 +339,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     probe = profile.withColumn("k", key).withColumn("empty", F.col("node") == 0)
     joined = probe.join(named.select(F.col("node").alias("k"), "component_id"), "k", "left")
     component = F.when(F.col("empty"), F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"))
+    return joined.select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif(component, F.lit(NO_ID)).alias("component_id"))
 
 
 def _more(links: DataFrame, labels: DataFrame, pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int):
