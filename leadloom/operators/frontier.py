@@ -118,20 +118,21 @@ def expand_pages(frontier: DataFrame, pages: Column | int, paged: Column | None
 
 
 def daily_quota(
-    requests: DataFrame, caps: DataFrame, prior: DataFrame | None, max_cap: int,
-    hot_rows: int = skew.HOT_ROWS,
+    requests: DataFrame, caps: DataFrame, prior: DataFrame | None = None, hot_rows: int = skew.HOT_ROWS
 ) -> DataFrame:
     """Flag every request as allowed or denied under its domain's daily cap.
 
-    requests: ``date, domain, seq, ...``; caps: ``domain, cap`` (cap <= ``max_cap``); prior:
-    ``date, domain, consumed`` from earlier runs of the day. Denied requests consume nothing,
-    so the allowed ones are the first ``cap - consumed`` by ``seq``. Ranking is limited to
-    ``max_cap`` rows per group, which Spark prunes before the shuffle; the rank then becomes
-    one cutoff row per group, and requests are compared with their cutoff.
+    requests: ``date, domain, seq, ...``; caps: ``domain, cap``; prior: ``date, domain,
+    consumed`` from earlier runs of the day. Denied requests consume nothing, so the allowed
+    ones are the first ``cap - consumed`` by ``seq``; requests without a date or domain, or of a
+    domain without a cap, are denied. Ranking is limited to as many rows per group as the
+    largest cap, which Spark prunes before the shuffle; the rank then becomes one cutoff row per
+    group, and requests are compared with their cutoff.
     """
     group = ["date", "domain"]
+    largest = caps.agg(F.max("cap")).first()[0] or 0
     rank = F.row_number().over(W.partitionBy(*group).orderBy("seq"))
-    head = requests.select(*group, "seq").withColumn("rank", rank).where(F.col("rank") <= max_cap)
+    head = requests.select(*group, "seq").withColumn("rank", rank).where(F.col("rank") <= largest)
     sizes = requests.groupBy(*group).agg(F.count("*").alias("group_rows"))
     limits = sizes.join(caps, "domain", "left")
     if prior is not None:
@@ -148,7 +149,7 @@ def daily_quota(
         .agg(F.max(F.when(F.col("rank") <= F.col("room"), F.col("seq"))).alias("cutoff"))
         .drop("room")
     )
-    flagged = skew.attach(requests, cutoffs, group, "group_rows", hot_rows)
+    flagged = skew.attach(requests, cutoffs, group, "group_rows", hot_rows, how="left")
     allowed = F.coalesce(F.col("seq") <= F.col("cutoff"), F.lit(False))
     return flagged.withColumn("allowed", allowed).drop("cutoff")
 
@@ -156,8 +157,11 @@ def daily_quota(
 def quota_report(
     requests: DataFrame, caps: DataFrame, prior: DataFrame | None = None
 ) -> DataFrame:
-    """Budget units used per (date, domain) and whether the cap denied anything."""
-    counts = requests.where(~F.col("domain").startswith("__")).groupBy("date", "domain").agg(
+    """Budget units used per (date, domain) and whether the cap denied anything.
+
+    Requests without a domain use nothing and count as denied.
+    """
+    counts = requests.where(~F.coalesce(F.col("domain").startswith("__"), F.lit(False))).groupBy("date", "domain").agg(
         F.count("*").alias("requested")
     )
     if prior is not None:
@@ -179,6 +183,12 @@ def quota_report(
 TARGET = ["site", "category_slug", "city_slug"]
 
 
+def _target_key() -> Column:
+    """One text for a target, absent slugs included; NULL where its site is not paginated."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit(""))
+    return F.when(F.col("site").isin(K.PAGINATED_SITES), F.concat_ws("\u0001", *[part(c) for c in TARGET]))
+
+
 def early_stop(
     pages: DataFrame, records: DataFrame, max_pages: int | None = None,
     hot_rows: int = skew.HOT_ROWS,
@@ -187,26 +197,31 @@ def early_stop(
 
     pages: one row per fetched page (``site, category_slug, city_slug, page``); records add
     ``company_name``. A page without records stops as ``empty``; a page without a name unseen
-    on earlier pages stops as ``0_new``. Records of the stopping page are kept.
+    on earlier pages stops as ``0_new``. Records of the stopping page are kept. Only paginated
+    sites are walked page by page: records of others all stay and never stop. Absent slugs are
+    values of a target like any other.
     """
+    pages, records = pages.withColumn("__target", _target_key()), records.withColumn("__target", _target_key())
     if max_pages is not None:
-        pages = pages.where(F.col("page") <= max_pages)
-        records = records.where(F.col("page") <= max_pages)
+        within = F.col("__target").isNull() | (F.col("page") <= max_pages)
+        pages, records = pages.where(within), records.where(within)
+    walked, found = pages.where("__target IS NOT NULL"), records.where("__target IS NOT NULL")
     name = strip(F.lower("company_name"))
     first_page = (
-        records.where(not_blank("company_name"))
-        .groupBy(*TARGET, name.alias("name"))
+        found.where(not_blank("company_name"))
+        .groupBy("__target", name.alias("name"))
         .agg(F.min("page").alias("page"))
     )
-    fresh = first_page.groupBy(*TARGET, "page").agg(F.count("*").alias("new_names"))
-    rows = records.groupBy(*TARGET, "page").agg(F.count("*").alias("rows"))
+    fresh = first_page.groupBy("__target", "page").agg(F.count("*").alias("new_names"))
+    rows = found.groupBy("__target", "page").agg(F.count("*").alias("rows"))
     per_page = (
-        pages.select(*TARGET, "page").distinct()
-        .join(rows, [*TARGET, "page"], "left")
-        .join(fresh, [*TARGET, "page"], "left")
+        walked.select("__target", *TARGET, "page").distinct()
+        .join(rows, ["__target", "page"], "left")
+        .join(fresh, ["__target", "page"], "left")
     )
     ends = F.col("new_names").isNull()
-    per_target = per_page.groupBy(*TARGET).agg(
+    per_target = per_page.groupBy("__target").agg(
+        *[F.first(c).alias(c) for c in TARGET],
         F.min(F.when(ends, F.col("page"))).alias("stop_page"),
         F.min_by(F.when(F.col("rows").isNull(), "empty").otherwise("0_new"),
                  F.when(ends, F.col("page"))).alias("reason"),
@@ -214,12 +229,12 @@ def early_stop(
     )
     kept = skew.attach(
         records,
-        per_target.select(*TARGET, "stop_page", F.coalesce("target_rows", F.lit(0)).alias("target_rows")),
-        TARGET, "target_rows", hot_rows,
+        per_target.select("__target", "stop_page", F.coalesce("target_rows", F.lit(0)).alias("target_rows")),
+        ["__target"], "target_rows", hot_rows, how="left",
     )
     kept = kept.where(F.col("stop_page").isNull() | (F.col("page") <= F.col("stop_page")))
-    stops = per_target.where(F.col("stop_page").isNotNull()).drop("target_rows")
-    return Pagination(kept.drop("stop_page"), stops)
+    stops = per_target.where(F.col("stop_page").isNotNull()).drop("target_rows", "__target")
+    return Pagination(kept.drop("stop_page", "__target"), stops)
 
 
 def body_bytes(body: str | Column = "body") -> Column:

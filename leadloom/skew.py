@@ -27,8 +27,12 @@ def attach(
     hot_rows: int = HOT_ROWS,
     on: Column | None = None,
     fanout: str | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of ``rows`` and ``summary``; ``weight`` counts the rows of a summary key.
+    """Join of ``rows`` and ``summary``; ``weight`` counts the rows of a summary key.
+
+    ``how``: "inner" drops rows without a summary, rows with a NULL key among them; "left" keeps
+    them with NULL summary columns.
 
     The first key must be text, and rows need a distinguishing column (``seq``). A summary
     may hold several rows per key, each carrying the key's weight; ``on`` then picks among
@@ -54,8 +58,8 @@ def attach(
         Column.__and__, [probe == F.col(f"__cold_{keys[0]}"), *equal("cold", keys[1:])]
     )
     joined = with_hot.join(cold, cold_match, "left")
-    found = joined.withColumn("__s", F.coalesce("__hot", "__cold")).where(
-        F.col("__s").isNotNull()
-    )
+    found = joined.withColumn("__s", F.coalesce("__hot", "__cold"))
+    if how == "inner":
+        found = found.where(F.col("__s").isNotNull())
     out = found.select(*rows.columns, "__s.*")
     return out if on is None else out.where(on)

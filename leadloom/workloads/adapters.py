@@ -54,12 +54,12 @@ FROM (
 ) AS base
 """
 
-# Crawl results with repeating names: later pages run out of unseen ones.
+# Crawl results with repeating names: later pages run out of unseen ones. Some slugs are absent.
 LISTINGS_SQL = """
 SELECT o_orderkey AS seq,
-  CASE WHEN o_custkey % 2 = 0 THEN 'indiamart' ELSE 'tradeindia' END AS site,
-  lower(o_orderpriority) AS category_slug,
-  'city-' || CAST(o_custkey % 10 AS STRING) AS city_slug,
+  CASE WHEN o_custkey % 5 = 0 THEN 'justdial' WHEN o_custkey % 2 = 0 THEN 'indiamart' ELSE 'tradeindia' END AS site,
+  CASE WHEN o_custkey % 13 > 0 THEN lower(o_orderpriority) END AS category_slug,
+  CASE WHEN o_custkey % 10 <> 7 THEN 'city-' || CAST(o_custkey % 10 AS STRING) END AS city_slug,
   CAST(1 + o_orderkey % 12 AS INT) AS page,
   CASE WHEN o_orderkey % 97 = 0 THEN ' ' ELSE ' Company ' || CAST(o_custkey % 60 AS STRING) END
     AS company_name
@@ -68,7 +68,7 @@ FROM {orders}
 
 FETCH_LOG_SQL = """
 SELECT event_id AS seq, CAST(CAST(ts AS DATE) AS STRING) AS date,
-  'site' || CAST(user_id % 25 AS STRING) || '.example.com' AS domain,
+  CASE WHEN event_id % 29 > 0 THEN 'site' || CAST(user_id % 25 AS STRING) || '.example.com' END AS domain,
   CASE user_id % 3 WHEN 0 THEN 'justdial' WHEN 1 THEN 'indiamart' ELSE 'tradeindia' END AS site,
   'parse_' || CASE user_id % 3 WHEN 0 THEN 'justdial' WHEN 1 THEN 'indiamart' ELSE 'tradeindia' END
     AS parser,
@@ -123,10 +123,10 @@ def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def caps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily request cap per domain (6..12)."""
+    """Daily request cap per domain: a few, for every fifth domain many."""
     return table(spark, sf_dir, "nation").select(
         F.concat(F.lit("site"), F.col("n_nationkey").cast("string"), F.lit(".example.com")).alias("domain"),
-        (F.lit(6) + F.col("n_nationkey") % 7).cast("int").alias("cap"),
+        F.when(F.col("n_nationkey") % 5 == 0, 40 + F.col("n_nationkey")).otherwise(6 + F.col("n_nationkey") % 7).cast("int").alias("cap"),
     )
 
 

@@ -87,41 +87,43 @@ def _(spark, sf):
 
 
 _CAPS = """
-caps AS (SELECT 'site' || n_nationkey || '.example.com' AS domain, 6 + n_nationkey % 7 AS cap FROM nation),
+caps AS (SELECT 'site' || n_nationkey || '.example.com' AS domain, CASE WHEN n_nationkey % 5 = 0 THEN 40 + n_nationkey ELSE 6 + n_nationkey % 7 END AS cap FROM nation),
 prior AS (SELECT '2024-01-01' AS date, domain, cap % 4 AS consumed FROM caps)"""
 
 
 @query("daily_quota", f"""
 WITH log AS ({FETCH_LOG}), {_CAPS}
-SELECT seq, log.date, log.domain, row_number() OVER (PARTITION BY log.date, log.domain ORDER BY seq)
-  <= greatest(cap - coalesce(consumed, 0), 0) AS allowed
+SELECT seq, log.date, log.domain, coalesce(row_number() OVER (PARTITION BY log.date, log.domain ORDER BY seq)
+  <= greatest(cap - coalesce(consumed, 0), 0), false) AS allowed
 FROM log LEFT JOIN caps USING (domain) LEFT JOIN prior ON prior.date = log.date AND prior.domain = log.domain""")
 def _(spark, sf):
     flagged = R.daily_quota(
-        A.fetch_log(spark, sf).select("seq", "date", "domain"), A.caps(spark, sf), A.prior(spark, sf), 12
+        A.fetch_log(spark, sf).select("seq", "date", "domain"), A.caps(spark, sf), A.prior(spark, sf)
     )
     return flagged.select("seq", "date", "domain", "allowed")
 
 
 @query("quota_report", f"""
 WITH log AS ({FETCH_LOG}), {_CAPS}, asked AS (SELECT date, domain, count(*) AS requested FROM log GROUP BY 1, 2)
-SELECT date, domain, coalesce(consumed, 0) + least(coalesce(requested, 0), greatest(cap - coalesce(consumed, 0), 0)) AS used,
-  coalesce(requested, 0) > greatest(cap - coalesce(consumed, 0), 0) AS cap_reached
+SELECT date, domain, coalesce(consumed, 0) + least(coalesce(requested, 0), greatest(coalesce(cap, 0) - coalesce(consumed, 0), 0)) AS used,
+  coalesce(requested, 0) > greatest(coalesce(cap, 0) - coalesce(consumed, 0), 0) AS cap_reached
 FROM asked FULL JOIN prior USING (date, domain) LEFT JOIN caps USING (domain)""")
 def _(spark, sf):
     return R.quota_report(A.fetch_log(spark, sf), A.caps(spark, sf), A.prior(spark, sf))
 
 
 _STOPS = f"""
-rec AS (SELECT *, {strip('lower(company_name)')} AS name FROM ({LISTINGS})),
-tg AS (SELECT DISTINCT site, category_slug, city_slug FROM rec),
+rec AS (SELECT *, {strip('lower(company_name)')} AS name, site || '|' || coalesce('=' || category_slug, '') || '|' || coalesce('=' || city_slug, '') AS k
+  FROM ({LISTINGS})),
+walk AS (SELECT * FROM rec WHERE site IN ('indiamart', 'tradeindia')),
+tg AS (SELECT DISTINCT k, site, category_slug, city_slug FROM walk),
 pg AS (SELECT tg.*, CAST(r.page AS INT) AS page FROM tg, range(1, 14) AS r(page)),
-firsts AS (SELECT site, category_slug, city_slug, name, min(page) AS page FROM rec WHERE {not_blank('company_name')} GROUP BY ALL),
-per AS (SELECT pg.site, pg.category_slug, pg.city_slug, pg.page,
-    (SELECT count(*) FROM rec r WHERE r.site = pg.site AND r.category_slug = pg.category_slug AND r.city_slug = pg.city_slug AND r.page = pg.page) AS n,
-    (SELECT count(*) FROM firsts f WHERE f.site = pg.site AND f.category_slug = pg.category_slug AND f.city_slug = pg.city_slug AND f.page = pg.page) AS fresh
+firsts AS (SELECT k, name, min(page) AS page FROM walk WHERE {not_blank('company_name')} GROUP BY ALL),
+per AS (SELECT pg.*,
+    (SELECT count(*) FROM walk r WHERE r.k = pg.k AND r.page = pg.page) AS n,
+    (SELECT count(*) FROM firsts f WHERE f.k = pg.k AND f.page = pg.page) AS fresh
   FROM pg),
-stops AS (SELECT site, category_slug, city_slug, min(page) AS stop_page,
+stops AS (SELECT k, site, category_slug, city_slug, min(page) AS stop_page,
     CASE WHEN arg_min(n, page) = 0 THEN 'empty' ELSE '0_new' END AS reason FROM per WHERE fresh = 0 GROUP BY ALL)"""
 
 
@@ -135,7 +137,7 @@ def _pagination(spark, sf):
 
 
 @query("early_stop", f"""
-WITH {_STOPS} SELECT seq, rec.site, rec.page FROM rec LEFT JOIN stops USING (site, category_slug, city_slug)
+WITH {_STOPS} SELECT seq, rec.site, rec.page FROM rec LEFT JOIN stops USING (k)
 WHERE stop_page IS NULL OR rec.page <= stop_page""")
 def _(spark, sf):
     return _pagination(spark, sf).records.select("seq", "site", "page")

@@ -88,7 +88,7 @@ def test_quota_against_sequential_counter(spark):
     caps_df = spark.createDataFrame(list(caps.items()), "domain STRING, cap INT")
     prior_df = spark.createDataFrame([(d, m, n) for (d, m), n in prior.items()], "date STRING, domain STRING, consumed INT")
     for hot_rows in (10, 10**6):
-        got = R.daily_quota(df, caps_df, prior_df, 7, hot_rows)
+        got = R.daily_quota(df, caps_df, prior_df, hot_rows)
         assert {r.seq: r.allowed for r in got.collect()} == allowed
     report = R.quota_report(df, caps_df, prior_df).collect()
     assert {(r.date, r.domain): r.used for r in report} == used
@@ -96,6 +96,28 @@ def test_quota_against_sequential_counter(spark):
     assert {(r.date, r.domain) for r in report if r.cap_reached} == denied
 
 
+def test_quota_has_no_hidden_limits(spark):
+    requests = [("d", "a", s) for s in range(60)] + [("d", None, 100), (None, "a", 101), ("d", "unknown", 102)]
+    df = spark.createDataFrame(requests, "date STRING, domain STRING, seq BIGINT")
+    caps = spark.createDataFrame([("a", 50), ("b", 3)], "domain STRING, cap INT")
+    for hot_rows in (5, 10**6):
+        got = {r.seq: r.allowed for r in R.daily_quota(df, caps, None, hot_rows).collect()}
+        assert got == {s: s < 50 for _, _, s in requests}
+    report = {(r.date, r.domain): (r.used, r.cap_reached) for r in R.quota_report(df, caps).collect()}
+    assert report[("d", "a")] == (50, True) and report[("d", None)] == (0, True)
+
+
+def test_absent_slugs_and_other_sites(spark):
+    schema = "site STRING, category_slug STRING, city_slug STRING, page INT"
+    targets = [("indiamart", None, "x"), ("tradeindia", None, None), ("justdial", "c", "x"), (None, "c", "x")]
+    rows = [(*t, p, n, 10 * i + p) for i, t in enumerate(targets) for p, n in ((1, "A"), (2, "a "), (3, "B"))]
+    records = spark.createDataFrame(rows, schema + ", company_name STRING, seq BIGINT")
+    for hot_rows in (1, 10**6):
+        out = R.early_stop(records.select("site", "category_slug", "city_slug", "page"), records, hot_rows=hot_rows)
+        assert {tuple(r) for r in out.stops.collect()} == {("indiamart", None, "x", 2, "0_new"), ("tradeindia", None, None, 2, "0_new")}
+        assert sorted(r.seq for r in out.records.collect()) == [1, 2, 11, 12, 21, 22, 23, 31, 32, 33]
+
+
 def naive_pagination(pages, names, max_pages):
     seen, page = set(), 1
     while True:
