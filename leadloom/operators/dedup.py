@@ -1,7 +1,7 @@
 """Duplicate handling: keeper selection with audit rows, idempotent append, fill-first merge.
 
-All of them aggregate per key first (partial aggregation on the map side), never rank a
-whole key group inside one task, so a key owning a third of the rows costs one combined row
+All of them aggregate narrow rows per key first (partial aggregation on the map side), never rank
+a whole key group inside one task, so a key owning a third of the rows costs one combined row
 per map task.
 """
 
@@ -25,63 +25,54 @@ class Dedup(NamedTuple):
     rejected: DataFrame
 
 
-def _rank() -> Column:
-    """Richer first, then smaller name, then earlier."""
-    return F.struct((-enrichment_count()).alias("poorer"), "company_name", "seq")
-
-
 def deduplicate(
     leads: DataFrame, as_of: datetime | str | Column, hot_rows: int = skew.HOT_ROWS
 ) -> Dedup:
-    """Best lead per key; the others become audit rows. Blank keys pass through.
+    """Best lead per key: richer first, then the smaller name, then the earlier one; the others
+    become audit rows. Blank keys pass through.
 
-    A row without a key forms a group of its own, spread by ``seq``: one pass over the input
-    and no partition full of blank keys.
+    Only the ranking columns are aggregated; the one summary row per repeated key then meets the
+    rows once, for both outputs, and rows without a key are spread.
     """
-    has_key = not_blank("dedup_key")
-    kept = _first_per_group(leads, has_key, "dedup_key", _rank())
-
-    narrow = leads.where(has_key).select(
-        "dedup_key", "company_name", "seq", enrichment_count().alias("fields")
-    )
-    order = F.struct((-F.col("fields")).alias("poorer"), "company_name", "seq")
+    keyed = leads.withColumn("__key", F.when(not_blank("dedup_key"), F.col("dedup_key")))
+    order = F.struct((-enrichment_count()).alias("poorer"), "company_name", "seq")
     keepers = (
-        narrow.groupBy("dedup_key")
+        keyed.where("__key IS NOT NULL").groupBy("__key")
         .agg(F.min(order).alias("w"), F.count("*").alias("group_rows"))
         .where("group_rows > 1")
         .select(
-            "dedup_key",
-            F.col("w.company_name").alias("kept_company"),
-            F.col("w.seq").alias("kept_seq"),
-            (-F.col("w.poorer")).alias("kept_fields"),
+            "__key",
+            F.col("w.company_name").alias("__kept_company"),
+            F.col("w.seq").alias("__kept_seq"),
+            (-F.col("w.poorer")).alias("__kept_fields"),
             "group_rows",
         )
     )
-    losers = skew.attach(narrow, keepers, ["dedup_key"], "group_rows", hot_rows)
+    judged = skew.attach(keyed, keepers, ["__key"], "group_rows", hot_rows, how="left")
+    kept = judged.where(F.col("__kept_seq").isNull() | (F.col("seq") == F.col("__kept_seq")))
+    fields, best = enrichment_count(), F.col("__kept_fields")
     reason = F.when(
-        F.col("fields") < F.col("kept_fields"),
-        F.format_string("Fewer enrichment fields (%d vs %d)", "fields", "kept_fields"),
-    ).otherwise(
-        F.format_string("Tied at %d enrichment fields, rejected alphabetically", "fields")
-    )
-    rejected = losers.where(F.col("seq") != F.col("kept_seq")).select(
+        fields < best, F.format_string("Fewer enrichment fields (%d vs %d)", fields, best)
+    ).otherwise(F.format_string("Tied at %d enrichment fields, rejected alphabetically", fields))
+    rejected = judged.where(F.col("seq") != F.col("__kept_seq")).select(
         "dedup_key",
-        "kept_company",
+        F.col("__kept_company").alias("kept_company"),
         F.col("company_name").alias("rejected_company"),
         reason.alias("reason"),
         as_of_column(as_of).alias("timestamp"),
     )
-    return Dedup(kept, rejected)
+    return Dedup(kept.select(*leads.columns), rejected)
 
 
-def _first_per_group(rows: DataFrame, has_key: Column, key: str, rank: Column) -> DataFrame:
-    """Lowest-ranked row per key; rows without a key all stay."""
-    shared = F.when(has_key, F.col(key)).alias("__key")
-    alone = F.when(~has_key, F.col("seq")).alias("__alone")
-    first = F.min_by(F.struct(*rows.columns), rank).alias("w")
-    # inline instead of "w.*": the optimizer would otherwise restate every later filter for
-    # each of the field aliases, which costs seconds of planning on wide rows.
-    return rows.groupBy(shared, alone).agg(first).select(F.inline(F.array("w")))
+def _first_per_group(rows: DataFrame, has_key: Column, key: str, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+    """Earliest row per key; rows without a key all stay."""
+    keyed = rows.withColumn("__key", F.when(has_key, F.col(key)))
+    firsts = (
+        keyed.where("__key IS NOT NULL").groupBy("__key")
+        .agg(F.min("seq").alias("__first"), F.count("*").alias("group_rows")).where("group_rows > 1")
+    )
+    judged = skew.attach(keyed, firsts, ["__key"], "group_rows", hot_rows, how="left")
+    return judged.where(F.col("__first").isNull() | (F.col("seq") == F.col("__first"))).select(*rows.columns)
 
 
 def existing_keys(*tables: DataFrame, key_col: str = "dedup_key") -> DataFrame:
@@ -96,7 +87,7 @@ def filter_new_rows(rows: DataFrame, existing: DataFrame, key_col: str = "dedup_
     Rows without a key always pass. ``existing`` has one column ``dedup_key``.
     """
     has_key = present(key_col)
-    first = _first_per_group(rows, has_key, key_col, F.col("seq"))
+    first = _first_per_group(rows, has_key, key_col)
     # A keyless row gets a join value no stored key has, so blanks do not pile up in one task.
     probe = F.when(has_key, F.col(key_col)).otherwise(
         F.concat(F.lit("\u0001"), F.col("seq").cast("string"))
