@@ -279,12 +279,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     of their group, NULL if no row of it has an id.
 
     Equal sets become one node. Nodes meet by signature. In groups of up to ``HOT`` nodes all
-    pairs are counted, and those that share as many signatures as similar sets must are compared:
-    the most promising one of each node first, the others only while they lie in different
-    components. From larger groups those nodes drop out that can spare all of them (see
-    ``signatures``); the others, mostly large groups of near copies, are compared with the
-    smallest node of their group, and what then still lies in different components pair by
-    pair, again after counting. Elements are compared as hashes, of 40 bits in the last test.
+    pairs are counted, and those that share as many signatures as similar sets must are compared.
+    From larger groups those nodes drop out that can spare all of them (see ``signatures``); the
+    others, mostly large groups of near copies, are compared with the smallest node of their
+    group, and what then still lies in different components pair by pair, again after counting. Elements are compared as hashes, of 40 bits in the last test.
     """
     # NULL ids take the largest number, so that joins keep them.
     own = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).alias("text"))
@@ -302,22 +300,17 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     warm = lambda side: heat.select(F.col("node").alias(side), "scheme", F.col("heat").alias(f"h{side}"))
     counted = counted.join(warm("a"), ["a", "scheme"], "left").join(warm("b"), ["b", "scheme"], "left")
     counted = stored(counted.withColumn("both", F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))).select("a", "b", "scheme", "n", "need", "both"))
-    pairs = stored(counted.where("n + both >= need").groupBy("a", "b").agg(F.max("n").alias("n")))
-    likely = pairs.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a"))
-    links = stored(verified(likely, own, classes, shingle))
-    labels = stored(components(links))
-    links, labels = _more(links, labels, pairs.join(likely, ["a", "b"], "left_anti"), own, classes, shingle)
+    pairs = counted.where("n + both >= need").select("a", "b")
 
     spared = heat.where("heat <= spare").select(F.col("node").alias("b"), "scheme")
     member = met.where(F.col("kind") == MEMBER).groupBy(F.col("a").alias("key"), "b", "scheme").agg(
         F.sum("n").alias("n"), F.first("need").alias("filled"), F.first("size").alias("size"))
     member = stored(member.join(spared, ["b", "scheme"], "left_anti"))
+    stars = member.join(member.groupBy("key").agg(F.min("b").alias("a")), "key").where("a <> b").select("a", "b")
+    tried = stored(pairs.union(stars).distinct())
+    links = stored(verified(tried, own, classes, shingle))
+    labels = stored(components(links))
     if not member.isEmpty():
-        stars = member.join(member.groupBy("key").agg(F.min("b").alias("a")), "key").where("a <> b").select("a", "b", "n")
-        stars = stored(stars.groupBy("a", "b").agg(F.sum("n").alias("n")))
-        first = stars.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a"))
-        links, labels = _more(links, labels, first, own, classes, shingle)
-        links, labels = _more(links, labels, stars.join(first, ["a", "b"], "left_anti"), own, classes, shingle)
         named = member.join(labels, member["b"] == labels["node"], "left").select(*member.columns, F.coalesce("component", "b").alias("component"))
         spans = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
         named = stored(named.join(spans, "key", "left_semi"))
@@ -326,8 +319,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
         apart = apart.groupBy("a", "b", "scheme").agg(F.sum("n").alias("shared"), F.first(
             F.greatest("fa", "filled") - F.expr("(sa + size) div 7")).alias("least"))
         apart = apart.join(counted.select("a", "b", "scheme", F.col("n").alias("cold")), ["a", "b", "scheme"], "left")
-        apart = apart.where("shared + coalesce(cold, 0) >= least").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-        links, labels = _more(links, labels, apart, own, classes, shingle)
+        apart = apart.where("shared + coalesce(cold, 0) >= least").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        apart = stored(apart)
+        if not apart.isEmpty():
+            labels = stored(components(links.unionAll(verified(apart, own, classes, shingle))))
 
     named = labels.join(classes, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = labels.join(named, "component").select("node", "component_id")
@@ -341,17 +336,3 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     component = F.when(F.col("empty"), F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id"))
     return joined.select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif(component, F.lit(NO_ID)).alias("component_id"))
 
-
-def _more(links: DataFrame, labels: DataFrame, pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int):
-    """Verify those of ``pairs`` that lie in different components, and renew the components."""
-    label = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
-    apart = pairs.join(label("a"), "a", "left").join(label("b"), "b", "left").where(
-        F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    apart = stored(apart)
-    if apart.isEmpty():
-        return links, labels
-    found = stored(verified(apart, docs, classes, shingle))
-    if found.isEmpty():
-        return links, labels
-    links = stored(links.unionAll(found))
-    return links, stored(components(links))
