@@ -21,9 +21,7 @@ from leadloom.workloads.catalog import (
     REGISTRY,
     blank_to_null,
     digits,
-    entity_key,
     not_blank,
-    phone_key,
     present,
     query,
     ratio,
@@ -31,9 +29,6 @@ from leadloom.workloads.catalog import (
     strip,
 )
 
-NO_FUZZY = 101
-
-
 def _leads(spark, sf):
     scored = A.leads(spark, sf).withColumn("lead_score", (F.col("seq") % 101).cast("int"))
     return scored.withColumn("lead_score_breakdown", F.struct(F.col("lead_score").alias("total")))
@@ -95,9 +90,11 @@ def _(spark, sf):
     return best.select("seq", "matched_key", "matched_name", F.round("fuzzy_score", 6).alias("fuzzy_score"))
 
 
-# One-by-one resolution of the whole batch: the list of created nodes grows record by record.
-_RESOLVED = IDENTITY + f""",
-ordered AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY seq) AS rn FROM ident),
+# One-by-one resolution: the list of created nodes grows record by record. ``source`` picks the
+# records among ``ident``, ``order`` says in which order they arrive.
+def _resolved_sql(source: str = "SELECT * FROM ident", order: str = "seq", before: str = "") -> str:
+    return IDENTITY + f""",{before}
+part AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY {order}) AS rn FROM ({source})),
 run AS (
   WITH RECURSIVE step(n, nodes) AS (
     SELECT 0::BIGINT, CAST([] AS STRUCT(k VARCHAR, form VARCHAR, nm VARCHAR, s BIGINT)[])
@@ -109,28 +106,31 @@ run AS (
           AND abs(length(x.form) - length(o.in_form)) * 9 <= 2 * length(o.in_form) + 9
           THEN {ratio('o.in_form', 'x.form')} >= 90 ELSE false END)) > 0 THEN nodes
       ELSE list_append(nodes, {{'k': o.entity_key, 'form': CASE WHEN o.in_form = '' AND o.stored_name = 'Unknown' THEN 'unknown' ELSE o.in_form END,
-        'nm': o.in_norm, 's': o.seq}}) END
-    FROM step JOIN ordered o ON o.rn = step.n + 1)
+        'nm': o.in_norm, 's': o.rn}}) END
+    FROM step JOIN part o ON o.rn = step.n + 1)
   SELECT nodes FROM step ORDER BY n DESC LIMIT 1
 ),
 leaders AS MATERIALIZED (
   SELECT x.k AS leader_key, x.form AS cand_form, x.nm AS cand_norm, x.s AS leader_seq, i.stored_name AS leader_name
-  FROM (SELECT unnest(nodes) AS x FROM run) JOIN ident i ON i.seq = x.s),
+  FROM (SELECT unnest(nodes) AS x FROM run) JOIN part i ON i.rn = x.s),
 scores AS MATERIALIZED (
   SELECT in_form, in_norm, cand_form, cand_norm, {ratio('in_form', 'cand_form')} AS score
-  FROM (SELECT DISTINCT in_form, in_norm FROM ident) JOIN (SELECT DISTINCT cand_form, cand_norm FROM leaders)
+  FROM (SELECT DISTINCT in_form, in_norm FROM part) JOIN (SELECT DISTINCT cand_form, cand_norm FROM leaders)
     ON starts_with(cand_norm, left(in_norm, 3))),
 fuzzy AS (
-  SELECT seq, arg_min(leader_key, (-score, leader_name)) AS fuzzy_key, arg_min(leader_name, (-score, leader_name)) AS fuzzy_name,
+  SELECT rn, arg_min(leader_key, (-score, leader_name)) AS fuzzy_key, arg_min(leader_name, (-score, leader_name)) AS fuzzy_name,
     max(score) AS fuzzy_score
-  FROM ident JOIN scores USING (in_form, in_norm) JOIN leaders USING (cand_form, cand_norm)
-  WHERE score >= 90 AND leader_seq < seq GROUP BY seq),
+  FROM part JOIN scores USING (in_form, in_norm) JOIN leaders USING (cand_form, cand_norm)
+  WHERE score >= 90 AND leader_seq < rn GROUP BY rn),
 resolved AS MATERIALIZED (
   SELECT i.*, CASE WHEN k.leader_key IS NOT NULL AND phone_key IS NOT NULL THEN 'phone'
       WHEN fuzzy_key IS NOT NULL THEN 'fuzzy' WHEN k.leader_key IS NOT NULL THEN 'key' END AS match_type,
     CASE WHEN fuzzy_key IS NOT NULL AND (k.leader_key IS NULL OR phone_key IS NULL) THEN fuzzy_key ELSE entity_key END AS resolved_key,
     CASE WHEN fuzzy_key IS NOT NULL AND (k.leader_key IS NULL OR phone_key IS NULL) THEN fuzzy_score END AS score
-  FROM ident i LEFT JOIN fuzzy USING (seq) LEFT JOIN leaders k ON k.leader_key = entity_key AND k.leader_seq < i.seq)"""
+  FROM part i LEFT JOIN fuzzy USING (rn) LEFT JOIN leaders k ON k.leader_key = entity_key AND k.leader_seq < i.rn)"""
+
+
+_RESOLVED = _resolved_sql()
 
 
 @query("resolve_batch", f"WITH {_RESOLVED} SELECT seq, resolved_key, match_type, round(score, 6) AS fuzzy_score FROM resolved")
@@ -146,7 +146,7 @@ SELECT company_name AS incoming_name, in_norm AS incoming_normalized, leader_nam
   cand_norm AS candidate_normalized, round(s.score, 6) AS score, 90 AS threshold,
   CASE WHEN s.score >= 90 THEN 'matched' ELSE 'not_matched' END AS verdict
 FROM resolved JOIN scores s USING (in_form, in_norm) JOIN leaders USING (cand_form, cand_norm)
-WHERE s.score >= 80 AND leader_seq < seq AND coalesce(match_type <> 'phone', true)""")
+WHERE s.score >= 80 AND leader_seq < rn AND coalesce(match_type <> 'phone', true)""")
 def _(spark, sf):
     log = R.review_log(R.resolve(_leads(spark, sf)), A.AS_OF)
     return log.drop("timestamp", "action").withColumn("score", F.round("score", 6))
@@ -175,35 +175,40 @@ def _(spark, sf):
     return G.write_stats(R.resolve(_leads(spark, sf)).records)
 
 
-# --- graph by identity key (fuzzy matching off) ------------------------------------------
+# --- graph of the resolved leads -----------------------------------------------------------
 
-_last = lambda c: f"arg_max({blank_to_null(c)}, seq) FILTER (WHERE {not_blank(c)})"
+_last = lambda c: f"arg_max({blank_to_null(c)}, rn) FILTER (WHERE {not_blank(c)})"
 _PRIMARY = (
     f"coalesce(nullif({digits(blank_to_null('phone'))}, ''), {blank_to_null('email')}, {blank_to_null('website')}, '')"
 )
 _FIRST, _SECOND = "seq % 2 = 0", "seq % 2 = 1"
 
 
-def _graph_sql(where: str = "true") -> str:
-    """Node and edge tables of the leads under ``where``."""
-    return IDENTITY + f""",
-rows AS MATERIALIZED (SELECT *, {source_name('source_url')} AS source, seq % 101 AS score FROM ident WHERE {where}),
+def _graph_sql(source: str = "SELECT * FROM ident", order: str = "seq", only: str = "true") -> str:
+    """Node and edge tables of the resolved leads, or of those under ``only``."""
+    return _resolved_sql(source, order) + "," + _tables_sql(only)
+
+
+def _tables_sql(only: str = "true") -> str:
+    return f"""
+rows AS MATERIALIZED (SELECT * EXCLUDE (entity_key, score), resolved_key AS entity_key, {source_name('source_url')} AS source,
+  seq % 101 AS score FROM resolved WHERE {only}),
 companies AS MATERIALIZED (
-  SELECT entity_key AS dedup_key, arg_min(stored_name, seq) AS company_name, arg_min(in_norm, seq) AS normalized_name,
+  SELECT entity_key AS dedup_key, arg_min(stored_name, rn) AS company_name, arg_min(in_norm, rn) AS normalized_name,
     {_last('phone')} AS phone, {_last('email')} AS email, {_last('website')} AS website, {_last('address')} AS address,
-    {_last('industry_code')} AS industry_code, CAST(arg_max(score, seq) AS INT) AS lead_score
+    {_last('industry_code')} AS industry_code, CAST(arg_max(score, rn) AS INT) AS lead_score
   FROM rows GROUP BY entity_key),
 src AS (SELECT entity_key AS dedup_key, string_agg(source, ',' ORDER BY first) AS sources FROM (
-  SELECT entity_key, source, min(seq) AS first FROM rows WHERE source IS NOT NULL GROUP BY ALL) GROUP BY entity_key),
+  SELECT entity_key, source, min(rn) AS first FROM rows WHERE source IS NOT NULL GROUP BY ALL) GROUP BY entity_key),
 listed_in AS MATERIALIZED (SELECT DISTINCT entity_key AS dedup_key, category_slug AS category FROM rows),
 located_in AS MATERIALIZED (SELECT DISTINCT entity_key AS dedup_key, city_slug AS city FROM rows),
 sourced_from AS MATERIALIZED (SELECT entity_key AS dedup_key, source,
-  arg_max(lower(source || '|' || stored_name || '|' || {_PRIMARY}), seq) AS raw_record_id
+  arg_max(lower(source || '|' || stored_name || '|' || {_PRIMARY}), rn) AS raw_record_id
   FROM rows WHERE source IS NOT NULL GROUP BY ALL)"""
 
 
 def _resolved(spark, sf, where="true"):
-    return R.resolve(_leads(spark, sf).where(where), threshold=NO_FUZZY).records
+    return R.resolve(_leads(spark, sf).where(where)).records
 
 
 def _graph(spark, sf):
@@ -228,9 +233,9 @@ def _(spark, sf):
 
 
 @query("company_upsert_existing", f"""
-WITH {_graph_sql()}, old AS (SELECT DISTINCT entity_key AS dedup_key FROM ident WHERE {_FIRST}),
-new AS (SELECT DISTINCT entity_key AS dedup_key FROM ident WHERE {_SECOND}),
-late AS MATERIALIZED (SELECT *, seq + CASE WHEN {_SECOND} THEN 1000000000 ELSE 0 END AS o FROM rows)
+WITH {_graph_sql(order="seq % 2, seq")}, old AS (SELECT DISTINCT entity_key AS dedup_key FROM rows WHERE {_FIRST}),
+new AS (SELECT DISTINCT entity_key AS dedup_key FROM rows WHERE {_SECOND}),
+late AS MATERIALIZED (SELECT *, rn AS o FROM rows)
 SELECT entity_key AS dedup_key, arg_min(stored_name, o) AS company_name, arg_min(in_norm, o) AS normalized_name,
   arg_max({blank_to_null('phone')}, o) FILTER (WHERE {not_blank('phone')}) AS phone,
   arg_max({blank_to_null('email')}, o) FILTER (WHERE {not_blank('email')}) AS email,
@@ -241,7 +246,7 @@ FROM late GROUP BY entity_key""")
 def _(spark, sf):
     yesterday = "2026-01-30 12:00:00"
     old = G.upsert_companies(_resolved(spark, sf, _FIRST), yesterday)
-    batch = R.resolve(_leads(spark, sf).where(_SECOND), old, threshold=NO_FUZZY).records
+    batch = R.resolve(_leads(spark, sf).where(_SECOND), old).records
     return _company_rows(G.upsert_companies(batch, A.AS_OF, old)).select(
         "dedup_key", "company_name", "normalized_name", "phone", "email", "lead_score", "first_seen", "last_seen"
     )
@@ -280,10 +285,15 @@ def _(spark, sf):
     return G.company_count(_graph(spark, sf))
 
 
-@query("idempotency_delta", f"WITH {_graph_sql()} SELECT label, count AS before, count AS after, 0::BIGINT AS delta FROM ({_STATS})")
+_TWICE = "SELECT *, 0 AS pass FROM ident UNION ALL SELECT *, 1 FROM ident"
+
+
+@query("idempotency_delta", f"""
+WITH once AS (WITH {_graph_sql()} {_STATS}), twice AS (WITH {_graph_sql(_TWICE, "pass, seq")} {_STATS})
+SELECT label, once.count AS before, twice.count AS after, twice.count - once.count AS delta FROM once JOIN twice USING (label)""")
 def _(spark, sf):
     before = _graph(spark, sf)
-    again = R.resolve(_leads(spark, sf), before.companies, threshold=NO_FUZZY).records
+    again = R.resolve(_leads(spark, sf), before.companies).records
     after = G.build_graph(again, A.AS_OF, before)
     return G.stats_delta(G.graph_stats(before), G.graph_stats(after))
 
@@ -386,33 +396,30 @@ def _(spark, sf):
 
 # --- whole batch run ---------------------------------------------------------------------
 
-_RUN = f"""
-{JUDGED},
-valid AS MATERIALIZED (SELECT j.*, {entity_key('company_name', blank_to_null('phone'), 'website')} AS entity_key,
-  {phone_key(blank_to_null('phone'))} AS phone_key, {source_name('source_url')} AS source FROM judged j WHERE reason IS NULL),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY seq) AS rn FROM valid)"""
+_CLEAN = f"""
+keyed AS{JUDGED.split("keyed AS", 1)[1]},
+valid AS MATERIALIZED (SELECT seq FROM judged WHERE reason IS NULL),"""
 
 
 @query("batch_run", f"""
-WITH {_RUN}
+WITH {_resolved_sql("SELECT * FROM ident SEMI JOIN valid USING (seq)", before=_CLEAN)}, {_tables_sql()}
 SELECT (SELECT count(*) FROM leads) AS scraped, (SELECT count(*) FROM valid) AS kept_after_validation,
   (SELECT count(*) FROM keyed) - (SELECT count(*) FROM kept) AS rejected_duplicates,
   (SELECT count(*) FROM judged WHERE reason IS NOT NULL) AS invalid_records,
-  count(*) FILTER (WHERE rn = 1) AS created, count(*) FILTER (WHERE rn > 1 AND phone_key IS NOT NULL) AS merged_phone,
-  count(*) FILTER (WHERE rn > 1 AND phone_key IS NULL) AS merged_key,
-  (SELECT count(DISTINCT (entity_key, category_slug)) FROM valid) AS listed_in,
-  (SELECT count(DISTINCT (entity_key, source)) FROM valid WHERE source IS NOT NULL) AS sourced_from,
+  count(*) FILTER (WHERE match_type IS NULL) AS created, count(*) FILTER (WHERE match_type = 'phone') AS merged_phone,
+  count(*) FILTER (WHERE match_type = 'fuzzy') AS merged_fuzzy, count(*) FILTER (WHERE match_type = 'key') AS merged_key,
+  (SELECT count(*) FROM listed_in) AS listed_in, (SELECT count(*) FROM sourced_from) AS sourced_from,
   (SELECT count(*) FROM valid) AS promoted
-FROM ranked""")
+FROM resolved""")
 def _(spark, sf):
     """Clean, stage, resolve into stored graph tables, gate and promote, in a fresh store."""
     store = TableStore(spark, f"{ensure_checkpoint_dir(spark)}/batch-run-{uuid.uuid4().hex}")
     errors = A.errors(spark, sf).where("run_id = 'none'").withColumn("timestamp", F.lit(A.AS_OF).cast("timestamp"))
     summary = lead_run(
-        store, A.leads(spark, sf), errors, A.targets(spark, sf), A.AS_OF, "run", threshold=NO_FUZZY
+        store, A.leads(spark, sf), errors, A.targets(spark, sf), A.AS_OF, "run"
     )
     names = ["scraped", "kept_after_validation", "rejected_duplicates", "invalid_records", "created",
-             "merged_phone", "merged_key"]
+             "merged_phone", "merged_fuzzy", "merged_key"]
     counts = [F.lit(summary[n]).cast("bigint").alias(n) for n in names]
     edges = [F.lit(summary[n]).cast("bigint").alias(n.lower()) for n in ("LISTED_IN", "SOURCED_FROM")]
     return store.read("leads").agg(*[F.max(c).alias(n) for c, n in zip(counts, names)],
