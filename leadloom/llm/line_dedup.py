@@ -18,14 +18,15 @@ from leadloom.llm.words import hash_words, mix, pack_set, similar, unpack_set
 NUMERATOR, DENOMINATOR = 4, 5
 LEAST_WORDS = 5
 # Slots of the table that ranks words by rarity: a fixed size, counted over all lines.
-SLOTS, BLOCK = 2 ** 22, 4096
+SLOTS, BLOCK, TOGETHER = 2 ** 22, 2 ** 16, 64
 BUCKET_ENTRIES, CHUNK_BYTES, CHUNK_LINES = 1_500_000, 1 << 20, 60_000
-# Up to so many lines under one word all pairs are filtered at once; above, first those with one
-# line of the group, then what is still open.
-DIRECT = 1024
+# Up to so many lines under one word all pairs are filtered at once; above, first those with the
+# earliest line of the group, then what is still open.
+DIRECT = 256
 BROADCAST_IDS = 1_000_000
 PAIRS_PER_SALT = 1000
 
+# Size and document share a number; the document only chooses which pair to try first.
 _LOW40, _LOW48 = (np.uint64((1 << n) - 1) for n in (40, 48))
 
 
@@ -139,10 +140,13 @@ def rarity(counted: DataFrame) -> tuple[np.ndarray, int]:
         return pd.DataFrame({"block": frame["block"].iloc[:1], "slots": [used.astype(np.uint16).tobytes()], "counts": [total[used].tobytes()]})
 
     kind = "block int, slots binary, counts binary"
-    # In two steps, so that no group holds a row of every map task.
-    some = counted.groupBy("block", F.pmod(F.xxhash64("counts"), F.lit(64))).applyInPandas(lambda f: add(f), kind)
+    # Every map task has a row per block: so many that a group holds few of them are added at a time.
+    rows = -(-counted.count() * BLOCK // SLOTS)
+    while rows > TOGETHER:
+        rows = -(-rows // TOGETHER)
+        counted = stored(counted.groupBy("block", F.pmod(F.xxhash64("slots", "counts"), F.lit(rows))).applyInPandas(lambda f: add(f), kind))
     counts = np.zeros(SLOTS, np.int64)
-    for block, slots, values in some.groupBy("block").applyInPandas(lambda f: add(f), kind).collect():
+    for block, slots, values in counted.groupBy("block").applyInPandas(lambda f: add(f), kind).collect():
         counts[block + np.frombuffer(slots, np.uint16).astype(np.int64)] = np.frombuffer(values, np.int64)
     return np.minimum(255, np.floor(8 * np.log2(counts + 1.0))).astype(np.uint8), int(counts.sum())
 
@@ -157,7 +161,7 @@ def prefixes(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = sent.value
-        for chunk in _chunks(batches, 0):
+        for chunk in _chunks(batches, 1):
             # One number sorts by line, then rarity, then hash, and names the word by its lower 48 bits.
             of_word = (rank[(chunk.word % np.uint64(SLOTS)).astype(np.int64)].astype(np.uint64) << np.uint64(40)) | chunk.word
             packed = np.unique((chunk.line.astype(np.uint64) << np.uint64(48)) | of_word)
@@ -173,7 +177,8 @@ def prefixes(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
             order = np.argsort(bucket, kind="stable")
             key, line, place, bucket = key[order], line[order], place[order], bucket[order]
             cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
-            about = np.stack([node, sizes.astype(np.int64), *sketch], axis=1)
+            doc = np.array([i[0] for i in chunk.ids], np.int64)[chunk.doc] & np.int64(_LOW40)
+            about = np.stack([node, (sizes.astype(np.int64) << 40) | doc, *sketch], axis=1)
             out = []
             for lo, hi in zip(cut[:-1], cut[1:], strict=True):
                 used, at = np.unique(line[lo:hi], return_inverse=True)
@@ -182,7 +187,7 @@ def prefixes(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
                             about[used].tobytes()))
             yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["bucket", "keys", "at", "places", "about"]), preserve_index=False)
 
-    return docs.select("bytes").mapInArrow(run, "bucket bigint, keys binary, at binary, places binary, about binary")
+    return docs.select("doc_id", "bytes").mapInArrow(run, "bucket bigint, keys binary, at binary, places binary, about binary")
 
 
 def _may_match(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -192,7 +197,7 @@ def _may_match(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np
     Pairs are tried at every word they share; at the first one nothing before it is shared, so a
     pair the filter rejects everywhere is not similar.
     """
-    n, m = a[:, 1], b[:, 1]
+    n, m = a[:, 1] >> 40, b[:, 1] >> 40
     # Least intersection: 4/9 of both sizes, rounded up.
     least = -(-NUMERATOR * (n + m) // (NUMERATOR + DENOMINATOR))
     good = (DENOMINATOR * np.minimum(n, m) >= NUMERATOR * np.maximum(n, m)) & (1 + np.minimum(n - i - 1, m - j - 1) >= least)
@@ -201,14 +206,15 @@ def _may_match(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np
     return good & (differ <= n + m - 2 * least)
 
 
-PAIR, MEMBER = 0, 1
+PAIR, MEMBER, REST = 0, 1, 2
 MET = "kind int, a bigint, b bigint, n bigint, place bigint, low bigint, high bigint"
 
 
 def meet(frame: pd.DataFrame, direct: int = DIRECT) -> pd.DataFrame:
     """Candidates of one bucket: ``kind, a, b, n, place, low, high``.
 
-    PAIR: two sets that share a word of their prefixes and pass the filters. MEMBER: set b, of n
+    PAIR: two sets that share a word of their prefixes and pass the filters, for each set the one
+    with the earliest document before its own; REST: the others. MEMBER: set b, of n
     words and with this sketch, holds word a of a group of more than ``direct`` sets at the given
     place.
     """
@@ -240,13 +246,13 @@ def meet(frame: pd.DataFrame, direct: int = DIRECT) -> pd.DataFrame:
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     sizes = np.diff(np.append(starts, len(key)))
     group = np.repeat(np.arange(len(starts)), sizes)
-    size = about[at, 1]
+    size, doc = about[at, 1] >> 40, about[at, 1] & np.int64(_LOW40)
     lefts, rights = [], []
 
     def take(x: np.ndarray, y: np.ndarray) -> None:
         good = _may_match(about[at[x]], place[x], about[at[y]], place[y]) & (node[x] != node[y])
-        lefts.append(node[x[good]])
-        rights.append(node[y[good]])
+        lefts.append(x[good])
+        rights.append(y[good])
 
     small = sizes[group] <= direct
     x, d = np.flatnonzero(small), 0
@@ -258,12 +264,15 @@ def meet(frame: pd.DataFrame, direct: int = DIRECT) -> pd.DataFrame:
             take(x[lo:lo + 200_000], x[lo:lo + 200_000] + d)
     if not small.all():
         many = np.flatnonzero(~small)
-        take(starts[group[many]], many)
+        take(np.lexsort((node, doc, group))[starts][group[many]], many)
         out.append(pd.DataFrame({"kind": MEMBER, "a": key[many].view(np.int64), "b": node[many], "n": size[many], "place": place[many],
                                  "low": about[at[many], 2], "high": about[at[many], 3]}))
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lefts, rights))
-    pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-    out.append(pairs.assign(kind=PAIR, n=0, place=0, low=0, high=0)[names])
+    x, y = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (lefts, rights))
+    swap = (doc[x] > doc[y]) | ((doc[x] == doc[y]) & (node[x] > node[y]))
+    x, y = np.where(swap, y, x), np.where(swap, x, y)
+    pairs = pd.DataFrame({"x": node[x], "y": node[y], "doc": doc[x]}).drop_duplicates(["x", "y"]).sort_values(["y", "doc", "x"])
+    kind = np.where(pairs["y"].duplicated(), REST, PAIR)
+    out.append(pd.DataFrame({"kind": kind, "a": pairs[["x", "y"]].min(axis=1), "b": pairs[["x", "y"]].max(axis=1), "n": 0, "place": 0, "low": 0, "high": 0}))
     return pd.concat(out, ignore_index=True).astype({"kind": np.int32})
 
 
@@ -335,6 +344,14 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     pairs = stored(met.where(F.col("kind") == PAIR).select("a", "b").distinct())
     later = stored(_later(_verified(pairs, docs, firsts), firsts))
 
+    # The other pairs, unless both sides are known to repeat an earlier line.
+    known = lambda side: later.select(F.col("node").alias(side), F.lit(True).alias(f"known_{side}"))
+    rest = met.where(F.col("kind") == REST).select("a", "b").distinct()
+    rest = rest.join(known("a"), "a", "left").join(known("b"), "b", "left").where("known_a IS NULL OR known_b IS NULL")
+    rest = stored(rest.select("a", "b").join(pairs, ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        later = stored(later.union(_later(_verified(rest, docs, firsts), firsts)).distinct())
+
     # Crowded words: any line against those not yet known to repeat an earlier one.
     member = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("word"), F.col("b").alias("node"), "n", "place", "low", "high")
     if not member.isEmpty():
@@ -346,7 +363,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
             F.bit_count(F.col("low").bitwiseXOR(F.col("l"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("h"))) <= F.col("n") + F.col("m") - 2 * least)
         open_pairs = member.join(still, "word").where((F.col("node") != F.col("y")) & fits)
         open_pairs = open_pairs.select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).distinct()
-        open_pairs = stored(open_pairs.join(pairs, ["a", "b"], "left_anti"))
+        open_pairs = stored(open_pairs.join(pairs.union(rest), ["a", "b"], "left_anti"))
         if not open_pairs.isEmpty():
             later = stored(later.union(_later(_verified(open_pairs, docs, firsts), firsts)).distinct())
 

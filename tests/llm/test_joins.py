@@ -171,7 +171,7 @@ def test_lines_against_all_pairs(docs, clashing, monkeypatch, direct):
 
 
 def test_line_limits_change_nothing(docs, monkeypatch):
-    for name, value in (("BUCKET_ENTRIES", 50), ("CHUNK_BYTES", 300), ("CHUNK_LINES", 3), ("SLOTS", 16), ("BROADCAST_IDS", 0), ("PAIRS_PER_SALT", 2)):
+    for name, value in (("BUCKET_ENTRIES", 50), ("CHUNK_BYTES", 300), ("CHUNK_LINES", 3), ("SLOTS", 16), ("BLOCK", 4), ("TOGETHER", 2), ("BROADCAST_IDS", 0), ("PAIRS_PER_SALT", 2)):
         monkeypatch.setattr(line_dedup, name, value)
     rows = line_corpus(5)
     found = line_dedup.dedup(docs(rows)).select("doc_id", "text", "n_removed").collect()
