@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from leadloom.llm.components import components
 from leadloom.llm.shared import stored
@@ -19,7 +20,7 @@ SHINGLE = 5
 # Threshold 3/4 as integers: sets link when 4 * intersection >= 3 * union.
 NUMERATOR, DENOMINATOR = 3, 4
 # Signatures that should meet in one bucket, and entries packed before they are passed on.
-BUCKET_ENTRIES, FLUSH = 1_500_000, 1_000_000
+BUCKET_ENTRIES, FLUSH = 3_500_000, 1_000_000
 # Groups of more sets than this are hot: sets that can spare them leave them out.
 HOT = 16
 # Ids that may be broadcast to pick texts; beyond that the texts are joined by shuffle.
@@ -86,17 +87,25 @@ def node_of(features: np.ndarray) -> int:
 
 
 def profiles(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, node``: set size and digest of every whole text."""
+    """``doc_id, n_shingles, node, sketch``: size, digest and parity sketch of every text's set.
+
+    Each element flips one of the sketch's 1,024 bits, so sets differ in at least as many elements
+    as their sketches in bits.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, nodes = [], []
+            sizes, nodes, sketches = [], [], []
             for features in _sets(batch, 1, shingle):
                 sizes.append(len(features))
                 nodes.append(node_of(features))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
-                                             ["doc_id", "n_shingles", "node"])
+                odd = np.bincount((features & np.uint64(1023)).astype(np.int64), minlength=1024) & 1
+                sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "node", "sketch"])
 
-    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, "doc_id bigint, n_shingles bigint, node bigint")
+    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(
+        run, "doc_id bigint, n_shingles bigint, node bigint, sketch array<bigint>")
 
 
 def packed_signatures(docs: DataFrame, buckets: int, shingle: int = SHINGLE) -> DataFrame:
@@ -110,7 +119,8 @@ def packed_signatures(docs: DataFrame, buckets: int, shingle: int = SHINGLE) ->
         key, at, bucket = key[order], at[order], bucket[order]
         cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
         node = np.array([o[0] for o in owners], np.int64)
-        rest = np.array([o[1:] for o in owners], np.int32)
+        # The scheme follows from the size, but for one bit.
+        rest = np.array([(size << 1 | (size.bit_length() - 1 != scheme), filled) for _, scheme, size, filled in owners], np.int32)
         rows = []
         for lo, hi in zip(cut[:-1], cut[1:], strict=True):
             used, place = np.unique(at[lo:hi], return_inverse=True)
@@ -145,7 +155,7 @@ def packed_signatures(docs: DataFrame, buckets: int, shingle: int = SHINGLE) ->
 
 
 PAIR, MEMBER, HEAT = 0, 1, 2
-MET = "kind int, a bigint, b bigint, scheme int, n bigint, need bigint, size bigint"
+MET = "kind int, a bigint, b bigint, scheme int, n bigint, need bigint, size bigint, crowd bigint"
 
 
 def _needed(size_a, filled_a, size_b, filled_b):
@@ -154,12 +164,12 @@ def _needed(size_a, filled_a, size_b, filled_b):
 
 
 def meet(frame: pd.DataFrame, hot: int = HOT) -> pd.DataFrame:
-    """What the signatures of one bucket say: ``kind, a, b, scheme, n, need, size``.
+    """What the signatures of one bucket say: ``kind, a, b, scheme, n, need, size, crowd``.
 
     PAIR: sets a < b of fitting sizes share n signatures, in groups of at most ``hot`` sets, and
     need that many in all. MEMBER: set b, of so many elements (``size``) and non-empty parts
-    (``need``), is in n larger groups with the same members, together named a. HEAT: set a is in
-    n larger groups and could spare b.
+    (``need``), is in n larger groups with the same members, ``crowd`` in number, together named
+    a. HEAT: set a is in n larger groups and could spare b.
     """
     keys, nodes, rest = [], [], []
     for row in frame.itertuples():
@@ -169,7 +179,7 @@ def meet(frame: pd.DataFrame, hot: int = HOT) -> pd.DataFrame:
         at = np.frombuffer(row.at, np.uint16)
         keys.append(wide.view(np.uint64).ravel())
         nodes.append(np.frombuffer(row.nodes, np.int64)[at])
-        rest.append(np.frombuffer(row.rest, np.int32).reshape(-1, 3)[at])
+        rest.append(np.frombuffer(row.rest, np.int32).reshape(-1, 2)[at])
     key, node, rest = np.concatenate(keys), np.concatenate(nodes), np.concatenate(rest)
     order = np.argsort(key, kind="stable")
     sorted_key = key[order]
@@ -179,11 +189,12 @@ def meet(frame: pd.DataFrame, hot: int = HOT) -> pd.DataFrame:
     key, node, rest = key[order], node[order], rest[order].astype(np.int64)
     first = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))[:len(key)]
     key, node, rest = key[first], node[first], rest[first]
-    names = ["kind", "a", "b", "scheme", "n", "need", "size"]
+    names = ["kind", "a", "b", "scheme", "n", "need", "size", "crowd"]
     out = [pd.DataFrame({c: np.zeros(0, np.int32 if c in ("kind", "scheme") else np.int64) for c in names})]
     if not len(key):
         return out[0]
-    scheme, size, filled = rest.T
+    size, filled = rest[:, 0] >> 1, rest[:, 1]
+    scheme = np.frexp(size)[1].astype(np.int64) - 1 - (rest[:, 0] & 1)
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     sizes = np.diff(np.append(starts, len(key)))
     group = np.repeat(np.arange(len(starts)), sizes)
@@ -200,7 +211,7 @@ def meet(frame: pd.DataFrame, hot: int = HOT) -> pd.DataFrame:
     if found:
         pairs = pd.DataFrame(dict(zip(("a", "b", "scheme", "need"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
         pairs = pairs.groupby(["a", "b", "scheme", "need"], sort=False).size().reset_index(name="n")
-        out.append(pairs.assign(kind=PAIR, size=0)[names])
+        out.append(pairs.assign(kind=PAIR, size=0, crowd=0)[names])
     if many.any():
         with np.errstate(over="ignore"):
             whole = np.add.reduceat(mix(node.view(np.uint64)), starts) + scheme[starts].astype(np.uint64)
@@ -209,10 +220,10 @@ def meet(frame: pd.DataFrame, hot: int = HOT) -> pd.DataFrame:
         number[kept] = times
         chosen = many & (number[group] > 0)
         out.append(pd.DataFrame({"kind": MEMBER, "a": whole.view(np.int64)[group][chosen], "b": node[chosen], "scheme": scheme[chosen],
-                                 "n": number[group][chosen], "need": filled[chosen], "size": size[chosen]}))
+                                 "n": number[group][chosen], "need": filled[chosen], "size": size[chosen], "crowd": sizes[group][chosen]}))
         heat = pd.DataFrame({"a": node[many], "b": (filled - size // 3 - 1)[many], "scheme": scheme[many]})
         heat = heat.groupby(["a", "b", "scheme"], sort=False).size().reset_index(name="n")
-        out.append(heat.assign(kind=HEAT, need=0, size=0)[names])
+        out.append(heat.assign(kind=HEAT, need=0, size=0, crowd=0)[names])
     return pd.concat(out, ignore_index=True).astype({"kind": np.int32, "scheme": np.int32})
 
 
@@ -280,9 +291,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
 
     Equal sets become one node. Nodes meet by signature. In groups of up to ``HOT`` nodes all
     pairs are counted, and those that share as many signatures as similar sets must are compared.
-    From larger groups those nodes drop out that can spare all of them (see ``signatures``); the
-    others, mostly large groups of near copies, are compared with the smallest node of their
-    group, and what then still lies in different components pair by pair, again after counting. Elements are compared as hashes, of 40 bits in the last test.
+    Of its larger groups a node needs only some, the smallest (see ``signatures``); the nodes left
+    in them, mostly large groups of near copies, are compared with the smallest node of their
+    group, and what then still lies in different components pair by pair where sizes and sketches
+    allow it. Elements are compared as hashes, of 40 bits in the last test.
     """
     # NULL ids take the largest number, so that joins keep them.
     own = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).alias("text"))
@@ -302,10 +314,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     counted = stored(counted.withColumn("both", F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))).select("a", "b", "scheme", "n", "need", "both"))
     pairs = counted.where("n + both >= need").select("a", "b")
 
-    spared = heat.where("heat <= spare").select(F.col("node").alias("b"), "scheme")
+    # Of its crowded groups a node needs only the smallest: it can spare some, and shares one of the
+    # others with every similar node it shares nothing else with, when both go by size of group.
     member = met.where(F.col("kind") == MEMBER).groupBy(F.col("a").alias("key"), "b", "scheme").agg(
-        F.sum("n").alias("n"), F.first("need").alias("filled"), F.first("size").alias("size"))
-    member = stored(member.join(spared, ["b", "scheme"], "left_anti"))
+        F.sum("n").alias("n"), F.first("size").alias("size"), F.min("crowd").alias("crowd"))
+    member = member.join(heat.where("heat > spare").select(F.col("node").alias("b"), "scheme", (F.col("heat") - F.col("spare")).alias("due")), ["b", "scheme"])
+    before = F.sum("n").over(W.partitionBy("b", "scheme").orderBy("crowd", "key")) - F.col("n")
+    member = stored(member.withColumn("before", before).where("before < due").select("key", "b", "size"))
     stars = member.join(member.groupBy("key").agg(F.min("b").alias("a")), "key").where("a <> b").select("a", "b")
     tried = stored(pairs.union(stars).distinct())
     links = stored(verified(tried, own, classes, shingle))
@@ -313,14 +328,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     if not member.isEmpty():
         named = member.join(labels, member["b"] == labels["node"], "left").select(*member.columns, F.coalesce("component", "b").alias("component"))
         spans = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-        named = stored(named.join(spans, "key", "left_semi"))
-        other = named.select("key", F.col("b").alias("a"), F.col("size").alias("sa"), F.col("filled").alias("fa"), F.col("component").alias("ca"))
-        apart = other.join(named, "key").where("a < b AND ca <> component AND 4 * least(sa, size) >= 3 * greatest(sa, size)")
-        apart = apart.groupBy("a", "b", "scheme").agg(F.sum("n").alias("shared"), F.first(
-            F.greatest("fa", "filled") - F.expr("(sa + size) div 7")).alias("least"))
-        apart = apart.join(counted.select("a", "b", "scheme", F.col("n").alias("cold")), ["a", "b", "scheme"], "left")
-        apart = apart.where("shared + coalesce(cold, 0) >= least").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        apart = stored(apart)
+        sketch = profile.groupBy(F.col("node").alias("b")).agg(F.first("sketch").alias("sketch"))
+        named = stored(named.join(spans, "key", "left_semi").join(sketch, "b"))
+        other = named.select("key", F.col("b").alias("a"), F.col("size").alias("sa"), F.col("sketch").alias("ka"), F.col("component").alias("ca"))
+        differ = F.aggregate(F.zip_with("ka", "sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+        apart = other.join(named, "key").where(
+            F.expr("a < b AND ca <> component AND 4 * least(sa, size) >= 3 * greatest(sa, size)") & (7 * differ <= F.col("sa") + F.col("size")))
+        apart = stored(apart.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
         if not apart.isEmpty():
             labels = stored(components(links.unionAll(verified(apart, own, classes, shingle))))
 
@@ -331,7 +345,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     # rows without words are spread by their id and match nothing.
     named = stored(named)
     key = F.when(F.col("node") == 0, F.xxhash64("doc_id")).otherwise(F.col("node"))
-    probe = profile.withColumn("k", key).withColumn("empty", F.col("node") == 0)
+    probe = profile.drop("sketch").withColumn("k", key).withColumn("empty", F.col("node") == 0)
     joined = probe.join(named.select(F.col("node").alias("k"), "component_id"), "k", "left")
     component = F.when(F.col("empty"), F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id"))
     return joined.select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif(component, F.lit(NO_ID)).alias("component_id"))
