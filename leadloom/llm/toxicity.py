@@ -62,10 +62,14 @@ class Model:
         return p
 
     def ratio(self, gram: str) -> float:
-        """Toxic less ordinary log-likelihood of the last letter of an n-gram."""
-        seen = [c.get(gram[:-1]) for c in self.context]
-        if seen[0] is None and seen[1] is None:
+        """Toxic less ordinary log-likelihood of the last letter of an n-gram.
+
+        What neither class has seen is no evidence: both fall back to the same shared probability,
+        whatever mass they reserve for it, which only tells how large their samples are.
+        """
+        if gram not in self.top[0] and gram not in self.top[1]:
             return 0.0
+        seen = [c.get(gram[:-1]) for c in self.context]
         back = self.shared(gram[1:])
         p = [back if s is None else (max(t.get(gram, 0) - DISCOUNT, 0) + DISCOUNT * s[1] * back) / s[0]
              for t, s in zip(self.top, seen, strict=True)]
