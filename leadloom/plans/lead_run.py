@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 from typing import NamedTuple
 
@@ -17,6 +18,9 @@ from leadloom.operators.resolve import resolve, review_log
 from leadloom.sources.tables import TableStore
 
 
+log = logging.getLogger(__name__)
+
+
 class CleanLeads(NamedTuple):
     leads: DataFrame
     scored: DataFrame
@@ -64,7 +68,9 @@ def lead_run(
 ) -> dict[str, int]:
     """Full run over captured data. Returns the summary; a failing gate raises.
 
-    ``raw`` needs a unique ``seq``. A dry run stops after staging and the sinks.
+    ``raw`` needs a unique ``seq``. A dry run stops after staging and the sinks. A failure while
+    resolving or writing the graph does not end the run: staging, gate and promotion go on, and
+    the summary says ``graph_failed``.
     """
     store.ensure_all()
     result = clean_leads(raw, as_of, icp_categories, icp_cities)
@@ -75,7 +81,12 @@ def lead_run(
     summary = staged_summary(result.leads, staged, errors).first().asDict()
     if dry_run:
         return summary
-    summary.update(resolve_into_graph(store, staged, as_of, threshold))
+    summary["graph_failed"] = 0
+    try:
+        summary.update(resolve_into_graph(store, staged, as_of, threshold))
+    except Exception:
+        log.exception("graph not written")
+        summary["graph_failed"] = 1
     require_gate(failure_gate(errors, targets))
     store.append("leads", promote(staged, store.read("leads")))
     return summary

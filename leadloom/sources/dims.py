@@ -20,20 +20,23 @@ except ImportError:  # JSON configuration still works
 
 
 def load_config(path: str) -> dict[str, Any]:
-    """Mapping from a YAML or JSON file; a missing or malformed one is empty."""
+    """Mapping from a YAML or JSON file; empty if the file is missing or holds something else.
+
+    A malformed file is an error: a run without any target would look like a sound one.
+    """
     file = Path(path)
     if not file.exists():
         return {}
     text = file.read_text(encoding="utf-8")
-    try:
-        if file.suffix == ".json":
-            data = json.loads(text)
-        elif yaml is not None:
+    if file.suffix == ".json":
+        data = json.loads(text)
+    elif yaml is None:
+        raise RuntimeError("reading YAML configuration needs PyYAML; use JSON instead")
+    else:
+        try:
             data = yaml.safe_load(text)
-        else:
-            raise RuntimeError("reading YAML configuration needs PyYAML; use JSON instead")
-    except ValueError:
-        return {}
+        except yaml.YAMLError as error:
+            raise ValueError(f"{path} is no valid YAML") from error
     return data if isinstance(data, dict) else {}
 
 

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from leadloom.operators import frontier as R
@@ -58,6 +59,9 @@ def test_config_values(tmp_path):
     broken = tmp_path / "c.json"
     broken.write_text("[1]")
     assert dims.load_config(str(broken)) == {}
+    broken.write_text("{")
+    with pytest.raises(ValueError):
+        dims.load_config(str(broken))
     assert dims.fuzzy_threshold(CONFIG) == 85 and dims.fuzzy_threshold({"fuzzy_match_threshold": "x"}) == 90
     assert dims.icp_list(CONFIG, "icp_categories") == {"web", "seo"}
 

@@ -92,6 +92,16 @@ def test_failing_gate_stages_but_does_not_promote(spark, tmp_path):
     assert store.read("leads").count() == 5
 
 
+def test_failed_graph_write_does_not_end_the_run(spark, tmp_path, monkeypatch):
+    def fail(*_):
+        raise OSError("no space left")
+
+    monkeypatch.setattr("leadloom.plans.lead_run.resolve_into_graph", fail)
+    store = S.TableStore(spark, str(tmp_path / "db"))
+    summary = lead_run(store, raw(spark, ROWS), errors(spark, 0), spark.range(4), AS_OF, "r1")
+    assert summary["graph_failed"] == 1 and store.read("leads").count() == 5
+
+
 def test_dry_run(spark, tmp_path):
     store = S.TableStore(spark, str(tmp_path / "db"))
     summary = lead_run(store, raw(spark, ROWS), errors(spark, 9), spark.range(1), AS_OF, "r1", dry_run=True)
