@@ -19,6 +19,8 @@ NUMERATOR, DENOMINATOR = 4, 5
 LEAST_WORDS = 5
 # Slots of the table that ranks words by rarity: a fixed size, counted over all lines.
 SLOTS, BLOCK, TOGETHER = 2 ** 22, 2 ** 16, 64
+# Words per bucket: few, so that a line already meets about as many buckets as it has prefix words
+# and what travels with it no longer grows with their number.
 BUCKET_ENTRIES, CHUNK_BYTES, CHUNK_LINES = 1_500_000, 1 << 20, 60_000
 # Up to so many lines under one word all pairs are filtered at once; above, first those with the
 # earliest line of the group, then what is still open.
@@ -339,7 +341,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     classes, total = rarity(read.where("block IS NOT NULL").select("block", "slots", "counts"))
     firsts = stored(lines.groupBy("node").agg(
         F.min(F.struct("doc_id", "version", "number")).alias("f"), F.count("*").alias("n")).select("node", "f.*", "n"))
-    buckets = max(1, -(-total // (4 * BUCKET_ENTRIES)))
+    buckets = max(1, -(-total // BUCKET_ENTRIES))
     met = stored(prefixes(docs, classes, buckets).groupBy("bucket").applyInPandas(lambda frame: meet(frame), MET))
     pairs = stored(met.where(F.col("kind") == PAIR).select("a", "b").distinct())
     later = stored(_later(_verified(pairs, docs, firsts), firsts))
