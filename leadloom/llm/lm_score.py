@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from leadloom.llm.words import hash_texts, mix
 
-ORDER, BACKOFF = 2, 0.4
+ORDER, BACKOFF = 3, 0.4
 # Words a batch of documents and a bucket of n-grams should hold.
 BATCH_WORDS, BUCKET_NGRAMS = 1_500_000, 2_000_000
 

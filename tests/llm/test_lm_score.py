@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from leadloom.llm import lm_score
+from leadloom.llm.queries import QUERIES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -53,3 +54,12 @@ def test_small_tables(docs):
     assert lm_score.score(docs([])).collect() == []
     assert [tuple(r) for r in lm_score.score(docs([(1, None)])).collect()] == [(1, 0, 0.0, None)]
     assert lm_score.score(docs([(1, "alone")])).first().n_words == 1
+
+
+def test_registered_query_scores_trigrams(docs, spark, tmp_path):
+    rows = corpus()[:81]
+    docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op2_lm_score"](spark, str(tmp_path)).collect()
+    want = brute(rows, 3)
+    assert want != brute(rows, 2)
+    assert sorted(((r.doc_id, r.n_words, round(r.log_score, 6)) for r in found), key=str) == want
