@@ -288,8 +288,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame
     crowd = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_PER_SALT).cast("int").alias("salts"))
     sent = pairs.join(crowd, "a").select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("turn"))
     leads = crowd.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("turn"))
-    wanted = sent.unionAll(leads).join(firsts, "node").groupBy("doc_id", "version").agg(
-        F.collect_list(F.struct("number", "node", "a", "salt", "turn")).alias("wanted"))
+    # A set in many pairs is asked for in several rows, each of about a thousand pairs a line.
+    asked = sent.groupBy("node").agg(F.ceil(F.count("*") / PAIRS_PER_SALT).cast("int").alias("pieces")).where("pieces > 1")
+    spread = sent.unionAll(leads).join(asked, "node", "left").withColumn("piece", F.pmod(
+        F.xxhash64("a", "salt"), F.coalesce("pieces", F.lit(1))).cast("int"))
+    wanted = spread.join(firsts, "node").groupBy("doc_id", "version", "piece").agg(
+        F.collect_list(F.struct("number", "node", "a", "salt", "turn")).alias("wanted")).drop("piece")
     wanted = stored(wanted)
     # Texts are picked by a list of bounded size, or else by a shuffle.
     lists = F.broadcast(wanted) if (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= BROADCAST_IDS else wanted

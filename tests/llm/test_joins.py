@@ -191,3 +191,22 @@ def test_columns_stay(docs):
     out = line_dedup.dedup(docs([(1, "a b c d e\na b c d e")]).withColumn("extra", F.lit(3)))
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "extra", "n_removed"]
     assert out.first().text == "a b c d e"
+
+
+def test_a_line_in_many_pairs_is_asked_for_in_pieces(docs, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PAIRS_PER_SALT", 5)
+    longest = []
+    own = line_dedup.stored
+
+    def spy(df):
+        out = own(df)
+        if "wanted" in out.columns:
+            longest.append(out.selectExpr("max(size(wanted))").first()[0])
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", spy)
+    rows = docs([(i, f"a b c d e f g h i {i}") for i in range(100)]).selectExpr("doc_id", "0L AS version", "CAST(text AS BINARY) AS bytes")
+    firsts = rows.selectExpr("doc_id", "version", "0 AS number", "doc_id AS node")
+    pairs = rows.where("doc_id < 99").selectExpr("doc_id AS a", "99L AS b")
+    assert {tuple(r) for r in line_dedup._verified(pairs, rows, firsts).collect()} == {(i, 99) for i in range(99)}
+    assert longest[0] <= 30
