@@ -377,7 +377,8 @@ def _assign(
 def review_log(
     resolution: Resolution, as_of, threshold: float = FUZZY_THRESHOLD, floor: float = REVIEW_FLOOR,
 ) -> DataFrame:
-    """Comparisons of fuzzy-resolved records scoring at least ``floor``, with both verdicts.
+    """Comparisons of fuzzy-resolved records scoring at least ``floor``, or the threshold if that
+    is lower, with both verdicts.
 
     Only comparisons the one-by-one run makes are listed: records not matched by phone,
     against leaders that existed before them. Pairs under the floor are not formed at all
@@ -388,7 +389,7 @@ def review_log(
     ).select("seq", "company_name", "in_form", "in_norm")
     nodes = open_rows.groupBy(*_NODE).agg(F.count("*").alias("node_rows"))
     leaders = resolution.leaders.select("leader_name", "leader_seq", *_CAND)
-    pairs = similar_names(nodes.select(*_NODE), leaders.select(*_CAND).distinct(), floor)
+    pairs = similar_names(nodes.select(*_NODE), leaders.select(*_CAND).distinct(), min(floor, threshold))
     near = pairs.join(leaders, _CAND).withColumn(
         "near", F.count("*").over(W.partitionBy(*_NODE))
     ).join(nodes, _NODE)

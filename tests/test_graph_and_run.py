@@ -185,3 +185,12 @@ def test_promotion_stream(spark, tmp_path):
         store._typed("staging", scored).write.mode("append").parquet(staging)
         start_promotion_stream(spark, staging, store, str(tmp_path / "pos")).awaitTermination()
         assert store.read("leads").count() == 4
+
+
+def test_run_logs_matches_below_the_usual_floor(spark, tmp_path):
+    store = S.TableStore(spark, str(tmp_path / "db"))
+    rows = [("Abcdefghixyz", "https://one.in", "a@one.in", None, JD, "web", "pune"),
+            ("Abcdefghiuvw", "https://two.in", "b@two.in", None, IM, "web", "pune")]
+    summary = lead_run(store, raw(spark, rows), errors(spark, 0), spark.range(4), AS_OF, "r1", threshold=75)
+    assert summary["merged_fuzzy"] == 1
+    assert [(r.score, r.verdict) for r in store.read("fuzzy_review").collect()] == [(75.0, "matched")]
