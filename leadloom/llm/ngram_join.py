@@ -280,7 +280,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row.
+    """``doc_id, n_shingles, component_id`` of every row: the components, not the links themselves.
 
     A set holds the distinct runs of ``shingle`` words (A-Z lower-cased) of the whole text; with
     fewer words the whole sequence is its one element; NULL and empty texts have the empty set
@@ -294,7 +294,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     Of its larger groups a node needs only some, the smallest (see ``signatures``); the nodes left
     in them, mostly large groups of near copies, are compared with the smallest node of their
     group, and what then still lies in different components pair by pair where sizes and sketches
-    allow it. Elements are compared as hashes, of 40 bits in the last test.
+    allow it. So similar pairs that already share a component may never be compared, and no list
+    or number of links can be had from here. Elements are compared as hashes, of 40 bits in the
+    last test.
     """
     # NULL ids take the largest number, so that joins keep them.
     own = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).alias("text"))
