@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bpe, html_text, line_dedup, lm_score, mixing, ngram_join, quality, secret_scan, topk, toxicity
+from leadloom.llm import bpe, html_text, line_dedup, lm_score, manifest, mixing, ngram_join, quality, secret_scan, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -190,3 +190,63 @@ SELECT * FROM (
 @query("op10_topk", TOPK_SQL)
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def crc_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text in SQL: eight shifts a byte, with the reversed polynomial."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    byte = "list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce({codes}, lambda a, c: {byte}, 4294967295::BIGINT), 4294967295)"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    framed = [f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("doc_id::VARCHAR", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(framed)})"
+
+
+def _levels_sql(name: str, base: str) -> str:
+    """Levels of the trees over the lists ``hs`` of ``base(g, hs)``: pairs hashed until one is left."""
+    return f"""
+{name}_up(g, lvl, hs) AS (
+  SELECT g, 0, hs FROM {base}
+  UNION ALL
+  SELECT g, lvl + 1, list_transform(range(0, (len(hs) + 1) // 2), lambda i: sha256(array_to_string(hs[(2 * i + 1)::INT:(2 * i + 2)::INT], '')))
+  FROM {name}_up WHERE len(hs) > 1
+), {name} AS MATERIALIZED (
+  SELECT g, list(hs ORDER BY lvl) AS levels, last(hs ORDER BY lvl)[1] AS top FROM {name}_up GROUP BY g
+)"""
+
+
+def _path_sql(levels: str, i: str) -> str:
+    return f"""list_transform(range(1, len({levels})), lambda l: {{'other': {levels}[l::INT][(xor({i} >> (l - 1)::INT, 1) + 1)::INT],
+    'right': ({i} >> (l - 1)::INT) & 1 = 0}})"""
+
+
+MANIFEST_SQL = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT doc_id, lang, {_leaf_sql('n_chars::VARCHAR')} AS leaf,
+    CASE WHEN {crc_sql('doc_id::VARCHAR')} % 7 = 0 THEN {_leaf_sql('(n_chars + 1)::VARCHAR')} END AS changed FROM documents
+), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves
+), lists AS (SELECT lang AS g, list(leaf ORDER BY i) AS hs FROM placed GROUP BY lang),
+{_levels_sql('trees', 'lists')},
+langs AS MATERIALIZED (SELECT g AS lang, top AS subroot, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS j FROM trees),
+tops AS (SELECT 0 AS g, list(subroot ORDER BY j) AS hs FROM langs HAVING count(*) > 0),
+{_levels_sql('crown', 'tops')},
+walks AS (
+  SELECT p.*, l.subroot, c.top AS root, list_concat({_path_sql('t.levels', 'p.i')}, {_path_sql('c.levels', 'l.j')}) AS path
+  FROM placed p JOIN trees t ON p.lang IS NOT DISTINCT FROM t.g JOIN langs l ON p.lang IS NOT DISTINCT FROM l.lang, crown c
+), folded AS (
+  SELECT *, sha256(array_to_string(list_transform(path, lambda s: coalesce(s.other, '')), '')) AS proof_sha256,
+    list_reduce(path, lambda h, s: sha256(CASE WHEN s.other IS NULL THEN h WHEN s.right THEN h || s.other ELSE s.other || h END), coalesce(changed, leaf)) AS folded_root
+  FROM walks
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
+
+
+@query("op11_merkle_manifest", MANIFEST_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    leaves = manifest.document_leaves(table(spark, sf_dir, "documents"), tampered)
+    return manifest.verify(manifest.manifest(leaves))
