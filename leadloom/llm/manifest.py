@@ -15,13 +15,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.llm.ordered import running
+from leadloom.llm.ordered import ranked
 from leadloom.llm.shared import stored
 
 # Binary digits of a block: 64 leaves, whose nested struct takes about 8 KB.
 DIGITS = 6
-# Alike rows are numbered together and told apart afterwards, this many at a time.
-COPIES = 4096
 _STEP = "struct<left: string, right: string>"
 
 
@@ -140,20 +138,6 @@ def _descend(levels: list[DataFrame], digits: int, tops: DataFrame) -> DataFrame
     raise ValueError("no levels")
 
 
-def ranked(leaves: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """Rows with ``r``, their place from 0 in the order of their group; fully alike rows in any order.
-
-    Alike rows are counted before they are dealt by order, so that no number of copies meets.
-    """
-    names = leaves.columns
-    counted = leaves.groupBy(*names).agg(F.count("*").alias("__n"))
-    placed = running(counted, group, order, __upto=("sum", F.col("__n")))
-    first, last = F.col("__upto") - F.col("__n"), F.col("__upto") - 1
-    chunks = placed.select(*names, F.explode(F.sequence(first, last, F.lit(COPIES))).alias("__from"), last.alias("__last"))
-    each = F.explode(F.sequence(F.col("__from"), F.least(F.col("__from") + COPIES - 1, "__last")))
-    return chunks.select(*names, each.alias("r"))
-
-
 def manifest(leaves: DataFrame, digits: int = DIGITS) -> Manifest:
     """Trees over ``leaves``: ``doc_id, lang, leaf, changed`` (any further digest, or NULL).
 

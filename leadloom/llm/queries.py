@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bpe, html_text, line_dedup, lm_score, manifest, mixing, ngram_join, quality, secret_scan, topk, toxicity
+from leadloom.llm import bpe, html_text, line_dedup, lm_score, manifest, mixing, ngram_join, quality, secret_scan, topk, toxicity, turn_trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -250,3 +250,47 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     leaves = manifest.document_leaves(table(spark, sf_dir, "documents"), tampered)
     return manifest.verify(manifest.manifest(leaves))
+
+
+TRIE_SQL = rf"""
+WITH t AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, {crc_sql('conv_id::VARCHAR')} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)
+), turns AS (
+  SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text FROM convs c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.pos, t.role, t.text FROM convs c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h
+), whole AS (
+  SELECT c.conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY part, pos) FILTER (part IS NOT NULL), []) AS s
+  FROM convs c LEFT JOIN turns USING (conv_id) GROUP BY c.conv_id
+), prefixes AS MATERIALIZED (
+  SELECT conv_id, d, len(s) AS n, sha256(to_json(s[1:d])::VARCHAR) AS k, CASE WHEN d > 0 THEN len(regexp_extract_all(s[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS w
+  FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1))::INT AS d FROM whole)
+), nodes AS MATERIALIZED (
+  SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, max(w) AS w,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256 FROM prefixes GROUP BY d, k
+), under AS MATERIALIZED (
+  SELECT DISTINCT a.d, a.k, b.d AS d2, b.k AS k2 FROM prefixes a JOIN prefixes b ON a.conv_id = b.conv_id AND b.d >= a.d
+), kids AS MATERIALIZED (
+  SELECT d, k, count(*) FILTER (d2 = d + 1) AS n_children FROM under GROUP BY d, k
+), sums AS (
+  SELECT u.d, u.k, sum((n.n_convs - 1) * n.w)::BIGINT AS saved_tokens, count(*) FILTER (c.n_children = 0) AS n_leaves
+  FROM under u JOIN nodes n ON n.d = u.d2 AND n.k = u.k2 JOIN kids c ON c.d = u.d2 AND c.k = u.k2 GROUP BY u.d, u.k
+), ups AS (
+  SELECT u.d2 AS d, u.k2 AS k, n.conv_id AS parent_conv_id FROM under u JOIN nodes n ON n.d = u.d AND n.k = u.k WHERE u.d2 = u.d + 1
+)
+SELECT conv_id, n.d::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM nodes n JOIN kids USING (d, k) JOIN sums USING (d, k) LEFT JOIN ups USING (d, k)
+"""
+
+
+@query("op13_turn_trie", TRIE_SQL)
+def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = turn_trie.turn_rows(table(spark, sf_dir, "conversations"))
+    base = F.col("conv_id") - F.col("conv_id") % 20
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    nodes, ends = turn_trie.trie(*turn_trie.rebuilt(rows, base, head, 3))
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    found = nodes.join(turn_trie.end_digests(ends), "key", "left").drop("key")
+    return found.withColumn("ends_sha256", F.coalesce("ends_sha256", none))
