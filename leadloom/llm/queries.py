@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bpe, html_text, line_dedup, lm_score, manifest, mixing, ngram_join, quality, secret_scan, topk, toxicity, turn_trie
+from leadloom.llm import (
+    bpe, discriminant, html_text, line_dedup, lm_score, manifest, mixing, ngram_join, quality,
+    secret_scan, topk, toxicity, turn_trie,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -294,3 +297,9 @@ def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.sha2(F.lit("").cast("binary"), 256)
     found = nodes.join(turn_trie.end_digests(ends), "key", "left").drop("key")
     return found.withColumn("ends_sha256", F.coalesce("ends_sha256", none))
+
+
+@query("op12_quality_discriminant")
+def op12_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = discriminant.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
