@@ -21,6 +21,7 @@ from leadloom.functions.names import (
 from leadloom.functions.text import blank_to_null
 from leadloom.operators.leads import as_of_column
 from leadloom.operators.similar import PREFIX, name_prefix, similar_names
+from leadloom.ranges import running_sum
 from leadloom.session import cut_lineage
 
 REVIEW_FLOOR = 80
@@ -374,27 +375,32 @@ def _assign(
     )
 
 
-def review_log(
-    resolution: Resolution, as_of, threshold: float = FUZZY_THRESHOLD, floor: float = REVIEW_FLOOR,
-) -> DataFrame:
-    """Comparisons of fuzzy-resolved records scoring at least ``floor``, or the threshold if that
-    is lower, with both verdicts.
-
-    Only comparisons the one-by-one run makes are listed: records not matched by phone,
-    against leaders that existed before them. Pairs under the floor are not formed at all
-    (see :func:`block_sizes` for how many comparisons a record stands for).
-    """
+def _near_lines(resolution: Resolution, least: float) -> DataFrame:
+    """Open records with every leader before them that scores at least ``least``."""
     open_rows = resolution.records.where(
         F.coalesce(F.col("match_type") != "phone", F.lit(True))
     ).select("seq", "company_name", "in_form", "in_norm")
     nodes = open_rows.groupBy(*_NODE).agg(F.count("*").alias("node_rows"))
     leaders = resolution.leaders.select("leader_name", "leader_seq", *_CAND)
-    pairs = similar_names(nodes.select(*_NODE), leaders.select(*_CAND).distinct(), min(floor, threshold))
+    pairs = similar_names(nodes.select(*_NODE), leaders.select(*_CAND).distinct(), least)
     near = pairs.join(leaders, _CAND).withColumn(
         "near", F.count("*").over(W.partitionBy(*_NODE))
     ).join(nodes, _NODE)
     earlier = F.col("leader_seq") < F.col("seq")
-    lines = skew.attach(open_rows, near, _NODE, "node_rows", on=earlier, fanout="near")
+    return skew.attach(open_rows, near, _NODE, "node_rows", on=earlier, fanout="near")
+
+
+def review_log(
+    resolution: Resolution, as_of, threshold: float = FUZZY_THRESHOLD, floor: float = REVIEW_FLOOR,
+) -> DataFrame:
+    """Comparisons of fuzzy-resolved records scoring at least ``floor``, or the threshold if that
+    is lower, with both verdicts.
+
+    Only comparisons the one-by-one run makes are listed: records not matched by phone,
+    against leaders that existed before them. Pairs under the floor are not formed at all; how
+    many there are of them is in :func:`review_counts`.
+    """
+    lines = _near_lines(resolution, min(floor, threshold))
     return lines.select(
         as_of_column(as_of).alias("timestamp"),
         F.lit("FUZZY_MATCH").alias("action"),
@@ -408,6 +414,34 @@ def review_log(
     )
 
 
+def review_counts(
+    resolution: Resolution, threshold: float = FUZZY_THRESHOLD,
+) -> DataFrame:
+    """``seq, comparisons, matched, not_matched`` of every record not matched by phone.
+
+    ``comparisons`` is what the one-by-one run scores: companies of the record's prefix block that
+    exist when it arrives. It is a running count of leaders along (prefix, arrival), so no pair is
+    formed; leaders that arrived together count as one event. ``matched`` is the number of
+    lines of :func:`review_log` at or above the threshold.
+    """
+    open_rows = resolution.records.where(F.coalesce(F.col("match_type") != "phone", F.lit(True)))
+    asks = open_rows.select(name_prefix(F.col("in_norm")).alias("prefix"), "seq").withColumn("turn", F.lit(0)).withColumn("n", F.lit(0).cast("bigint"))
+    # Short names stand against longer prefixes: at most four lengths.
+    lengths = [r[0] for r in asks.select(F.length("prefix").alias("l")).distinct().collect()]
+    cand = resolution.leaders.select("cand_norm", "leader_seq")
+    fits = F.filter(F.array(*[F.lit(k) for k in sorted(lengths)]).cast("array<int>"), lambda k: k <= F.length("cand_norm"))
+    led = (
+        cand.select(F.explode(F.transform(fits, lambda k: F.substring("cand_norm", F.lit(1), k))).alias("prefix"), F.col("leader_seq").alias("seq"))
+        .groupBy("prefix", "seq").agg(F.count("*").alias("n"))
+    )
+    # A record that founds a company is not compared with itself: at equal arrival it asks first.
+    events = asks.unionByName(led.withColumn("turn", F.lit(1)).select(asks.columns))
+    counted = running_sum(events, "prefix", ["seq", "turn"], F.col("n"), "comparisons").where("turn = 0").select("seq", "comparisons")
+    hits = _near_lines(resolution, threshold).groupBy("seq").agg(F.count("*").alias("matched"))
+    both = counted.join(hits, "seq", "left").withColumn("matched", F.coalesce("matched", F.lit(0)))
+    return both.withColumn("not_matched", F.col("comparisons") - F.col("matched"))
+
+
 def review_lines(log: DataFrame) -> DataFrame:
     """Pipe-separated text lines of the review log (pipes inside names escaped)."""
     escaped = lambda c: F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("|"), F.lit("\\|"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions.similarity import indel_ratio
+from leadloom.operators.tiles import tiled_names
 
 PREFIX = 3
 MIN_THRESHOLD = 70
@@ -109,11 +110,11 @@ def similar_names(incoming: DataFrame, candidates: DataFrame, threshold: float)
     The block rule is directed: the candidate's identity form starts with the incoming one's
     first three characters (or with all of it when shorter; an empty one fits everything).
     """
-    if not MIN_THRESHOLD <= threshold <= 100:
-        raise ValueError(
-            f"threshold must lie in {MIN_THRESHOLD}..100: below, segments shrink to nothing "
-            "and the join would compare everything with everything"
-        )
+    if not 0 < threshold <= 100:
+        raise ValueError("threshold must lie over 0 and up to 100")
+    if threshold < MIN_THRESHOLD:
+        # Segments shrink to nothing: blocks are compared in tiles.
+        return tiled_names(incoming, candidates, threshold, PREFIX)
     t = float(threshold)
     incoming, candidates = _spread(incoming, "in_form"), _spread(candidates, "cand_form")
     prefix = name_prefix(F.col("in_norm"))

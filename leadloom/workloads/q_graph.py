@@ -79,17 +79,31 @@ _NEAR = f"""near AS MATERIALIZED (
   JOIN (SELECT DISTINCT cand_form, normalized_name FROM reg) r ON starts_with(normalized_name, left(in_norm, 3)))"""
 
 
-@query("best_fuzzy", f"""
+def _best_sql(least):
+    return f"""
 WITH {REGISTRY}, {_NEAR}, best AS (
   SELECT in_form, in_norm, arg_min(dedup_key, (-score, company_name, dedup_key)) AS matched_key,
     arg_min(company_name, (-score, company_name, dedup_key)) AS matched_name, max(score) AS score
-  FROM near JOIN reg USING (cand_form, normalized_name) WHERE score >= 90 GROUP BY in_form, in_norm)
-SELECT seq, matched_key, matched_name, round(score, 6) AS fuzzy_score FROM ident JOIN best USING (in_form, in_norm) WHERE seq % 2 = 1""")
-def _(spark, sf):
-    best = R.best_fuzzy(_batch(spark, sf), _registry(spark, sf))
+  FROM near JOIN reg USING (cand_form, normalized_name) WHERE score >= {least} GROUP BY in_form, in_norm)
+SELECT seq, matched_key, matched_name, round(score, 6) AS fuzzy_score FROM ident JOIN best USING (in_form, in_norm) WHERE seq % 2 = 1"""
+
+
+def _best_rows(spark, sf, least):
+    best = R.best_fuzzy(_batch(spark, sf), _registry(spark, sf), least)
     return best.select("seq", "matched_key", "matched_name", F.round("fuzzy_score", 6).alias("fuzzy_score"))
 
 
+@query("best_fuzzy", _best_sql(90))
+def _(spark, sf):
+    return _best_rows(spark, sf, 90)
+
+
+@query("best_fuzzy_low", _best_sql(60))
+def _(spark, sf):
+    """Under the threshold at which names share a segment: blocks compared in tiles."""
+    return _best_rows(spark, sf, 60)
+
+
 # One-by-one resolution: the list of created nodes grows record by record. ``source`` picks the
 # records among ``ident``, ``order`` says in which order they arrive.
 def _resolved_sql(source: str = "SELECT * FROM ident", order: str = "seq", before: str = "") -> str:
@@ -152,6 +166,17 @@ def _(spark, sf):
     return log.drop("timestamp", "action").withColumn("score", F.round("score", 6))
 
 
+@query("review_counts", f"""
+WITH {_RESOLVED}
+SELECT seq, count(leader_key) AS comparisons, count(*) FILTER (WHERE s.score >= 90) AS matched,
+  count(leader_key) - count(*) FILTER (WHERE s.score >= 90) AS not_matched
+FROM resolved LEFT JOIN (leaders JOIN scores s USING (cand_form, cand_norm))
+  ON s.in_form = resolved.in_form AND s.in_norm = resolved.in_norm AND leader_seq < rn
+WHERE coalesce(match_type <> 'phone', true) GROUP BY seq""")
+def _(spark, sf):
+    return R.review_counts(R.resolve(_leads(spark, sf)))
+
+
 @query("review_lines", f"""
 WITH {REGISTRY}, {_NEAR}
 SELECT concat_ws('|', '2026-01-31T12:00:00', 'FUZZY_MATCH', replace(i.company_name, ' ', '\\|'), i.in_norm, r.company_name,

@@ -8,6 +8,7 @@ from leadloom.functions.names import fuzzy_normalize_company_name, normalize_com
 from leadloom.functions.similarity import indel_ratio
 from leadloom.operators import resolve as R
 from leadloom.operators.similar import similar_names
+from leadloom.ranges import numbered
 
 RECORD = "seq BIGINT, company_name STRING, phone STRING, website STRING"
 WORDS = ["Acme", "Acmee", "Hub", "Hubb", "Tech", "Data", "Dataa", "Bright", "Brite", "Nova"]
@@ -129,7 +130,7 @@ def test_similarity_join_equals_brute_force(spark):
     forms = sorted(forms)
     a = spark.createDataFrame(forms, "in_form STRING, in_norm STRING")
     b = spark.createDataFrame(forms, "cand_form STRING, cand_norm STRING")
-    for t in (75, 90):
+    for t in (30, 60, 69.5, 75, 90):
         got = {tuple(r)[:4] for r in similar_names(a, b, t).select("in_form", "in_norm", "cand_form", "cand_norm").collect()}
         want = {
             (f, n, g, m) for f, n in forms for g, m in forms
@@ -137,7 +138,7 @@ def test_similarity_join_equals_brute_force(spark):
         }
         assert got == want
     with pytest.raises(ValueError):
-        similar_names(a, b, 50)
+        similar_names(a, b, 0)
 
 
 def test_scores_of_known_pairs(spark):
@@ -194,3 +195,64 @@ def test_single_operators_against_registry(spark):
     assert best == {0: (naive.phone_key("7971671113"), 100.0), 1: ("dk-a", 100.0)}
     sizes = {r.seq: r.candidates for r in R.block_sizes(batch, registry).collect()}
     assert sizes == {0: 1, 1: 2, 2: 1, 3: 4}
+
+
+@pytest.mark.parametrize("threshold, seed", [(90, 41), (55, 42)])
+def test_counts_cover_every_comparison(spark, threshold, seed):
+    first, second = random_batch(40, seed), random_batch(110, seed + 10)
+    base = naive.resolve(as_dicts(first))
+    names = {r[0]: (r[1] or "").strip() or "Unknown" for r in first}
+    registry = [(k, names[s], naive.norm(names[s])) for s, k, m, _, _ in base if m is None]
+    stored = spark.createDataFrame(registry, "dedup_key STRING, company_name STRING, normalized_name STRING")
+    log = []
+    want_rows = naive.resolve(as_dicts(second), registry, threshold, log)
+    resolution = R.resolve(spark.createDataFrame(second, RECORD), stored, threshold)
+    assert outcome(resolution) == rounded(want_rows)
+    counts = R.review_counts(resolution, threshold).collect()
+    assert {r.seq for r in counts} == {s for s, _, m, _, _ in want_rows if m != "phone"}
+    assert sum(r.comparisons for r in counts) == len(log)
+    assert sum(r.matched for r in counts) == sum(s >= threshold for _, _, s in log)
+    assert all(r.comparisons == r.matched + r.not_matched for r in counts)
+    per_name = {}
+    for name, _, _ in log:
+        per_name[name] = per_name.get(name, 0) + 1
+    got = {}
+    name_of = {r[0]: r[1] for r in second}
+    for r in counts:
+        if r.comparisons:
+            got[name_of[r.seq]] = got.get(name_of[r.seq], 0) + r.comparisons
+    assert got == per_name
+
+
+def test_running_sum_of_a_group_that_spans_ranges(spark):
+    rows = [(g, i) for g, n in ((None, 5), ("a", 1), ("hot", 400), ("z", 3)) for i in range(n)]
+    out = numbered(spark.createDataFrame(rows, "g STRING, o INT").repartition(5), "g", ["o"], "place").collect()
+    assert sorted((str(r.g), r.o, r.place) for r in out) == sorted((str(g), i, i + 1) for g, i in rows)
+    assert numbered(spark.createDataFrame([], "g STRING, o INT"), "g", ["o"], "place").collect() == []
+
+
+def test_hot_prefix_is_compared_in_even_tiles(spark):
+    """One prefix owns all names: strips are equal and pairs of far lengths never meet."""
+    rng = random.Random(8)
+    forms = sorted({"abc" + "".join(rng.choices("xyz ", k=rng.choice([1, 4, 12, 40]))).rstrip() for _ in range(160)})
+    a = spark.createDataFrame([(f, f) for f in forms], "in_form STRING, in_norm STRING")
+    b = spark.createDataFrame([(f, f) for f in forms], "cand_form STRING, cand_norm STRING")
+    seen = []
+    import leadloom.operators.tiles as tiles
+
+    keep = tiles.stored
+
+    def spy(df):
+        out = keep(df)
+        seen.append(out)
+        return out
+
+    tiles.stored = spy
+    try:
+        pairs = tiles.tiled_names(a, b, 60, 3, strip=16).collect()
+    finally:
+        tiles.stored = keep
+    assert {(p.in_form, p.cand_form) for p in pairs} == {(f, g) for f in forms for g in forms if naive.ratio(f, g) >= 60}
+    sizes = sorted(r["count"] for r in seen[0].groupBy("strip").count().collect())
+    assert len(sizes) >= 8 and sizes[-1] == 16 and sizes[1:] == [16] * (len(sizes) - 1)
+    assert seen[2].count() < len(sizes) ** 2
