@@ -6,15 +6,18 @@ import logging
 from collections.abc import Iterable
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.constants import FUZZY_THRESHOLD
 from leadloom.operators.dedup import deduplicate
 from leadloom.operators.gates import failure_gate, promote, require_gate, staged_summary
-from leadloom.operators.graph import build_graph, check_constraints, graph_stats, write_stats
+from leadloom.operators.graph import graph_stats, write_stats
 from leadloom.operators.leads import filter_valid, raw_to_lead, score_leads
 from leadloom.operators.resolve import resolve, review_log
+from leadloom.sources.graph_store import ConcurrentWrite
 from leadloom.sources.tables import TableStore
 
 
@@ -47,13 +50,15 @@ def resolve_into_graph(
     store: TableStore, scored: DataFrame, as_of, threshold: float = FUZZY_THRESHOLD,
     log_review: bool = True,
 ) -> dict[str, int]:
-    """Resolve staged leads against the stored graph and write its next version."""
+    """Resolve staged leads against the stored graph and commit its next version.
+
+    Constraints are checked before the commit; a failed write leaves the version before in place.
+    """
     existing = store.read_graph()
     resolution = resolve(scored, existing.companies, threshold)
     resolved = resolution.records
-    store.write_graph(build_graph(resolved, as_of, existing))
+    store.upsert_graph(resolved, as_of)
     stored = store.read_graph()
-    check_constraints(stored)
     if log_review and threshold <= 100:
         store.append("fuzzy_review", review_log(resolution, as_of, threshold))
     stats = write_stats(resolved).first().asDict()
@@ -84,7 +89,7 @@ def lead_run(
     summary["graph_failed"] = 0
     try:
         summary.update(resolve_into_graph(store, staged, as_of, threshold))
-    except Exception:
+    except (PySparkException, Py4JJavaError, OSError, ValueError, ConcurrentWrite):
         log.exception("graph not written")
         summary["graph_failed"] = 1
     require_gate(failure_gate(errors, targets))

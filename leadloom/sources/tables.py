@@ -2,7 +2,8 @@
 
 There is no MERGE on plain parquet, so replaced tables are written as a new version folder;
 a version counts once its job has committed (``_SUCCESS``), and readers take the newest
-committed one. Readers of an older version keep their files.
+committed one. Readers of an older version keep their files. The seven graph tables change
+together, see :mod:`leadloom.sources.graph_store`.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from leadloom.operators.graph import Graph
 from leadloom.operators.report import dashboard_rows
 from leadloom.operators.resolve import review_lines
 from leadloom.schemas import FUZZY_REVIEW, GRAPH_TABLES, TABLES
+from leadloom.sources.graph_store import GraphStore
 
 
 class TableStore:
@@ -25,6 +27,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = {**TABLES, **GRAPH_TABLES, "fuzzy_review": FUZZY_REVIEW}
+        self.graph = GraphStore(spark, f"{self.root}/graph")
 
     # -- paths --------------------------------------------------------------------------
 
@@ -34,8 +37,8 @@ class TableStore:
         conf = self.spark._jsc.hadoopConfiguration()
         return hadoop_path.getFileSystem(conf), hadoop_path
 
-    def _versions(self, name: str) -> list[int]:
-        """Committed versions of a table, oldest first."""
+    def _folders(self, name: str, committed: bool = False) -> list[int]:
+        """Versions of a table, oldest first, with or without those whose job never ended."""
         fs, path = self._fs(f"{self.root}/{name}")
         if not fs.exists(path):
             return []
@@ -44,20 +47,30 @@ class TableStore:
         for status in fs.listStatus(path):
             label = status.getPath().getName()
             marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if label.startswith("v=") and fs.exists(marker):
+            if label.startswith("v=") and (not committed or fs.exists(marker)):
                 found.append(int(label[2:]))
         return sorted(found)
 
+    def _versions(self, name: str) -> list[int]:
+        return self._folders(name, committed=True)
+
+    @staticmethod
+    def _own(name: str) -> None:
+        if name in GRAPH_TABLES:
+            raise ValueError(f"{name} is part of the graph, which is written as a whole")
+
     def _path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v={version}"
 
     # -- reads --------------------------------------------------------------------------
 
     def exists(self, name: str) -> bool:
-        return bool(self._versions(name))
+        return self.graph.head() is not None if name in GRAPH_TABLES else bool(self._versions(name))
 
     def read(self, name: str) -> DataFrame:
         """Newest version of a table; an unwritten table is empty."""
+        if name in GRAPH_TABLES:
+            return self.graph.table(name)
         versions = self._versions(name)
         if not versions:
             return self.spark.createDataFrame([], self.schemas[name])
@@ -66,15 +79,16 @@ class TableStore:
     # -- writes -------------------------------------------------------------------------
 
     def overwrite(self, name: str, df: DataFrame) -> None:
-        """Replace a table by writing its next version."""
-        versions = self._versions(name)
-        nxt = versions[-1] + 1 if versions else 0
-        self._typed(name, df).write.mode("overwrite").parquet(self._path(name, nxt))
+        """Replace a table by writing its next version; a second writer of that version fails."""
+        self._own(name)
+        nxt = max(self._folders(name), default=-1) + 1
+        self._typed(name, df).write.mode("errorifexists").parquet(self._path(name, nxt))
 
     def append(self, name: str, df: DataFrame) -> None:
         """Append rows to the current version; appending nothing leaves the table as it is."""
+        self._own(name)
         versions = self._versions(name)
-        current = versions[-1] if versions else 0
+        current = versions[-1] if versions else max(self._folders(name), default=-1) + 1
         self._typed(name, df).write.mode("append").parquet(self._path(name, current))
 
     def ensure_all(self, names: list[str] | None = None) -> dict[str, bool]:
@@ -108,11 +122,15 @@ class TableStore:
     # -- graph --------------------------------------------------------------------------
 
     def read_graph(self) -> Graph:
-        return Graph(**{name: self.read(name) for name in Graph._fields})
+        return self.graph.read()
 
     def write_graph(self, graph: Graph) -> None:
-        for name in Graph._fields:
-            self.overwrite(name, getattr(graph, name))
+        """All seven tables in one commit."""
+        self.graph.replace(graph)
+
+    def upsert_graph(self, resolved: DataFrame, as_of) -> None:
+        """Resolved records into the graph: touched buckets only, in one commit."""
+        self.graph.upsert(resolved, as_of)
 
     def register_views(self, prefix: str = "") -> None:
         """Expose every stored table to ``spark.sql``."""

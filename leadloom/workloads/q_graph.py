@@ -10,7 +10,9 @@ from leadloom.operators import resolve as R
 from leadloom.operators.legacy import build_legacy_graph
 from leadloom.operators.leads import rescore_from_companies
 from leadloom.plans.lead_run import lead_run
+from leadloom.schemas import BREAKDOWN
 from leadloom.session import ensure_checkpoint_dir
+from leadloom.sources.graph_store import GraphStore
 from leadloom.sources.tables import TableStore
 from leadloom.workloads import adapters as A
 from leadloom.workloads.catalog import (
@@ -257,7 +259,7 @@ def _(spark, sf):
     return _company_rows(G.upsert_companies(_resolved(spark, sf), A.AS_OF))
 
 
-@query("company_upsert_existing", f"""
+_EXISTING_SQL = f"""
 WITH {_graph_sql(order="seq % 2, seq")}, old AS (SELECT DISTINCT entity_key AS dedup_key FROM rows WHERE {_FIRST}),
 new AS (SELECT DISTINCT entity_key AS dedup_key FROM rows WHERE {_SECOND}),
 late AS MATERIALIZED (SELECT *, rn AS o FROM rows)
@@ -267,7 +269,10 @@ SELECT entity_key AS dedup_key, arg_min(stored_name, o) AS company_name, arg_min
   CAST(arg_max(score, o) AS INT) AS lead_score,
   CASE WHEN entity_key IN (SELECT dedup_key FROM old) THEN '2026-01-30' ELSE '2026-01-31' END AS first_seen,
   CASE WHEN entity_key IN (SELECT dedup_key FROM new) THEN '2026-01-31' ELSE '2026-01-30' END AS last_seen
-FROM late GROUP BY entity_key""")
+FROM late GROUP BY entity_key"""
+
+
+@query("company_upsert_existing", _EXISTING_SQL)
 def _(spark, sf):
     yesterday = "2026-01-30 12:00:00"
     old = G.upsert_companies(_resolved(spark, sf, _FIRST), yesterday)
@@ -277,6 +282,19 @@ def _(spark, sf):
     )
 
 
+@query("company_upsert_delta", _EXISTING_SQL)
+def _(spark, sf):
+    """The same two batches through the stored graph, which rewrites touched buckets only."""
+    store = GraphStore(spark, f"{ensure_checkpoint_dir(spark)}/graph-{uuid.uuid4().hex}")
+    whole = F.from_json(F.to_json("lead_score_breakdown"), BREAKDOWN)
+    typed = lambda records: records.withColumn("lead_score_breakdown", whole)
+    store.upsert(typed(_resolved(spark, sf, _FIRST)), "2026-01-30 12:00:00")
+    store.upsert(typed(R.resolve(_leads(spark, sf).where(_SECOND), store.table("companies")).records), A.AS_OF)
+    return _company_rows(store.table("companies")).select(
+        "dedup_key", "company_name", "normalized_name", "phone", "email", "lead_score", "first_seen", "last_seen"
+    )
+
+
 @query("edges_listed_in", f"WITH {_graph_sql()} SELECT dedup_key, category FROM listed_in")
 def _(spark, sf):
     return G.listed_in(_resolved(spark, sf))
