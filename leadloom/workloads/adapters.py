@@ -90,7 +90,15 @@ UNION ALL SELECT 'TradeIndia', TRUE, 102
 ERRORS_SQL = """
 SELECT ' https://site' || CAST(o_orderkey % 6 AS STRING) || '.example.com ' AS url,
   'RobotsDisallowed' AS error_type, 'run-' || CAST(o_orderkey % 3 AS STRING) AS run_id
-FROM {orders} WHERE o_totalprice > 490000
+FROM {orders}
+"""
+
+# One crawl target per order; the urgent ones (about a fifth) failed.
+CRAWL_TARGETS_SQL = "SELECT 'target ' || CAST(o_orderkey AS STRING) AS name, TRUE AS enabled FROM {orders}"
+CRAWL_ERRORS_SQL = f"""
+SELECT 'https://target' || CAST(o_orderkey AS STRING) || '.example.com' AS url, TIMESTAMP '{AS_OF}' AS timestamp,
+  'Timeout' AS error_type
+FROM {{orders}} WHERE o_orderpriority = '1-URGENT'
 """
 
 
@@ -122,6 +130,14 @@ def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, ERRORS_SQL, "orders")
 
 
+def crawl_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, CRAWL_TARGETS_SQL, "orders")
+
+
+def crawl_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, CRAWL_ERRORS_SQL, "orders")
+
+
 def caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily request cap per domain: a few, for every fifth domain many."""
     return table(spark, sf_dir, "nation").select(

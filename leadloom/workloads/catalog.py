@@ -33,6 +33,7 @@ LISTINGS = A.LISTINGS_SQL.format(**_TABLES)
 FETCH_LOG = A.FETCH_LOG_SQL.format(**_TABLES)
 TARGETS = A.TARGETS_SQL.format(**_TABLES)
 ERRORS = A.ERRORS_SQL.format(**_TABLES)
+CRAWL_ERRORS = A.CRAWL_ERRORS_SQL.format(**_TABLES)
 LEGACY = A.LEGACY_SQL.format(leads=LEADS)
 
 EMAIL = K.EMAIL_PATTERN

@@ -16,6 +16,7 @@ from leadloom.sources.graph_store import GraphStore
 from leadloom.sources.tables import TableStore
 from leadloom.workloads import adapters as A
 from leadloom.workloads.catalog import (
+    CRAWL_ERRORS,
     EMAIL,
     IDENTITY,
     JUDGED,
@@ -452,19 +453,19 @@ SELECT (SELECT count(*) FROM leads) AS scraped, (SELECT count(*) FROM valid) AS
   count(*) FILTER (WHERE match_type IS NULL) AS created, count(*) FILTER (WHERE match_type = 'phone') AS merged_phone,
   count(*) FILTER (WHERE match_type = 'fuzzy') AS merged_fuzzy, count(*) FILTER (WHERE match_type = 'key') AS merged_key,
   (SELECT count(*) FROM listed_in) AS listed_in, (SELECT count(*) FROM sourced_from) AS sourced_from,
-  (SELECT count(*) FROM valid) AS promoted
+  (SELECT count(*) FROM valid) AS promoted, (SELECT count(*) FROM ({CRAWL_ERRORS})) AS error_rows,
+  (SELECT count(*) FROM resolved r JOIN scores s USING (in_form, in_norm) JOIN leaders USING (cand_form, cand_norm)
+   WHERE s.score >= 80 AND leader_seq < rn AND coalesce(match_type <> 'phone', true)) AS review_rows
 FROM resolved""")
 def _(spark, sf):
     """Clean, stage, resolve into stored graph tables, gate and promote, in a fresh store."""
     store = TableStore(spark, f"{ensure_checkpoint_dir(spark)}/batch-run-{uuid.uuid4().hex}")
-    errors = A.errors(spark, sf).where("run_id = 'none'").withColumn("timestamp", F.lit(A.AS_OF).cast("timestamp"))
     summary = lead_run(
-        store, A.leads(spark, sf), errors, A.targets(spark, sf), A.AS_OF, "run"
+        store, A.leads(spark, sf), A.crawl_errors(spark, sf), A.crawl_targets(spark, sf), A.AS_OF, "run"
     )
     names = ["scraped", "kept_after_validation", "rejected_duplicates", "invalid_records", "created",
              "merged_phone", "merged_fuzzy", "merged_key"]
-    counts = [F.lit(summary[n]).cast("bigint").alias(n) for n in names]
-    edges = [F.lit(summary[n]).cast("bigint").alias(n.lower()) for n in ("LISTED_IN", "SOURCED_FROM")]
-    return store.read("leads").agg(*[F.max(c).alias(n) for c, n in zip(counts, names)],
-                                   F.max(edges[0]).alias("listed_in"), F.max(edges[1]).alias("sourced_from"),
-                                   F.count("*").alias("promoted"))
+    counts = {n: summary[n] for n in names} | {n.lower(): summary[n] for n in ("LISTED_IN", "SOURCED_FROM")}
+    counts |= {"error_rows": store.read("scrape_errors").count(), "review_rows": store.read("fuzzy_review").count()}
+    literal = [F.max(F.lit(v).cast("bigint")).alias(n) for n, v in counts.items()]
+    return store.read("leads").agg(*literal, F.count("*").alias("promoted"))

@@ -7,9 +7,10 @@ from leadloom.operators import gates as G
 from leadloom.operators import report as H
 from leadloom.operators.leads import filter_valid, raw_to_lead, score_leads, seed_score
 from leadloom.plans.lead_run import clean_leads
-from leadloom.sources.tables import lead_rows, rejected_rows
+from leadloom.sources.tables import error_rows, lead_rows, rejected_rows
 from leadloom.workloads import adapters as A
 from leadloom.workloads.catalog import (
+    CRAWL_ERRORS,
     ERRORS,
     JUDGED,
     KEPT,
@@ -120,10 +121,10 @@ def _(spark, sf):
     return A.leads(spark, sf).select("seq", seed_score().alias("score"))
 
 
-@query("existing_keys", f"WITH {KEYED} SELECT DISTINCT dedup_key FROM keyed WHERE {present('dedup_key')} AND seq % 3 <> 0")
+@query("existing_keys", f"WITH {KEYED} SELECT DISTINCT dedup_key FROM keyed WHERE {present('dedup_key')}")
 def _(spark, sf):
     leads = _leads(spark, sf)
-    return D.existing_keys(leads.where("seq % 3 = 1"), leads.where("seq % 3 = 2"))
+    return D.existing_keys(leads.where("seq % 3 = 1"), leads.where("seq % 3 <> 1"))
 
 
 def _new_rows(key: str, where_old: str) -> str:
@@ -134,17 +135,17 @@ SELECT seq, {key} AS key FROM (SELECT *, row_number() OVER (PARTITION BY {key} O
 UNION ALL SELECT seq, {key} FROM keyed WHERE seq % 2 = 1 AND NOT {present(key)}"""
 
 
-@query("idempotent_append", f"WITH {KEYED} {_new_rows('dedup_key', 'seq % 2 = 0 AND seq % 3 = 0')}")
+@query("idempotent_append", f"WITH {KEYED} {_new_rows('dedup_key', 'seq % 2 = 0')}")
 def _(spark, sf):
     leads = _leads(spark, sf)
-    stored = D.existing_keys(leads.where("seq % 2 = 0 AND seq % 3 = 0"))
+    stored = D.existing_keys(leads.where("seq % 2 = 0"))
     return D.filter_new_rows(leads.where("seq % 2 = 1"), stored).select("seq", F.col("dedup_key").alias("key"))
 
 
-@query("filter_new_rows", f"WITH {KEYED} {_new_rows('phone', 'seq % 10 = 0')}")
+@query("filter_new_rows", f"WITH {KEYED} {_new_rows('phone', 'seq % 2 = 0')}")
 def _(spark, sf):
     leads = _leads(spark, sf)
-    stored = D.existing_keys(leads.where("seq % 10 = 0"), key_col="phone")
+    stored = D.existing_keys(leads.where("seq % 2 = 0"), key_col="phone")
     return D.filter_new_rows(leads.where("seq % 2 = 1"), stored, "phone").select("seq", F.col("phone").alias("key"))
 
 
@@ -216,22 +217,31 @@ def _(spark, sf):
     return G.run_summary(run.leads, run.scored, run.rejected, A.errors(spark, sf), run.invalid)
 
 
+_POINTS = {"has_phone": f"CASE WHEN {present('phone')} THEN 25 END", "has_email": f"CASE WHEN {present('email')} THEN 15 END",
+           "has_website": f"CASE WHEN {present('website')} THEN 15 END"}
+_CONTACT = " + ".join(f"coalesce({p}, 0)" for p in _POINTS.values())
+_ICP = "CASE WHEN category_slug IN ('building', 'machinery') OR city_slug IN ('nation_3', 'nation_7') THEN 10 ELSE 0 END"
+_JSON = " || ".join(f"""coalesce('"{n}":' || ({p}) || ',', '')""" for n, p in _POINTS.items())
+
+
 @query("lead_rows", f"""
 WITH {JUDGED}
-SELECT company_name, coalesce({_MARKED}, '') AS email, coalesce(phone, '') AS phone, coalesce(website, '') AS website,
-  coalesce(CAST(employee_count AS VARCHAR), '') AS employee_count, coalesce(revenue_band, '') AS revenue_band, dedup_key,
-  CAST(least(CASE WHEN {present('phone')} THEN 25 ELSE 0 END + CASE WHEN {present('email')} THEN 15 ELSE 0 END
-    + CASE WHEN {present('website')} THEN 15 ELSE 0 END + 10
-    + CASE WHEN category_slug IN ('building', 'machinery') OR city_slug IN ('nation_3', 'nation_7') THEN 10 ELSE 0 END, 100) AS VARCHAR) AS lead_score,
-  '2026-01-31T12:00:00' AS scraped_at
+SELECT company_name, coalesce(website, '') AS website, coalesce({_MARKED}, '') AS email, coalesce(phone, '') AS phone,
+  coalesce(address, '') AS address, coalesce(industry_code, '') AS industry_code, coalesce(CAST(employee_count AS VARCHAR), '') AS employee_count,
+  coalesce(revenue_band, '') AS revenue_band, source_url, '2026-01-31T12:00:00' AS scraped_at, dedup_key,
+  CAST(least({_CONTACT} + 10 + {_ICP}, 100) AS VARCHAR) AS lead_score,
+  '{{' || {_JSON} || '"contact":' || ({_CONTACT}) || ',"multi_source":"single","source_score":0,"recency":"today","recency_score":10,"icp_match":'
+    || {_ICP} || ',"total":' || least({_CONTACT} + 10 + {_ICP}, 100) || '}}' AS lead_score_breakdown, coalesce(category_slug, '') AS category_slug
 FROM judged WHERE reason IS NULL""")
 def _(spark, sf):
     """Flagship: convert, deduplicate, validate, score and flatten the whole lead table."""
     rows = lead_rows(clean_leads(A.leads(spark, sf), A.AS_OF, ICP_CATEGORIES, ICP_CITIES).scored)
-    return rows.select(
-        "company_name", "email", "phone", "website", "employee_count", "revenue_band", "dedup_key",
-        "lead_score", F.substring("scraped_at", 1, 19).alias("scraped_at"),
-    )
+    return rows.withColumn("scraped_at", F.substring("scraped_at", 1, 19))
+
+
+@query("error_rows", f"SELECT url, '2026-01-31T12:00:00' AS timestamp, error_type FROM ({CRAWL_ERRORS})")
+def _(spark, sf):
+    return error_rows(A.crawl_errors(spark, sf)).withColumn("timestamp", F.substring("timestamp", 1, 19))
 
 
 @query("rejected_rows", f"WITH {KEYED} SELECT *, '2026-01-31T12:00:00' AS timestamp FROM ({_REJECTED})")
