@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -113,6 +114,12 @@ class GraphStore:
         written = [n[7:] for n in self._names(path) if n.startswith("bucket=")]
         return dict.fromkeys(written, folder)
 
+    def _write_all(self, tables: dict[str, DataFrame], folder: str, base: dict | None) -> dict[str, dict[str, str]]:
+        """The tables do not depend on one another: their jobs run side by side."""
+        with ThreadPoolExecutor(len(tables)) as pool:
+            written = pool.map(lambda item: self._write(*item, folder, base), tables.items())
+            return dict(zip(tables, written, strict=True))
+
     def _check(self, written: dict[str, dict[str, str]]) -> None:
         """Uniqueness of company keys and node names. A key lies in one bucket, so the written ones tell."""
         keyed = []
@@ -126,7 +133,7 @@ class GraphStore:
     def replace(self, graph: G.Graph) -> dict:
         """All seven tables as the next version."""
         base, folder = self.head(), uuid.uuid4().hex
-        tables = {name: self._write(name, getattr(graph, name), folder, base) for name in G.Graph._fields}
+        tables = self._write_all(graph._asdict(), folder, base)
         self._check(tables)
         return self._commit(base, tables)
 
@@ -144,13 +151,13 @@ class GraphStore:
             "located_in": G.located_in(resolved, old.located_in),
             "sourced_from": G.sourced_from(resolved, as_of, old.sourced_from),
         }
-        tables = {name: self._write(name, df, folder, base) for name, df in fresh.items()}
         touched = dict.fromkeys(fresh, keys)
         for name, (edges, column) in _NAMES.items():
             made = {"listed_in": G.listed_in(resolved), "located_in": G.located_in(resolved), "sourced_from": G.sourced_from(resolved, as_of)}[edges]
             names = made.select(F.col(column).alias("name")).distinct()
             touched[name] = self._touched(names, "name", base)
-            tables[name] = self._write(name, names.unionByName(self.table(name, touched[name], base)).distinct(), folder, base)
+            fresh[name] = names.unionByName(self.table(name, touched[name], base)).distinct()
+        tables = self._write_all(fresh, folder, base)
         self._check(tables)
         if base is not None:
             for name, folders in base["tables"].items():

@@ -25,7 +25,7 @@ def records(spark, names, start=0, city="pune"):
 
 
 def resolved(spark, store, names, **more):
-    return resolve(records(spark, names, **more), store.table("companies")).records
+    return resolve(records(spark, names, **more), store.table("companies"), threshold=101).records
 
 
 def contents(graph):
