@@ -20,7 +20,7 @@ from leadloom.functions.names import (
 )
 from leadloom.functions.text import blank_to_null
 from leadloom.operators.leads import as_of_column
-from leadloom.operators.similar import PREFIX, name_prefix, similar_names
+from leadloom.operators.similar import PREFIX, indexed_names, name_prefix, similar_names
 from leadloom.ranges import running_sum
 from leadloom.session import cut_lineage
 
@@ -31,6 +31,18 @@ _NODE = ["in_form", "in_norm"]
 _CAND = ["cand_form", "cand_norm"]
 
 
+class RegistryIndex(NamedTuple):
+    """Stored companies ready to be matched, so that no name of them is normalized again.
+
+    ``leaders``: ``leader_key, leader_name, cand_form, cand_norm``; ``segments``: their
+    :func:`~leadloom.operators.similar.segment_index` made for the threshold ``made_for``.
+    """
+
+    leaders: DataFrame
+    segments: DataFrame
+    made_for: float
+
+
 class Resolution(NamedTuple):
     """``records``: input plus ``dedup_key, match_type, matched_name, fuzzy_score``.
 
@@ -209,14 +221,15 @@ def _elect_leaders(
 
 
 def resolve(
-    records: DataFrame, registry: DataFrame | None = None, threshold: float = FUZZY_THRESHOLD,
+    records: DataFrame, registry: DataFrame | RegistryIndex | None = None, threshold: float = FUZZY_THRESHOLD,
     max_rounds: int = 500, hot_rows: int = skew.HOT_ROWS, first_generation: int = FIRST_GENERATION,
 ) -> Resolution:
     """Resolve a batch as if records were upserted one by one in ``seq`` order.
 
     Each record sees the registry and every node created earlier in the batch: phone key
     first, then the best fuzzy name, then an equal identity key, else it creates a node.
-    A threshold above 100 turns fuzzy matching off.
+    A threshold above 100 turns fuzzy matching off. A large registry comes as a :class:`RegistryIndex`:
+    the batch then looks its names up in the stored segments instead of cutting up all companies.
 
     Records with the same identity form, key and phone flag are one *type*: only its first
     record can create a node, so the iteration runs over types and copies never meet. Large
@@ -236,7 +249,13 @@ def resolve(
         .withColumn("cand_norm", F.col("in_norm"))
     )
     types = cut_lineage(types)
-    known = as_leaders(registry) if registry is not None else None
+    index = None
+    if isinstance(registry, RegistryIndex):
+        known = registry.leaders.withColumn("leader_seq", F.lit(-1).cast("bigint"))
+        if registry.made_for <= threshold:
+            index = registry
+    else:
+        known = as_leaders(registry) if registry is not None else None
     everyone = lambda own: reduce(DataFrame.unionByName, own + ([known] if known is not None else []))
 
     edges = None
@@ -251,17 +270,13 @@ def resolve(
                 batch = types if low is None else types.where(F.col("seq") > low)
                 batch = batch if high is None else batch.where(F.col("seq") <= high)
                 if own or known is not None:
-                    batch = _unmatched(batch, everyone(own), threshold)
+                    batch = _unmatched(batch, own, known, threshold, index)
                 near = _type_edges(batch, None, threshold)
                 own += _elect_leaders(batch, near, None, max_rounds, hot_rows)
             leaders = everyone(own)
-            edges = cut_lineage(
-                similar_names(
-                    types.select(*_NODE).distinct(), leaders.select(*_CAND).distinct(), threshold
-                )
-            )
+            edges = cut_lineage(_near(types, own, known, threshold, index))
         else:
-            edges = _type_edges(types, known, threshold)
+            edges = _type_edges(types, known, threshold, index)
             leaders = everyone(_elect_leaders(types, edges, known, max_rounds, hot_rows))
     resolved = _assign(rows, types, leaders, edges, records.columns, hot_rows)
     # Node and edge tables, log and statistics all read the result: compute it once.
@@ -282,23 +297,38 @@ def _generation_cuts(types: DataFrame, first: int) -> list[float]:
     return sorted(set(types.approxQuantile("seq", shares, max(1e-5, first / total / 4))))
 
 
-def _type_edges(types: DataFrame, known: DataFrame | None, threshold: float) -> DataFrame:
+def _near(
+    names: DataFrame, own: list[DataFrame], known: DataFrame | None, threshold: float, index: RegistryIndex | None,
+) -> DataFrame:
+    """Similar names among ``own`` candidates and known companies, the latter from the index if there is one."""
+    nodes = names.select(*_NODE).distinct()
+    fresh = [c.select(*_CAND) for c in own]
+    if index is None:
+        fresh += [known.select(*_CAND)] if known is not None else []
+        return similar_names(nodes, reduce(DataFrame.unionByName, fresh).distinct(), threshold)
+    found = indexed_names(nodes, index.segments, index.made_for, threshold)
+    if not fresh:
+        return found
+    more = similar_names(nodes, reduce(DataFrame.unionByName, fresh).distinct(), threshold)
+    # A name may be both stored and new.
+    return found.unionByName(more.select(found.columns)).dropDuplicates([*_NODE, *_CAND])
+
+
+def _type_edges(
+    types: DataFrame, known: DataFrame | None, threshold: float, index: RegistryIndex | None = None,
+) -> DataFrame:
     """Similar names among the types themselves and towards known companies."""
-    candidates = types.select(*_CAND)
-    if known is not None:
-        candidates = candidates.unionByName(known.select(*_CAND))
-    return cut_lineage(
-        similar_names(types.select(*_NODE).distinct(), candidates.distinct(), threshold)
-    )
+    return cut_lineage(_near(types, [types], known, threshold, index))
 
 
-def _unmatched(batch: DataFrame, leaders: DataFrame, threshold: float) -> DataFrame:
+def _unmatched(
+    batch: DataFrame, own: list[DataFrame], known: DataFrame | None, threshold: float, index: RegistryIndex | None,
+) -> DataFrame:
     """Types of a generation that match no leader before it, by key or by name."""
-    keys = leaders.select(F.col("leader_key").alias("entity_key"))
+    before = own + ([known] if known is not None else [])
+    keys = reduce(DataFrame.unionByName, [d.select(F.col("leader_key").alias("entity_key")) for d in before])
     open_ = cut_lineage(batch.join(keys, "entity_key", "left_anti"))
-    near = similar_names(
-        open_.select(*_NODE).distinct(), leaders.select(*_CAND).distinct(), threshold
-    )
+    near = _near(open_, own, known, threshold, index)
     return cut_lineage(open_.join(near.select(*_NODE), _NODE, "left_anti"))
 
 

@@ -117,28 +117,51 @@ def similar_names(incoming: DataFrame, candidates: DataFrame, threshold: float)
         return tiled_names(incoming, candidates, threshold, PREFIX)
     t = float(threshold)
     incoming, candidates = _spread(incoming, "in_form"), _spread(candidates, "cand_form")
-    prefix = name_prefix(F.col("in_norm"))
-    is_long = F.length("in_norm") >= PREFIX
+    signed, index = probes(incoming, t), segment_index(candidates, t)
+    # Both sides carry whether the key holds a prefix; each kind is one join.
+    pairs = [signed.where(side).join(index.where(side), "sig") for side in ("blocked", "NOT blocked")]
+    drop = lambda df: df.select("in_form", "in_norm", "cand_form", "cand_norm")
+    return _scored(drop(pairs[0]).unionByName(drop(pairs[1])), t)
+
+
+def _signature(seg: Column, *more: Column) -> Column:
+    return F.xxhash64(*more, seg["lb"], seg["i"], seg["text"])
+
+
+def segment_index(candidates: DataFrame, t: float) -> DataFrame:
+    """``sig, blocked, cand_form, cand_norm``: where names sharing a segment meet.
+
+    Blocked signatures hold the name's prefix and serve incoming names that have a whole one; the others
+    serve shorter names, which fit any candidate starting like them. An index made for ``t`` serves every
+    threshold from ``t`` upwards.
+    """
     index = _index(candidates, t)
-    key = lambda seg, *more: F.xxhash64(*more, seg["lb"], seg["i"], seg["text"])
+    blocked = index.where(F.length("cand_norm") >= PREFIX).select(
+        _signature(F.col("seg"), name_prefix(F.col("cand_norm"))).alias("sig"), F.lit(True).alias("blocked"), "cand_form", "cand_norm")
+    return blocked.unionByName(index.select(_signature(F.col("seg")).alias("sig"), F.lit(False).alias("blocked"), "cand_form", "cand_norm"))
 
-    by_block = index.where(F.length("cand_norm") >= PREFIX).select(
-        "cand_form", "cand_norm", key(F.col("seg"), name_prefix(F.col("cand_norm"))).alias("sig")
-    )
-    long_probes = _probes(incoming.where(is_long), t).select(
-        "in_form", "in_norm", key(F.col("seg"), prefix).alias("sig")
-    )
-    anywhere = index.select("cand_form", "cand_norm", key(F.col("seg")).alias("sig"))
-    short_probes = _probes(incoming.where(~is_long), t).select(
-        "in_form", "in_norm", key(F.col("seg")).alias("sig")
-    )
-    pairs = (
-        long_probes.join(by_block, "sig")
-        .unionByName(short_probes.join(anywhere, "sig"))
-        .drop("sig")
-        .where(F.col("cand_norm").startswith(prefix) & _within_edits(t))
-        .distinct()
-    )
-    return pairs.withColumn("score", indel_ratio("in_form", "cand_form")).where(
-        F.col("score") >= F.lit(t)
-    )
+
+def probes(incoming: DataFrame, t: float) -> DataFrame:
+    """``sig, blocked, in_form, in_norm``: what an incoming name looks for in an index made for ``t``."""
+    is_long = F.length("in_norm") >= PREFIX
+    seg = F.col("seg")
+    whole = _probes(incoming.where(is_long), t).select(
+        _signature(seg, name_prefix(F.col("in_norm"))).alias("sig"), F.lit(True).alias("blocked"), "in_form", "in_norm")
+    return whole.unionByName(
+        _probes(incoming.where(~is_long), t).select(_signature(seg).alias("sig"), F.lit(False).alias("blocked"), "in_form", "in_norm"))
+
+
+def _scored(met: DataFrame, t: float) -> DataFrame:
+    """Pairs that met, verified: same block, within the edits, scoring at least ``t``."""
+    prefix = name_prefix(F.col("in_norm"))
+    pairs = met.where(F.col("cand_norm").startswith(prefix) & _within_edits(t)).distinct()
+    return pairs.withColumn("score", indel_ratio("in_form", "cand_form")).where(F.col("score") >= F.lit(t))
+
+
+def indexed_names(incoming: DataFrame, index: DataFrame, made_for: float, threshold: float) -> DataFrame:
+    """:func:`similar_names` against a stored :func:`segment_index` made for a threshold not over this one."""
+    if not MIN_THRESHOLD <= made_for <= threshold <= 100:
+        raise ValueError(f"an index made for {made_for} does not serve {threshold}")
+    wanted = probes(_spread(incoming, "in_form"), float(made_for))
+    met = wanted.join(index, ["sig", "blocked"]).select("in_form", "in_norm", "cand_form", "cand_norm")
+    return _scored(met, float(threshold))

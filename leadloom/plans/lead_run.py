@@ -54,8 +54,7 @@ def resolve_into_graph(
 
     Constraints are checked before the commit; a failed write leaves the version before in place.
     """
-    existing = store.read_graph()
-    resolution = resolve(scored, existing.companies, threshold)
+    resolution = resolve(scored, store.graph.index(), threshold)
     resolved = resolution.records
     store.upsert_graph(resolved, as_of)
     stored = store.read_graph()

@@ -4,6 +4,9 @@ A version is a small JSON file that lists, per table, the folder of every bucket
 bucket folders beside the old ones, checks the uniqueness constraints on what it wrote, and then
 creates the next version file, which only one writer can. Buckets that a batch does not touch keep
 their folders and files. A failed write leaves folders no version names; readers never see them.
+
+Beside the tables lies what resolution needs of the companies: their name forms and the segments of
+those. Name and form are fixed when a company is founded, so a write only adds the new ones.
 """
 
 from __future__ import annotations
@@ -18,9 +21,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.operators import graph as G
+from leadloom.operators.resolve import REVIEW_FLOOR, RegistryIndex, as_leaders
+from leadloom.operators.similar import segment_index
 from leadloom.schemas import GRAPH_TABLES
 
 BUCKETS = 32
+# What :func:`leadloom.operators.resolve.resolve` looks up, for thresholds from this one upwards.
+INDEX_FROM = REVIEW_FLOOR
+_FORMS = "leader_key STRING, leader_name STRING, cand_form STRING, cand_norm STRING"
+_SEGMENTS = "sig BIGINT, blocked BOOLEAN, cand_form STRING, cand_norm STRING"
 _NAMES = {"categories": ("listed_in", "category"), "cities": ("located_in", "city"), "source_nodes": ("sourced_from", "source")}
 
 
@@ -60,9 +69,9 @@ class GraphStore:
         finally:
             stream.close()
 
-    def _commit(self, base: dict | None, tables: dict[str, dict[str, str]]) -> dict:
+    def _commit(self, base: dict | None, tables: dict[str, dict[str, str]], index: list[str]) -> dict:
         version = 0 if base is None else base["version"] + 1
-        content = {"version": version, "buckets": self._count(base), "tables": tables}
+        content = {"version": version, "buckets": self._count(base), "tables": tables, "index": index, "index_from": INDEX_FROM}
         fs, at = self._fs(f"{self.root}/versions/{version:08d}.json")
         if fs.exists(at):
             raise ConcurrentWrite(f"version {version} of {self.root} was written by another run")
@@ -95,6 +104,14 @@ class GraphStore:
         head = version or self.head()
         return G.Graph(**{name: self.table(name, version=head) for name in G.Graph._fields})
 
+    def index(self) -> RegistryIndex:
+        """Forms and segments of all companies of the newest version, for :func:`resolve`."""
+        head = self.head() or {"index": []}
+        read = lambda name, schema: (
+            self.spark.read.schema(schema).parquet(*[f"{self.root}/data/{f}/{name}" for f in head["index"]]) if head["index"]
+            else self.spark.createDataFrame([], schema))
+        return RegistryIndex(read("forms", _FORMS), read("segments", _SEGMENTS), head.get("index_from", INDEX_FROM))
+
     # -- writes -------------------------------------------------------------------------
 
     def bucket(self, key: str | Column, base: dict | None) -> Column:
@@ -114,6 +131,14 @@ class GraphStore:
         written = [n[7:] for n in self._names(path) if n.startswith("bucket=")]
         return dict.fromkeys(written, folder)
 
+    def _write_index(self, founded: DataFrame, folder: str) -> None:
+        """Forms and segments of new companies; segments lie in order of signature, so that files tell their range."""
+        forms, path = founded.select("leader_key", "leader_name", "cand_form", "cand_norm"), f"{self.root}/data/{folder}"
+        forms.write.parquet(f"{path}/forms")
+        stored = self.spark.read.schema(_FORMS).parquet(f"{path}/forms")
+        segment_index(stored.select("cand_form", "cand_norm").distinct(), float(INDEX_FROM)).repartitionByRange("sig").sortWithinPartitions(
+            "sig").write.parquet(f"{path}/segments")
+
     def _write_all(self, tables: dict[str, DataFrame], folder: str, base: dict | None) -> dict[str, dict[str, str]]:
         """The tables do not depend on one another: their jobs run side by side."""
         with ThreadPoolExecutor(len(tables)) as pool:
@@ -135,7 +160,8 @@ class GraphStore:
         base, folder = self.head(), uuid.uuid4().hex
         tables = self._write_all(graph._asdict(), folder, base)
         self._check(tables)
-        return self._commit(base, tables)
+        self._write_index(as_leaders(graph.companies), folder)
+        return self._commit(base, tables, [folder])
 
     def upsert(self, resolved: DataFrame, as_of) -> dict:
         """Bring resolved records in: only buckets holding one of their keys or names are rewritten.
@@ -163,4 +189,6 @@ class GraphStore:
             for name, folders in base["tables"].items():
                 kept = {b: f for b, f in folders.items() if int(b) not in set(touched[name])}
                 tables[name] = kept | tables[name]
-        return self._commit(base, tables)
+        founded = resolved.where("match_type IS NULL").select(F.col("resolved_key").alias("dedup_key"), F.col("stored_name").alias("company_name"), F.col("in_norm").alias("normalized_name"))
+        self._write_index(as_leaders(founded), folder)
+        return self._commit(base, tables, [*(base or {"index": []})["index"], folder])

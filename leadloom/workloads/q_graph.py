@@ -296,6 +296,18 @@ def _(spark, sf):
     )
 
 
+@query("resolve_second_batch", f"""
+WITH {_resolved_sql(order="seq % 2, seq")}
+SELECT seq, resolved_key, match_type, round(score, 6) AS fuzzy_score FROM resolved WHERE {_SECOND}""")
+def _(spark, sf):
+    """A batch against stored companies, whose names are looked up in the persisted segment index."""
+    store = GraphStore(spark, f"{ensure_checkpoint_dir(spark)}/graph-{uuid.uuid4().hex}")
+    whole = F.from_json(F.to_json("lead_score_breakdown"), BREAKDOWN)
+    store.upsert(_resolved(spark, sf, _FIRST).withColumn("lead_score_breakdown", whole), A.AS_OF)
+    batch = R.resolve(_leads(spark, sf).where(_SECOND), store.index()).records
+    return batch.select("seq", "resolved_key", "match_type", F.round("fuzzy_score", 6).alias("fuzzy_score"))
+
+
 @query("edges_listed_in", f"WITH {_graph_sql()} SELECT dedup_key, category FROM listed_in")
 def _(spark, sf):
     return G.listed_in(_resolved(spark, sf))

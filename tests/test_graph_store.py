@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leadloom.operators import graph as G
 from leadloom.operators.resolve import resolve
+from leadloom.operators.similar import indexed_names
 from leadloom.schemas import BREAKDOWN
 from leadloom.sources.graph_store import ConcurrentWrite, GraphStore
 from leadloom.sources.tables import TableStore
@@ -133,3 +134,30 @@ def test_an_abandoned_version_is_passed_over(spark, tmp_path):
     (tmp_path / "db/leads/v=0").mkdir(parents=True)
     store.truncate("leads")
     assert store._versions("leads") == [1] and store.read("leads").count() == 0
+
+
+def test_second_batch_looks_names_up_in_the_stored_index(spark, tmp_path):
+    store = GraphStore(spark, str(tmp_path / "g"), buckets=4)
+    assert store.index().leaders.count() == 0
+    store.upsert(resolve(records(spark, NAMES + ["", "Ac"]), store.index()).records, AS_OF)
+    store.upsert(resolve(records(spark, ["Kestrel"], start=30), store.index()).records, AS_OF)
+    names = [n[:-1] + "x" for n in NAMES] + NAMES[:4] + ["", "A", "Kestrell", "Quite New"]
+    batch = records(spark, names, start=100).withColumn("website", F.lit(None).cast("string"))
+    pick = lambda r: sorted(map(str, r.records.select("seq", "resolved_key", "match_type", "matched_name", "fuzzy_score").collect()))
+    plain = pick(resolve(batch, store.table("companies"), 85))
+    assert pick(resolve(batch, store.index(), 85)) == plain
+    assert pick(resolve(batch, store.index(), 85, first_generation=4)) == plain
+    assert pick(resolve(batch, store.index(), 70)) == pick(resolve(batch, store.table("companies"), 70))
+    assert sum("fuzzy" in r for r in plain) >= 5
+
+
+def test_the_index_is_read_once_and_names_are_not_normalized_again(spark, tmp_path):
+    store = GraphStore(spark, str(tmp_path / "g"), buckets=4)
+    store.upsert(resolved(spark, store, NAMES), AS_OF)
+    index = store.index()
+    nodes = spark.createDataFrame([("acme works", "acme works")], "in_form STRING, in_norm STRING")
+    plan = indexed_names(nodes, index.segments, index.made_for, 90)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "regexp" not in plan
+    assert "regexp" not in index.leaders._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        indexed_names(nodes, index.segments, index.made_for, index.made_for - 5)
