@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from functools import cache
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from leadloom.constants import DESCRIPTOR_WORDS, LEGAL_WORDS, LEGACY_PHONE_COLUMNS
 from leadloom.functions.contacts import emails
@@ -23,9 +21,6 @@ from leadloom.functions.text import (
     strip,
 )
 
-# Ship the UDF by value, so executors need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def _without_words(name: Column | str, words: list[str]) -> Column:
     spaced = F.regexp_replace(F.lower(col(name)), r"(?U)[^\w\s]", " ")
@@ -86,23 +81,39 @@ def hash_bucket(text: Column | str, n: int, divide_by: int = 1) -> Column:
     return F.pmod(F.floor(idx / F.lit(divide_by)) if divide_by > 1 else idx, F.lit(n))
 
 
-@F.pandas_udf(StringType())
-def _ascii_fold(s: pd.Series) -> pd.Series:
-    fold = lambda v: unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode()
-    return s.map(fold, na_action="ignore")
+@cache
+def _decompositions() -> tuple[dict[str, str], dict[str, str]]:
+    """ASCII text of every character whose compatibility decomposition holds some: one letter, or more."""
+    single, several = {}, {}
+    for point in range(128, sys.maxunicode + 1):
+        ch = chr(point)
+        if unicodedata.decomposition(ch):
+            text = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode()
+            if text:
+                (single if len(text) == 1 else several)[ch] = text
+    return single, several
 
 
-def legacy_key(name: Column | str, website: Column | str) -> Column:
-    """md5 of the ASCII-folded lower-cased ``name|website`` (a NULL part reads ``None``).
+def ascii_fold(text: Column) -> Column:
+    """Text decomposed for compatibility with everything but ASCII left out. Built-in functions only.
 
-    Compatibility decomposition has no JVM built-in, so it runs as an Arrow UDF that gets a
-    value only for rows with non-ASCII text; all other rows pass NULL through it.
+    The table of decompositions becomes part of the plan: characters that keep one letter are
+    translated, the few that keep several are looked up where a text holds one.
     """
+    single, several = _decompositions()
+    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    looked_up = F.array_join(F.transform(chars, lambda c: F.when(c.rlike(r"^\p{ASCII}"), c).otherwise(F.coalesce(F.try_element_at(table, c), c))), "")
+    some = "[" + "".join(several) + "]"
+    whole = F.when(text.rlike(some), looked_up).otherwise(text)
+    return F.regexp_replace(F.translate(whole, "".join(single), "".join(single.values())), r"\P{ASCII}+", "")
+
+
+def legacy_key(name: Column | str, website: Column | str) -> Column:
+    """md5 of the ASCII-folded lower-cased ``name|website`` (a NULL part reads ``None``)."""
     part = lambda c: F.coalesce(col(c), F.lit("None"))
     raw = F.lower(strip(F.concat(part(name), F.lit("|"), part(website))))
-    is_ascii = raw.rlike(r"^\p{ASCII}*$")
-    folded = _ascii_fold(F.when(~is_ascii, raw))
-    return F.md5(F.coalesce(folded, raw))
+    return F.md5(F.when(raw.rlike(r"^\p{ASCII}*$"), raw).otherwise(ascii_fold(raw)))
 
 
 def legacy_phones(columns: list[str]) -> Column:

@@ -164,6 +164,19 @@ def _(spark, sf):
     return A.leads(spark, sf).select("seq", N.legacy_key("company_name", "website").alias("legacy_key"))
 
 
+_LINE = "split_part(coalesce(text, ''), chr(10), 1)"
+
+
+@query("legacy_key_folded", rf"""
+SELECT doc_id, md5(regexp_replace(strip_accents(lower({strip(f"{_LINE} || '|' || coalesce(source, 'None')")})), '[^\x00-\x7F]', '', 'g')) AS legacy_key
+FROM documents""")
+def _(spark, sf):
+    """Names in four languages: the first line of every document."""
+    name = F.split_part(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(1))
+    rows = A.table(spark, sf, "documents").select("doc_id", name.alias("name"), "source")
+    return rows.select("doc_id", N.legacy_key("name", "source").alias("legacy_key"))
+
+
 _CODE = f"upper(replace(replace({strip('industry')}, ' ', '_'), '/', '_'))"
 
 

@@ -217,3 +217,16 @@ def test_blocked(one):
             (404, ""), (429, "x" * 900), (503, "x" * 900), (None, None)]
     assert one(rows, is_blocked(), schema) == [True, False, False, True, True, False, True, True, False]
     assert one(rows[2:3], body_bytes(), schema) == [500]
+
+
+def test_ascii_fold_equals_the_decomposition_of_every_character(spark):
+    import sys
+    import unicodedata
+
+    points = [i for i in range(1, sys.maxunicode + 1) if unicodedata.decomposition(chr(i))] + [0xDF, 0x4E2D, 0x1F600]
+    rows = [(f"a{chr(i)}z{chr(i)}",) for i in points if not 0xD800 <= i < 0xE000]
+    df = spark.createDataFrame(rows, "v STRING")
+    folded = df.select("v", N.ascii_fold(F.col("v")).alias("out"))
+    assert "Python" not in folded._jdf.queryExecution().executedPlan().toString()
+    wrong = [r.v for r in folded.collect() if r.out != unicodedata.normalize("NFKD", r.v).encode("ascii", "ignore").decode()]
+    assert wrong == []
