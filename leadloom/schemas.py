@@ -60,3 +60,7 @@ GRAPH_TABLES = {
     "cities": "name STRING",
     "source_nodes": "name STRING",
 }
+QUOTA_TABLES = {
+    "request_counts": "date STRING, domain STRING, consumed BIGINT",
+    "request_decisions": "seq BIGINT, date STRING, domain STRING, allowed BOOLEAN",
+}

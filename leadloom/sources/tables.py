@@ -8,6 +8,8 @@ together, see :mod:`leadloom.sources.graph_store`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from leadloom.operators.extract import page_text
 from leadloom.operators.graph import Graph
 from leadloom.operators.report import dashboard_rows
 from leadloom.operators.resolve import review_lines
-from leadloom.schemas import FUZZY_REVIEW, GRAPH_TABLES, TABLES
+from leadloom.schemas import FUZZY_REVIEW, GRAPH_TABLES, QUOTA_TABLES, TABLES
 from leadloom.sources.graph_store import GraphStore
 
 
@@ -26,7 +28,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.schemas = {**TABLES, **GRAPH_TABLES, "fuzzy_review": FUZZY_REVIEW}
+        self.schemas = {**TABLES, **GRAPH_TABLES, "fuzzy_review": FUZZY_REVIEW, **QUOTA_TABLES}
         self.graph = GraphStore(spark, f"{self.root}/graph")
 
     # -- paths --------------------------------------------------------------------------
@@ -74,7 +76,8 @@ class TableStore:
         versions = self._versions(name)
         if not versions:
             return self.spark.createDataFrame([], self.schemas[name])
-        return self.spark.read.schema(self.schemas[name]).parquet(self._path(name, versions[-1]))
+        paths = [self._path(name, versions[-1]), *self._batch_paths(name, versions[-1])]
+        return self.spark.read.schema(self.schemas[name]).parquet(*paths)
 
     # -- writes -------------------------------------------------------------------------
 
@@ -91,6 +94,59 @@ class TableStore:
         current = versions[-1] if versions else max(self._folders(name), default=-1) + 1
         self._typed(name, df).write.mode("append").parquet(self._path(name, current))
 
+    # -- batches of a stream ------------------------------------------------------------
+
+    def _children(self, path: str) -> list[str]:
+        fs, at = self._fs(path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+    def _batch_paths(self, name: str, version: int, stream: str | None = None, but: int | None = None) -> list[str]:
+        """Folders of the complete batches that belong to a version of a table."""
+        root, out = f"{self.root}/{name}/batches/v={version}", []
+        for own in self._children(root):
+            for batch in self._children(f"{root}/{own}"):
+                wanted = stream in (None, own[7:]) and not (but is not None and own[7:] == stream and int(batch[6:]) == but)
+                if wanted and "_SUCCESS" in self._children(f"{root}/{own}/{batch}"):
+                    out.append(f"{root}/{own}/{batch}")
+        return out
+
+    def write_batch(self, name: str, stream: str, batch_id: int, choose: Callable[[DataFrame], DataFrame]) -> None:
+        """Add one batch of a stream to a table, in a folder of its own.
+
+        ``choose`` gets the table without this batch and returns the rows to add. A replayed batch
+        replaces its folder, so it adds the same rows again and none twice, whatever their keys.
+        """
+        self.ensure_all([name])
+        version = self._versions(name)[-1]
+        paths = [self._path(name, version), *self._batch_paths(name, version, stream, batch_id)]
+        before = self.spark.read.schema(self.schemas[name]).parquet(*paths)
+        rows = self._typed(name, choose(before))
+        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batches/v={version}/stream={stream}/batch={batch_id}")
+
+    def read_batches(self, name: str, stream: str) -> DataFrame:
+        """What a stream has added to the present version of a table."""
+        versions = self._versions(name)
+        paths = self._batch_paths(name, versions[-1], stream) if versions else []
+        if not paths:
+            return self.spark.createDataFrame([], self.schemas[name])
+        return self.spark.read.schema(self.schemas[name]).parquet(*paths)
+
+    # -- several tables as one version --------------------------------------------------
+
+    def overwrite_together(self, group: str, tables: dict[str, DataFrame]) -> None:
+        """Tables that change together: one version folder, complete once its marker is there."""
+        version = max(self._folders(group), default=-1) + 1
+        for name, df in tables.items():
+            self._typed(name, df).write.mode("errorifexists").parquet(f"{self._path(group, version)}/{name}")
+        fs, marker = self._fs(f"{self._path(group, version)}/_SUCCESS")
+        fs.create(marker, False).close()
+
+    def read_together(self, group: str, name: str) -> DataFrame:
+        versions = self._versions(group)
+        if not versions:
+            return self.spark.createDataFrame([], self.schemas[name])
+        return self.spark.read.schema(self.schemas[name]).parquet(f"{self._path(group, versions[-1])}/{name}")
+
     def ensure_all(self, names: list[str] | None = None) -> dict[str, bool]:
         """Create missing tables; returns {table: created now}."""
         created = {}

@@ -1,10 +1,15 @@
 """Frontier, quota, pagination and fetch-log queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from leadloom.functions.urls import page_url
 from leadloom.operators import frontier as R
 from leadloom.operators.report import early_stop_report
+from leadloom.plans.quota_run import quota_run
+from leadloom.session import ensure_checkpoint_dir
+from leadloom.sources.tables import TableStore
 from leadloom.workloads import adapters as A
 from leadloom.workloads.catalog import FETCH_LOG, LISTINGS, TARGETS, not_blank, query, strip
 
@@ -103,6 +108,21 @@ def _(spark, sf):
     return flagged.select("seq", "date", "domain", "allowed")
 
 
+@query("quota_two_runs", f"""
+WITH log AS ({FETCH_LOG}), {_CAPS}
+SELECT seq, log.date, log.domain, coalesce(row_number() OVER (PARTITION BY log.date, log.domain ORDER BY seq % 2, seq)
+  <= greatest(cap - coalesce(consumed, 0), 0), false) AS allowed
+FROM log LEFT JOIN caps USING (domain) LEFT JOIN prior ON prior.date = log.date AND prior.domain = log.domain""")
+def _(spark, sf):
+    """Half of the requests in one run, half in the next; the second starts from what the first consumed."""
+    store = TableStore(spark, f"{ensure_checkpoint_dir(spark)}/quota-{uuid.uuid4().hex}")
+    log = A.fetch_log(spark, sf).select("seq", "date", "domain")
+    no_rows = spark.createDataFrame([], store.schemas["request_decisions"])
+    store.overwrite_together("quota", {"request_counts": A.prior(spark, sf), "request_decisions": no_rows})
+    runs = [quota_run(store, log.where(half), A.caps(spark, sf), keep_days=100_000) for half in ("seq % 2 = 0", "seq % 2 = 1")]
+    return runs[0].unionByName(runs[1])
+
+
 @query("quota_report", f"""
 WITH log AS ({FETCH_LOG}), {_CAPS}, asked AS (SELECT date, domain, count(*) AS requested FROM log GROUP BY 1, 2)
 SELECT date, domain, coalesce(consumed, 0) + least(coalesce(requested, 0), greatest(coalesce(cap, 0) - coalesce(consumed, 0), 0)) AS used,

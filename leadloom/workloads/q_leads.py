@@ -1,5 +1,7 @@
 """Dedup, validation, scoring, promotion and report queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from leadloom.operators import dedup as D
@@ -7,7 +9,9 @@ from leadloom.operators import gates as G
 from leadloom.operators import report as H
 from leadloom.operators.leads import filter_valid, raw_to_lead, score_leads, seed_score
 from leadloom.plans.lead_run import clean_leads
-from leadloom.sources.tables import error_rows, lead_rows, rejected_rows
+from leadloom.session import ensure_checkpoint_dir, stored
+from leadloom.sources.tables import TableStore, error_rows, lead_rows, rejected_rows
+from leadloom.streaming.ingest import start_promotion_stream, stream_name
 from leadloom.workloads import adapters as A
 from leadloom.workloads.catalog import (
     CRAWL_ERRORS,
@@ -166,16 +170,35 @@ def _(spark, sf):
     return G.failure_gate(A.errors(spark, sf), A.targets(spark, sf), mode="urls")
 
 
-@query("promotion", f"""
+_PROMOTED = f"""
 WITH {JUDGED}, staged AS (SELECT * FROM judged WHERE reason IS NULL)
 SELECT seq, company_name, dedup_key FROM (
   SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY seq) AS rn FROM staged WHERE {present('dedup_key')})
 WHERE rn = 1 AND dedup_key NOT IN (SELECT dedup_key FROM keyed WHERE seq % 5 = 1 AND {present('dedup_key')})
-UNION ALL SELECT seq, company_name, dedup_key FROM staged WHERE NOT {present('dedup_key')}""")
+UNION ALL SELECT seq, company_name, dedup_key FROM staged WHERE NOT {present('dedup_key')}"""
+
+
+def _staged(leads):
+    """Cleaned leads as stored: promotion reads them several times."""
+    return stored(filter_valid(D.deduplicate(leads, A.AS_OF).kept).valid)
+
+
+@query("promotion", _PROMOTED)
+def _(spark, sf):
+    leads = _leads(spark, sf)
+    return G.promote(_staged(leads), leads.where("seq % 5 = 1")).select("seq", "company_name", "dedup_key")
+
+
+@query("promotion_stream", _PROMOTED)
 def _(spark, sf):
+    """The same as a stream over eight staged files, two of them in each micro-batch."""
     leads = _leads(spark, sf)
-    staged = filter_valid(D.deduplicate(leads, A.AS_OF).kept).valid
-    return G.promote(staged, leads.where("seq % 5 = 1")).select("seq", "company_name", "dedup_key")
+    root = f"{ensure_checkpoint_dir(spark)}/promotion-{uuid.uuid4().hex}"
+    store = TableStore(spark, f"{root}/db")
+    store.overwrite("leads", leads.where("seq % 5 = 1"))
+    store._typed("staging", _staged(leads)).repartition(8, "dedup_key", "seq").write.parquet(f"{root}/staged")
+    start_promotion_stream(spark, f"{root}/staged", store, f"{root}/position", files_per_batch=2).awaitTermination()
+    return store.read_batches("leads", stream_name(f"{root}/position")).select("seq", "company_name", "dedup_key")
 
 
 @query("fill_first_merge", f"""
