@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from leadloom.operators import graph as G
 from leadloom.operators.resolve import REVIEW_FLOOR, RegistryIndex, as_leaders
+from leadloom.operators.search import name_postings
 from leadloom.operators.similar import segment_index
 from leadloom.schemas import GRAPH_TABLES
 
@@ -29,6 +30,7 @@ BUCKETS = 32
 # What :func:`leadloom.operators.resolve.resolve` looks up, for thresholds from this one upwards.
 INDEX_FROM = REVIEW_FLOOR
 _FORMS = "leader_key STRING, leader_name STRING, cand_form STRING, cand_norm STRING"
+_POSTINGS = "gram STRING, dedup_key STRING"
 _SEGMENTS = "sig BIGINT, blocked BOOLEAN, cand_form STRING, cand_norm STRING"
 _NAMES = {"categories": ("listed_in", "category"), "cities": ("located_in", "city"), "source_nodes": ("sourced_from", "source")}
 
@@ -106,11 +108,18 @@ class GraphStore:
 
     def index(self) -> RegistryIndex:
         """Forms and segments of all companies of the newest version, for :func:`resolve`."""
-        head = self.head() or {"index": []}
-        read = lambda name, schema: (
-            self.spark.read.schema(schema).parquet(*[f"{self.root}/data/{f}/{name}" for f in head["index"]]) if head["index"]
-            else self.spark.createDataFrame([], schema))
-        return RegistryIndex(read("forms", _FORMS), read("segments", _SEGMENTS), head.get("index_from", INDEX_FROM))
+        made_for = (self.head() or {}).get("index_from", INDEX_FROM)
+        return RegistryIndex(self._indexed("forms", _FORMS), self._indexed("segments", _SEGMENTS), made_for)
+
+    def postings(self) -> DataFrame:
+        """Trigrams of all company names, for :func:`leadloom.operators.search.find_names`."""
+        return self._indexed("postings", _POSTINGS)
+
+    def _indexed(self, name: str, schema: str) -> DataFrame:
+        folders = (self.head() or {}).get("index", [])
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/data/{f}/{name}" for f in folders])
 
     # -- writes -------------------------------------------------------------------------
 
@@ -132,18 +141,22 @@ class GraphStore:
         return dict.fromkeys(written, folder)
 
     def _write_index(self, founded: DataFrame, folder: str) -> None:
-        """Forms and segments of new companies; segments lie in order of signature, so that files tell their range."""
+        """Forms, segments and name trigrams of new companies, the latter two in order, so that files tell their range."""
         forms, path = founded.select("leader_key", "leader_name", "cand_form", "cand_norm"), f"{self.root}/data/{folder}"
         forms.write.parquet(f"{path}/forms")
         stored = self.spark.read.schema(_FORMS).parquet(f"{path}/forms")
         segment_index(stored.select("cand_form", "cand_norm").distinct(), float(INDEX_FROM)).repartitionByRange("sig").sortWithinPartitions(
             "sig").write.parquet(f"{path}/segments")
+        name_postings(stored, "leader_key", "leader_name").repartitionByRange("gram").sortWithinPartitions("gram").write.parquet(f"{path}/postings")
 
-    def _write_all(self, tables: dict[str, DataFrame], folder: str, base: dict | None) -> dict[str, dict[str, str]]:
-        """The tables do not depend on one another: their jobs run side by side."""
-        with ThreadPoolExecutor(len(tables)) as pool:
+    def _write_all(self, tables: dict[str, DataFrame], founded: DataFrame, folder: str, base: dict | None) -> dict[str, dict[str, str]]:
+        """The tables and the index do not depend on one another: their jobs run side by side."""
+        with ThreadPoolExecutor(len(tables) + 1) as pool:
+            index = pool.submit(self._write_index, founded, folder)
             written = pool.map(lambda item: self._write(*item, folder, base), tables.items())
-            return dict(zip(tables, written, strict=True))
+            done = dict(zip(tables, written, strict=True))
+            index.result()
+            return done
 
     def _check(self, written: dict[str, dict[str, str]]) -> None:
         """Uniqueness of company keys and node names. A key lies in one bucket, so the written ones tell."""
@@ -158,9 +171,8 @@ class GraphStore:
     def replace(self, graph: G.Graph) -> dict:
         """All seven tables as the next version."""
         base, folder = self.head(), uuid.uuid4().hex
-        tables = self._write_all(graph._asdict(), folder, base)
+        tables = self._write_all(graph._asdict(), as_leaders(graph.companies), folder, base)
         self._check(tables)
-        self._write_index(as_leaders(graph.companies), folder)
         return self._commit(base, tables, [folder])
 
     def upsert(self, resolved: DataFrame, as_of) -> dict:
@@ -183,12 +195,11 @@ class GraphStore:
             names = made.select(F.col(column).alias("name")).distinct()
             touched[name] = self._touched(names, "name", base)
             fresh[name] = names.unionByName(self.table(name, touched[name], base)).distinct()
-        tables = self._write_all(fresh, folder, base)
+        founded = resolved.where("match_type IS NULL").select(F.col("resolved_key").alias("dedup_key"), F.col("stored_name").alias("company_name"), F.col("in_norm").alias("normalized_name"))
+        tables = self._write_all(fresh, as_leaders(founded), folder, base)
         self._check(tables)
         if base is not None:
             for name, folders in base["tables"].items():
                 kept = {b: f for b, f in folders.items() if int(b) not in set(touched[name])}
                 tables[name] = kept | tables[name]
-        founded = resolved.where("match_type IS NULL").select(F.col("resolved_key").alias("dedup_key"), F.col("stored_name").alias("company_name"), F.col("in_norm").alias("normalized_name"))
-        self._write_index(as_leaders(founded), folder)
         return self._commit(base, tables, [*(base or {"index": []})["index"], folder])

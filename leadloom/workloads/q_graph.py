@@ -9,9 +9,10 @@ from leadloom.operators import graph as G
 from leadloom.operators import resolve as R
 from leadloom.operators.legacy import build_legacy_graph
 from leadloom.operators.leads import rescore_from_companies
+from leadloom.operators.search import find_names, name_postings
 from leadloom.plans.lead_run import lead_run
 from leadloom.schemas import BREAKDOWN
-from leadloom.session import ensure_checkpoint_dir
+from leadloom.session import ensure_checkpoint_dir, stored
 from leadloom.sources.graph_store import GraphStore
 from leadloom.sources.tables import TableStore
 from leadloom.workloads import adapters as A
@@ -386,6 +387,19 @@ def _(spark, sf):
     return found.withColumns({c: F.array_join(c, ",") for c in ("categories", "sources")})
 
 
+# Pieces of the leads' own names, of one to seven characters, as search terms.
+_TERM = "substr(company_name, CAST(1 + seq % 9 AS INT), CAST(1 + seq % 7 AS INT))"
+
+
+@query("company_detail_indexed", f"""
+WITH {REGISTRY}, terms AS (SELECT DISTINCT {_TERM} AS term FROM leads)
+SELECT term, dedup_key, company_name FROM terms JOIN registry ON contains(lower(company_name), lower(term))""")
+def _(spark, sf):
+    companies = stored(_registry(spark, sf))
+    terms = A.leads(spark, sf).select(F.expr(_TERM).alias("term")).distinct()
+    return find_names(terms, companies, stored(name_postings(companies)))
+
+
 @query("rescore", f"""
 WITH {_graph_sql()}, n AS (SELECT entity_key, count(DISTINCT source) AS n FROM rows GROUP BY entity_key)
 SELECT seq, CASE WHEN {present('phone')} THEN 25 ELSE 0 END + CASE WHEN {present('email')} THEN 15 ELSE 0 END
