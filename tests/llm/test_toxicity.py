@@ -1,6 +1,9 @@
+import math
 import random
 import zlib
+from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from leadloom.llm import toxicity
@@ -56,11 +59,47 @@ def test_without_labels_or_documents(spark, docs):
         assert toxicity.score(docs([]), model, ["doc_id"]).collect() == []
 
 
-def test_order_and_cache_limits(monkeypatch, spark, docs):
+def sequential_ratio(top, gram, discount=0.75):
+    """Kneser-Ney one n-gram at a time, from the two classes' counts."""
+    if gram not in top[0] and gram not in top[1]:
+        return 0.0
+    p, seen = 1 / 5000, set(top[0]) | set(top[1])
+    for n in range(1, len(gram)):
+        longer = {g[-n - 1:] for g in seen}
+        parts = {g[1:] for g in longer}
+        follow = lambda part: sum(g[1:] == part for g in longer)
+        context = [x for x in parts if x[:-1] == gram[len(gram) - n:-1]]
+        p = (follow(gram[-n:]) - discount + discount * len(context) * p) / sum(map(follow, context))
+    out = []
+    for counts in top:
+        own = {g: k for g, k in counts.items() if g[:-1] == gram[:-1]}
+        out.append((max(own.get(gram, 0) - discount, 0) + discount * len(own) * p) / sum(own.values()) if own else p)
+    return math.log(out[1] / out[0])
+
+
+def test_ratios_against_sequential_models():
+    rnd = random.Random(2)
+    words = [["".join(rnd.choices("abé𝔸", k=rnd.randrange(1, 5))) for _ in range(40)] for _ in (0, 1)]
+    for order in (2, 3, 5):
+        top = [Counter(g for w in side for g in toxicity.grams(w, order)) for side in words]
+        names = sorted(set(top[0]) | set(top[1]) | {"x" * order})
+        model = toxicity._estimate(names, np.array([[c[g] for c in top] for g in names]), order)
+        asked = [*words[0], *words[1], "unseen", "bb", "a"]
+        want = [sum(sequential_ratio(top, g) for g in toxicity.grams(w, order)) for w in asked]
+        assert np.allclose(model.word_ratios(asked), want, atol=1e-4)
+
+
+def test_features_of_texts_scored_together(monkeypatch, spark, docs, clashing):
     df, labels, _ = data(spark, docs, 120)
     model = toxicity.fit_from_labels(df, labels)
-    words = toxicity.words_of(text(random.Random(9), 3))
-    want = model.features(words, toxicity._Ratios(model))
-    monkeypatch.setattr(toxicity, "CACHE", 3)
-    monkeypatch.setattr(toxicity, "GRAM_CACHE", 5)
-    assert model.features(words, toxicity._Ratios(model)) == want
+    some = clashing(df).withColumn("per_letter", F.lit("y")).withColumn("of_words", F.lit("z")).withColumn("row", F.lit(1))
+    want = {r.doc_id: r.toxic_score for r in toxicity.score(some, model, some.columns, name="toxic_score").collect()}
+    for r in df.collect():
+        words = toxicity.words_of(r.text)
+        value = model.word_ratios(words)
+        a, b = model.features([[], words, ["an"]])
+        assert math.isclose(a[1], value.sum() / (sum(map(len, words)) + len(words)), abs_tol=1e-9)
+        assert math.isclose(b[1], math.log(np.exp(value).mean()), abs_tol=1e-6)
+        assert a[0] == b[0] == 0
+        z = model.weights[0] + sum(w * (x - m) / s for w, x, m, s in zip(model.weights[1:], (a[1], b[1]), model.centre[:2], model.centre[2:], strict=True))
+        assert math.isclose(want[r.doc_id], 1 / (1 + math.exp(-z)), abs_tol=1e-9)
