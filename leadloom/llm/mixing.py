@@ -58,8 +58,10 @@ def mix(
 
     Every source runs through its shuffled documents ``repeats`` times. A document's virtual
     finish time is the size its source has used with it, divided by the source's target; the
-    entries of all sources, range-sorted by it, are cut at the total budget. There every source
-    stands at time 1, so the one entry per source that crosses it is taken in part.
+    entries of all sources, range-sorted by it, are cut at the total budget, the sum of all
+    targets: whoever is served early enough is taken, the one entry that crosses the budget in
+    part. Finish times up to 1 always fit, so no source misses its target by more than its next
+    entry, nor passes it by more than what the others' last entries left.
 
     plan: one row per input row: ``row`` (a unique number), ``doc_id, source, size,
     source_size, target, taken``. entries: ``row, doc_id, pass, finish, take, upto`` with the
@@ -87,14 +89,12 @@ def mix(
                                 (F.col("upto") - F.col("before") - F.col("size")).alias("start")))
     passes = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
     entries = plan.where("size > 0").select("*", passes.alias("pass"))
-    begin = F.col("pass") * F.col("source_size") + F.col("start")
-    take = F.least(F.col("size"), F.greatest(F.round("target").cast("bigint") - begin, F.lit(0)))
-    entries = entries.select(
-        "row", "doc_id", "pass", F.least((begin + F.col("size")) / F.col("target"), F.lit(1.0)).alias("finish"), take.alias("take")
-    ).where("take > 0")
+    finish = (F.col("pass") * F.col("source_size") + F.col("start") + F.col("size")) / F.col("target")
+    entries = entries.select("row", "doc_id", "pass", finish.alias("finish"), F.col("size").alias("take"))
     budget = targets.agg(F.sum(F.round("target").cast("bigint"))).first()[0] or 0
     queue = running_totals(entries, ["finish", "row", "pass"], upto="take")
-    queue = queue.where(F.col("upto") - F.col("take") < budget)
+    before = F.col("upto") - F.col("take")
+    queue = queue.where(before < budget).withColumn("take", F.least("take", budget - before)).withColumn("upto", F.least("upto", F.lit(budget)))
     taken = queue.groupBy("row").agg(F.sum("take").alias("taken"))
     out = plan.join(taken, "row", "left").select(
         "row", "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))

@@ -119,13 +119,16 @@ WITH RECURSIVE sized AS MATERIALIZED (
 ), targets AS (
   SELECT source, source_size, least((2 * source_size)::DOUBLE, level * weight) AS target FROM ranked, level
 ), runs AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY shuffle, doc_id, size
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM sized
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST, shuffle, doc_id, size) AS row,
+    sum(size) OVER (PARTITION BY source ORDER BY shuffle, doc_id, size ROWS UNBOUNDED PRECEDING) AS used FROM sized
+), queue AS (
+  SELECT row, size, sum(size) OVER (ORDER BY (pass * source_size + used) / target, row, pass ROWS UNBOUNDED PRECEDING) AS upto
+  FROM runs JOIN targets ON runs.source IS NOT DISTINCT FROM targets.source, (VALUES (0), (1)) p(pass) WHERE size > 0
+), taken AS (
+  SELECT row, sum(greatest(least(size, (SELECT sum(round(target)) FROM targets) - (upto - size)), 0)) AS taken FROM queue GROUP BY row
 )
-SELECT doc_id, size, source_size, target,
-  (least(size, greatest(round(target)::BIGINT - start, 0))
-   + least(size, greatest(round(target)::BIGINT - source_size - start, 0)))::BIGINT AS taken
-FROM runs JOIN targets USING (source)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM runs JOIN targets ON runs.source IS NOT DISTINCT FROM targets.source LEFT JOIN taken USING (row)
 """
 
 
@@ -172,7 +175,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit_from_labels(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, ["doc_id"]).select(
-        "doc_id", (toxicity.fold("doc_id") == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(toxicity.fold("doc_id") == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 TOPK_SQL = """

@@ -35,13 +35,28 @@ def check(df):
         assert r.source_size == sizes[r.source]
         assert math.isclose(r.target, want[r.source], rel_tol=1e-9, abs_tol=1e-9)
         taken[r.source] += r.taken
+    # The queue again, one entry after another.
+    budget, used, entered = sum(math.floor(w + 0.5) for w in want.values()), dict.fromkeys(sizes, 0), []
+    for again in (0, 1):
+        for r in sorted(rows, key=lambda r: r.row):
+            if r.size:
+                used[r.source] += r.size
+                entered.append((used[r.source] / r.target, r.row, again, r.size))
+    truth, left = dict.fromkeys((r.row for r in rows), 0), budget
+    for _, row, _, size in sorted(entered):
+        truth[row] += min(size, left)
+        left -= min(size, left)
+    assert {r.row: r.taken for r in rows} == truth
+    most = max((r.size for r in rows), default=0)
     for s in sizes:
-        assert abs(taken[s] - want[s]) <= 1
+        assert abs(taken[s] - want[s]) <= most * len(sizes)
+        assert taken[s] >= want[s] - max(r.size for r in rows if r.source == s) - 1
     queue = sorted(map(tuple, entries.select("finish", "row", "pass", "take", "upto").collect()))
     total = 0
     for finish, _, _, take, upto in queue:
         total += take
-        assert upto == total and 0 < finish <= 1
+        assert upto == total and finish > 0
+    assert total == budget
     return rows
 
 
