@@ -1,7 +1,8 @@
 """Training-data pipeline: five stages from raw documents to tokens.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet
-and read again as the next one's ``docs``. All but the last return the columns of documents.
+and read again as the next one's ``docs``. All but the last return the columns of documents, and
+carry further columns of theirs along, whatever their names (``__`` at the start is reserved).
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the limit; empty texts stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit_from_labels(docs, labels)
-    return toxicity.score(docs, model, docs.columns).where(F.col("score") < TOXIC_FROM).drop("score")
+    return toxicity.score(docs, model, docs.columns, name="__toxic").where(F.col("__toxic") < TOXIC_FROM).drop("__toxic")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,19 +47,19 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as the mix takes them: a row for each pass, the one at its source's end cut.
 
     Texts are joined to the takes by id and a hash of the text; documents without words take no
-    share and leave.
+    share and leave, and of rows alike in id and text one is mixed.
     """
     own = docs.withColumn("__key", F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string")))
     # Alike rows would meet one another's takes.
     own = own.dropDuplicates(["__key"])
     mixed = mixing.mix(own, mixing.word_count("text"), id_col="__key")
-    takes = mixed.entries.select(F.col("doc_id").alias("__key"), "take")
+    takes = mixed.entries.select(F.col("doc_id").alias("__key"), F.col("take").alias("__take"))
     words = mixing.word_count("text")
     joined = own.join(takes, "__key")
     # The text up to its take-th word: all but what remains after splitting off so many words.
-    rest = F.element_at(F.split(F.ltrim("text", F.lit(quality.SPACE)), quality.SPACES, (F.col("take") + 1).cast("int")), -1)
+    rest = F.element_at(F.split(F.ltrim("text", F.lit(quality.SPACE)), quality.SPACES, (F.col("__take") + 1).cast("int")), -1)
     part = F.rtrim(F.col("text").substr(F.lit(1), F.char_length("text") - F.char_length(rest)), F.lit(quality.SPACE))
-    cut = F.col("take") < words
+    cut = F.col("__take") < words
     text = F.when(cut, part).otherwise(F.col("text"))
     length = F.when(cut, F.char_length(part).cast("bigint")).otherwise(F.col("n_chars"))
     return joined.select(*[{"text": text, "n_chars": length}.get(c, F.col(c)).alias(c) for c in docs.columns])
