@@ -26,6 +26,8 @@ HOT = 16
 # Ids that may be broadcast to pick texts; beyond that the texts are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 PAIRS_PER_SALT = 1000
+# Groups just before its own that a member of a crowded group knows of.
+EARLIER = 16
 NO_ID = 2 ** 63 - 1
 
 
@@ -322,7 +324,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
         F.sum("n").alias("n"), F.first("size").alias("size"), F.min("crowd").alias("crowd"))
     member = member.join(heat.where("heat > spare").select(F.col("node").alias("b"), "scheme", (F.col("heat") - F.col("spare")).alias("due")), ["b", "scheme"])
     before = F.sum("n").over(W.partitionBy("b", "scheme").orderBy("crowd", "key")) - F.col("n")
-    member = stored(member.withColumn("before", before).where("before < due").select("key", "b", "size"))
+    member = stored(member.withColumn("before", before).where("before < due").select("key", "b", "size", "scheme", "crowd"))
     stars = member.join(member.groupBy("key").agg(F.min("b").alias("a")), "key").where("a <> b").select("a", "b")
     tried = stored(pairs.union(stars).distinct())
     links = stored(verified(tried, own, classes, shingle))
@@ -331,11 +333,18 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
         named = member.join(labels, member["b"] == labels["node"], "left").select(*member.columns, F.coalesce("component", "b").alias("component"))
         spans = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
         sketch = profile.groupBy(F.col("node").alias("b")).agg(F.first("sketch").alias("sketch"))
-        named = stored(named.join(spans, "key", "left_semi").join(sketch, "b"))
-        other = named.select("key", F.col("b").alias("a"), F.col("size").alias("sa"), F.col("sketch").alias("ka"), F.col("component").alias("ca"))
+        # Nodes apart meet in groups that span components only. Every node goes through its groups in one
+        # order; a pair that shares one of the last few before this group was listed there or earlier,
+        # in the first group of all that it shares for certain.
+        last = W.partitionBy("b", "scheme").orderBy("crowd", "key").rowsBetween(-EARLIER, -1)
+        named = named.join(spans, "key", "left_semi").withColumn("earlier", F.collect_list("key").over(last))
+        named = stored(named.join(sketch, "b").select("key", "b", "size", "component", "sketch", "earlier"))
+        other = named.select("key", F.col("b").alias("a"), F.col("size").alias("sa"), F.col("sketch").alias("ka"), F.col("component").alias("ca"),
+                             F.col("earlier").alias("ea"))
         differ = F.aggregate(F.zip_with("ka", "sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
         apart = other.join(named, "key").where(
-            F.expr("a < b AND ca <> component AND 4 * least(sa, size) >= 3 * greatest(sa, size)") & (7 * differ <= F.col("sa") + F.col("size")))
+            F.expr("a < b AND ca <> component AND 4 * least(sa, size) >= 3 * greatest(sa, size)") & (7 * differ <= F.col("sa") + F.col("size"))
+            & ~F.arrays_overlap("ea", "earlier"))
         apart = stored(apart.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
         if not apart.isEmpty():
             labels = stored(components(links.unionAll(verified(apart, own, classes, shingle))))
