@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from leadloom.llm.shared import stored
 from leadloom.llm.words import hash_words, mix, pack_set, similar, unpack_set
 
-# Lines match at Jaccard similarity 4/5 of their word sets; shorter lines are left alone.
+# Lines match at Jaccard similarity 4/5 of their word sets.
 NUMERATOR, DENOMINATOR = 4, 5
-LEAST_WORDS = 5
 # Slots of the table that ranks words by rarity: a fixed size, counted over all lines.
 SLOTS, BLOCK, TOGETHER = 2 ** 22, 2 ** 16, 64
 # Words per bucket: few, so that a line already meets about as many buckets as it has prefix words
@@ -46,12 +45,12 @@ class Chunk(NamedTuple):
     ids: list[tuple]
 
 
-def _chunk(texts: list[bytes], ids: list[tuple]) -> Iterator[Chunk]:
+def _chunk(texts: list[bytes], ids: list[tuple], least: int) -> Iterator[Chunk]:
     whole = b"\n".join(texts)
     hashes, starts = hash_words(whole)
     breaks = np.flatnonzero(np.frombuffer(whole, np.uint8) == 10)
     line = np.searchsorted(breaks, starts)
-    enough = np.bincount(line, minlength=len(breaks) + 1) >= LEAST_WORDS
+    enough = np.bincount(line, minlength=len(breaks) + 1) >= least
     chosen = np.flatnonzero(enough)
     offsets = np.cumsum([0] + [t.count(b"\n") + 1 for t in texts])
     doc = np.searchsorted(offsets, chosen, "right") - 1
@@ -64,8 +63,8 @@ def _chunk(texts: list[bytes], ids: list[tuple]) -> Iterator[Chunk]:
         yield Chunk(line[at] - lo, word[at], doc[lo:hi], number[lo:hi], ids)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[Chunk]:
-    """Lines of all texts; the last column is the text, those before it are kept as ids."""
+def _chunks(batches: Iterator[pa.RecordBatch], keys: int, least: int) -> Iterator[Chunk]:
+    """Lines of ``least`` or more words of all texts; the last column is the text, those before it are kept as ids."""
     texts: list[bytes] = []
     ids: list[tuple] = []
     size = 0
@@ -78,10 +77,10 @@ def _chunks(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[Chunk]:
                 ids.append(tuple(c[i] for c in columns))
                 size += len(text)
             if size >= CHUNK_BYTES:
-                yield from _chunk(texts, ids)
+                yield from _chunk(texts, ids, least)
                 texts, ids, size = [], [], 0
     if texts:
-        yield from _chunk(texts, ids)
+        yield from _chunk(texts, ids, least)
 
 
 def _nodes(line: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -100,14 +99,14 @@ def _nodes(line: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return digest, sizes, sketch
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
+def lines_of(docs: DataFrame, least: int = 1) -> DataFrame:
     """Every line with enough words and its set: ``doc_id, version, number, node``; and, in rows
     of their own, how many words of such lines fall into the slots of the table that ranks words
     by rarity: ``block, slots, counts``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int32)
         names = ["doc_id", "version", "number", "node", "block", "slots", "counts"]
-        for chunk in _chunks(batches, 2):
+        for chunk in _chunks(batches, 2, least):
             np.add.at(total, (chunk.word % np.uint64(SLOTS)).astype(np.int64), 1)
             packed = np.unique((chunk.line.astype(np.uint64) << np.uint64(40)) | chunk.word)
             node, _, _ = _nodes(packed >> np.uint64(40), packed & _LOW40)
@@ -153,7 +152,7 @@ def rarity(counted: DataFrame) -> tuple[np.ndarray, int]:
     return np.minimum(255, np.floor(8 * np.log2(counts + 1.0))).astype(np.uint8), int(counts.sum())
 
 
-def prefixes(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
+def prefixes(docs: DataFrame, classes: np.ndarray, buckets: int, least: int = 1) -> DataFrame:
     """The rarest words of every line, packed per bucket.
 
     Two sets at the threshold share a word among the first ``n - ceil(4n/5) + 1`` of each, in any
@@ -163,7 +162,7 @@ def prefixes(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = sent.value
-        for chunk in _chunks(batches, 1):
+        for chunk in _chunks(batches, 1, least):
             # One number sorts by line, then rarity, then hash, and names the word by its lower 48 bits.
             of_word = (rank[(chunk.word % np.uint64(SLOTS)).astype(np.int64)].astype(np.uint64) << np.uint64(40)) | chunk.word
             packed = np.unique((chunk.line.astype(np.uint64) << np.uint64(48)) | of_word)
@@ -335,18 +334,18 @@ def _later(links: DataFrame, firsts: DataFrame) -> DataFrame:
     return placed.select(F.when(F.col("at_a") < F.col("at_b"), F.col("b")).otherwise(F.col("a")).alias("node")).distinct()
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, least_words: int = 1) -> DataFrame:
     """``doc_id, version, numbers``: the lines of each document that match an earlier line.
 
     ``docs`` has ``doc_id, version, bytes``.
     """
-    read = stored(lines_of(docs))
+    read = stored(lines_of(docs, least_words))
     lines = read.where("block IS NULL").select("doc_id", "version", "number", "node")
     classes, total = rarity(read.where("block IS NOT NULL").select("block", "slots", "counts"))
     firsts = stored(lines.groupBy("node").agg(
         F.min(F.struct("doc_id", "version", "number")).alias("f"), F.count("*").alias("n")).select("node", "f.*", "n"))
     buckets = max(1, -(-total // BUCKET_ENTRIES))
-    met = stored(prefixes(docs, classes, buckets).groupBy("bucket").applyInPandas(lambda frame: meet(frame), MET))
+    met = stored(prefixes(docs, classes, buckets, least_words).groupBy("bucket").applyInPandas(lambda frame: meet(frame), MET))
     pairs = stored(met.where(F.col("kind") == PAIR).select("a", "b").distinct())
     later = stored(_later(_verified(pairs, docs, firsts), firsts))
 
@@ -381,23 +380,26 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return hit.groupBy("doc_id", "version").agg(F.collect_set("number").alias("numbers"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with repeated lines taken out of the text, and ``n_removed``.
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 1, name: str = "n_removed") -> DataFrame:
+    """All columns of ``docs`` with repeated lines taken out of the text, and their number ``name``.
 
     A line is removed if an earlier line, of the same or another document, has a similar set of
     words (white-space separated, A-Z lower-cased; Jaccard 4/5 or more). Earlier means a smaller
-    (id, line number), NULL ids first. Lines of fewer than five words are left as they are. NULL
-    texts stay NULL. Rows sharing an id are told apart by their text; rows alike in both count
-    as one document and lose the same lines. Nothing else of a text changes.
+    (id, line number), NULL ids first. Lines of fewer than ``least_words`` words, and those without
+    any, are left as they are. NULL texts stay NULL. Rows sharing an id are told apart by their
+    text; rows alike in both count as one document and lose the same lines. Nothing else of a text
+    changes. A column of ``docs`` called ``name`` is replaced; names starting with ``__`` are
+    reserved.
     """
-    names = [c for c in docs.columns if c not in (id_col, text_col)]
+    kept_columns = [c for c in docs.columns if c != name]
     version = F.xxhash64(F.col(text_col))
     # NULL ids take the smallest number, so that joins keep them.
     number = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-2 ** 63))
     own = docs.select(number.alias("doc_id"), version.alias("version"), F.col(text_col).cast("binary").alias("bytes"))
-    numbers = repeated_lines(own).select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("numbers").alias("__numbers"))
-    wide = docs.withColumn("__v", version).withColumn("__i", number)
-    joined = wide.join(numbers, (wide["__i"] == numbers["__id"]) & (wide["__v"] == numbers["__version"]), "left")
+    numbers = repeated_lines(own, max(1, least_words)).select(
+        F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("numbers").alias("__numbers"))
+    wide = docs.select(*kept_columns, version.alias("__v"), number.alias("__i"))
+    joined = wide.join(numbers, (F.col("__i") == F.col("__id")) & (F.col("__v") == F.col("__version")), "left")
 
     def without(lines: Column) -> Column:
         kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__numbers"))
@@ -405,5 +407,5 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     lines = F.element_at(F.transform(F.array(F.split(F.col(text_col), "\n", -1)), without), 1)
     text = F.when(F.col("__numbers").isNull(), F.col(text_col)).otherwise(lines)
-    out = joined.select(id_col, text.alias(text_col), *names, F.coalesce(F.when(F.col("__numbers").isNotNull(), F.size("__numbers")), F.lit(0)).alias("n_removed"))
-    return out.select(*docs.columns, "n_removed")
+    return joined.select(*[text.alias(c) if c == text_col else F.col(c) for c in kept_columns],
+                         F.coalesce(F.when(F.col("__numbers").isNotNull(), F.size("__numbers")), F.lit(0)).alias(name))

@@ -65,7 +65,7 @@ WITH l AS MATERIALIZED (
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents)
 ), sets AS MATERIALIZED (
   SELECT list_sort(s) AS s, len(s) AS n, min((doc_id, number)) AS first, row_number() OVER () AS k
-  FROM l WHERE n_words >= 5 GROUP BY list_sort(s), len(s)
+  FROM l WHERE n_words >= 1 GROUP BY list_sort(s), len(s)
 ), each AS MATERIALIZED (
   SELECT k, n, unnest(s) AS x FROM sets
 ), rare AS MATERIALIZED (
@@ -79,7 +79,7 @@ WITH l AS MATERIALIZED (
   WHERE a.first < b.first AND 5 * len(list_intersect(a.s, b.s)) >= 4 * (a.n + b.n - len(list_intersect(a.s, b.s)))
 ), judged AS (
   SELECT l.doc_id, l.number, l.line, coalesce(s.k IN (SELECT k FROM later) OR (l.doc_id, l.number) <> s.first, false) AS removed
-  FROM l LEFT JOIN sets s ON l.n_words >= 5 AND list_sort(l.s) = s.s
+  FROM l LEFT JOIN sets s ON l.n_words >= 1 AND list_sort(l.s) = s.s
 )
 SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (NOT removed), '') AS text, count_if(removed)::INT AS n_removed
 FROM judged GROUP BY doc_id

@@ -122,12 +122,12 @@ def test_components_of_paths_stars_and_rings(spark):
 # --- lines ------------------------------------------------------------------------------------
 
 
-def without_repeats(rows):
+def without_repeats(rows, least=1):
     lines = []
     for d, t in set(rows):
         for k, line in enumerate((t or "").split("\n")):
             w = words(line)
-            if len(w) >= 5:
+            if len(w) >= least:
                 lines.append(((d is not None, d or 0, 0), k, frozenset(w), t))
     gone = {}
     for d, k, s, t in lines:
@@ -181,12 +181,28 @@ def test_line_limits_change_nothing(docs, monkeypatch):
 def test_alike_rows_and_shared_ids(docs):
     text = "one two three four five six\nshort line"
     rows = [(1, text), (1, text), (1, "other words stand here now"), (2, text), (2, "One two three four FIVE six\nunlike the line above it")]
-    found = {tuple(r) for r in line_dedup.dedup(docs(rows)).select("doc_id", "text", "n_removed").collect()}
+    found = {tuple(r) for r in line_dedup.dedup(docs(rows), least_words=5).select("doc_id", "text", "n_removed").collect()}
     assert (1, text, 0) in found and (2, "short line", 1) in found and (2, "unlike the line above it", 1) in found
     assert line_dedup.dedup(docs([])).collect() == []
     assert [r.text for r in line_dedup.dedup(docs([(1, None)])).collect()] == [None]
 
 
+def test_short_lines(docs):
+    rows = [(1, "Click here now\nhome"), (2, "click HERE now\n\n\nown words"), (3, "Home\n1 2 3 4 5"), (4, "5 4 3 2 1")]
+    for least in (1, 3, 5):
+        found = line_dedup.dedup(docs(rows), least_words=least).select("doc_id", "text", "n_removed").collect()
+        assert sorted(map(tuple, found), key=str) == without_repeats(rows, least)
+
+
+def test_a_column_called_like_the_count_is_replaced(docs):
+    rows = docs([(1, "a b c d e\na b c d e"), (2, "f")]).withColumn("n_removed", F.lit("x")).withColumn("numbers", F.lit("y"))
+    out = line_dedup.dedup(rows)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "numbers", "n_removed"]
+    assert {(r.doc_id, r.text, r.n_removed, r.numbers) for r in out.collect()} == {(1, "a b c d e", 1, "y"), (2, "f", 0, "y")}
+    other = line_dedup.dedup(rows, name="__gone")
+    assert {(r.doc_id, r.n_removed, r["__gone"]) for r in other.collect()} == {(1, "x", 1), (2, "x", 0)}
+
+
 def test_columns_stay(docs):
     out = line_dedup.dedup(docs([(1, "a b c d e\na b c d e")]).withColumn("extra", F.lit(3)))
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "extra", "n_removed"]
