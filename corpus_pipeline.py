@@ -27,9 +27,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines seen earlier. A document left without a word was made of such lines
     and goes; one that lost nothing stays as it is."""
-    found = line_dedup.dedup(docs)
-    left = (F.col("n_removed") == 0) | F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    length = F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    found = line_dedup.dedup(docs, name="__removed")
+    left = (F.col("__removed") == 0) | F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    length = F.when(F.col("__removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return found.where(left).withColumn("n_chars", length).select(*docs.columns)
 
 
