@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.llm.shared import stored
-from leadloom.llm.words import hash_words, mix, pack_set, similar, unpack_set
+from leadloom.llm.words import hash_words, mix, similar
 
 # Lines match at Jaccard similarity 4/5 of their word sets.
 NUMERATOR, DENOMINATOR = 4, 5
@@ -31,6 +31,12 @@ PAIRS_PER_SALT = 1000
 _LOW40, _LOW48 = (np.uint64((1 << n) - 1) for n in (40, 48))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    values = np.sort(values)
+    return values[np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1]))]
+
+
 class Chunk(NamedTuple):
     """Lines with enough words, of one or more documents, as flat arrays.
 
@@ -83,8 +89,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], keys: int, least: int) -> Iterato
         yield from _chunk(texts, ids, least)
 
 
-def _nodes(line: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Digest, size and 128-bit parity sketch of every line's set; pairs are distinct, by line.
+def _nodes(line: np.ndarray, word: np.ndarray, sketches: bool = True) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Digest, size and, if asked, 128-bit parity sketch of every line's set; pairs are distinct, by line.
 
     Each word flips one bit of the sketch, so sets whose sketches differ in d bits differ in at
     least d words.
@@ -94,6 +100,8 @@ def _nodes(line: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     with np.errstate(over="ignore"):
         total = np.add.reduceat(mix(word), starts)
         digest = mix(total + sizes.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)).view(np.int64)
+        if not sketches:
+            return digest, sizes, []
         bit, low = np.uint64(1) << (word & np.uint64(63)), (word & np.uint64(64)) == 0
         sketch = [np.bitwise_xor.reduceat(np.where(side, bit, np.uint64(0)), starts).view(np.int64) for side in (low, ~low)]
     return digest, sizes, sketch
@@ -107,9 +115,11 @@ def lines_of(docs: DataFrame, least: int = 1) -> DataFrame:
         total = np.zeros(SLOTS, np.int32)
         names = ["doc_id", "version", "number", "node", "block", "slots", "counts"]
         for chunk in _chunks(batches, 2, least):
-            np.add.at(total, (chunk.word % np.uint64(SLOTS)).astype(np.int64), 1)
-            packed = np.unique((chunk.line.astype(np.uint64) << np.uint64(40)) | chunk.word)
-            node, _, _ = _nodes(packed >> np.uint64(40), packed & _LOW40)
+            slots = np.sort((chunk.word % np.uint64(SLOTS)).astype(np.uint32))
+            ends = np.append(np.flatnonzero(slots[1:] != slots[:-1]), len(slots) - 1)
+            total[slots[ends]] += np.diff(ends, prepend=-1).astype(np.int32)
+            packed = distinct((chunk.line.astype(np.uint64) << np.uint64(40)) | chunk.word)
+            node, _, _ = _nodes(packed >> np.uint64(40), packed & _LOW40, sketches=False)
             at = pa.array(chunk.doc)
             none = [pa.nulls(len(node), t) for t in (pa.int32(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
@@ -165,7 +175,7 @@ def prefixes(docs: DataFrame, classes: np.ndarray, buckets: int, least: int = 1)
         for chunk in _chunks(batches, 1, least):
             # One number sorts by line, then rarity, then hash, and names the word by its lower 48 bits.
             of_word = (rank[(chunk.word % np.uint64(SLOTS)).astype(np.int64)].astype(np.uint64) << np.uint64(40)) | chunk.word
-            packed = np.unique((chunk.line.astype(np.uint64) << np.uint64(48)) | of_word)
+            packed = distinct((chunk.line.astype(np.uint64) << np.uint64(48)) | of_word)
             line = (packed >> np.uint64(48)).astype(np.int64)
             node, sizes, sketch = _nodes(line, packed & _LOW40)
             place = np.arange(len(packed)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -305,7 +315,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame
                 for x in asked:
                     i = x["number"]
                     if i not in sets:
-                        sets[i] = pack_set(np.unique(hash_words(lines[i])[0]))
+                        sets[i] = distinct(hash_words(lines[i])[0]).tobytes()
                     out.append((x["node"], x["a"], x["salt"], x["turn"], sets[i]))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(
                 (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["node", "a", "salt", "turn", "features"])
@@ -316,8 +326,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame
             found = []
             for node, a, turn, raw in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), batch.column(4), strict=True):
                 if turn == 0:
-                    lead, own = a, unpack_set(raw.as_py())
-                elif lead == a and similar(own, unpack_set(raw.as_py()), NUMERATOR, DENOMINATOR):
+                    lead, own = a, np.frombuffer(raw.as_py(), np.uint64)
+                elif lead == a and similar(own, np.frombuffer(raw.as_py(), np.uint64), NUMERATOR, DENOMINATOR):
                     found.append((a, node))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
