@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from leadloom.llm.topk import top_k
@@ -46,3 +47,27 @@ def test_small_tables(spark, clashing):
     assert found(vectors(spark, [(100, [1.0])])) == set()
     rows = [(0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 2.0])]
     assert found(clashing(vectors(spark, rows))) == brute(rows)
+
+
+def test_repeated_ids_are_rows_of_their_own(spark):
+    rows = [(100, [1.0, 0.0]), (100, [0.0, 1.0]), (100, [0.0, 1.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (8, [-1.0, 0.5])]
+    want = []
+    for i, (q, v) in enumerate(rows):
+        if q == 100:
+            scored = sorted((-sum(int(1024 * a) * int(1024 * b) for a, b in zip(v, u)), c) for j, (c, u) in enumerate(rows) if j != i)
+            want += [(q, r, c, -s) for r, (s, c) in enumerate(scored[:4], 1)]
+    for blocks in (1, 10):
+        got = top_k(vectors(spark, rows).repartition(2), F.col("vec_id") % 100 == 0, k=4, candidates=blocks, queries=1, dims=1)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_large_components_are_exact_or_raise(spark):
+    rnd = random.Random(7)
+    # Sums beyond doubles; sums whose bound exceeds 64 bits though they cancel out.
+    rows = [(i, [rnd.choice([-1, 1]) * (3e5 + i) for _ in range(40)]) for i in range(120)]
+    assert found(vectors(spark, rows)) == brute(rows)
+    rows = [(0, [3e12, 3e12, 1.0]), (1, [3e12, -3e12, 5.0]), (2, [1.0, 1.0, 1.0])]
+    assert found(vectors(spark, rows)) == brute(rows)
+    for odd in ([(0, [1e7] * 4096), (1, [1e7] * 4096)], [(0, [1.0]), (1, [1e300])]):
+        with pytest.raises(Exception, match="64 bits"):
+            found(vectors(spark, odd))
