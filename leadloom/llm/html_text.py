@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -32,7 +33,10 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 # Contents that are no text: skipped up to the end tag.
 RAW_TAGS = frozenset("script style title textarea xmp iframe noembed noframes".split())
 HIDDEN_TAGS = frozenset("head noscript template svg math canvas object audio video map button select datalist dialog".split())
-AROUND_TAGS = frozenset("nav footer aside form menu search fieldset".split())
+AROUND_TAGS = frozenset("nav footer aside menu search fieldset".split())
+# What a form is filled in with; a form is article text from so many characters per control on.
+CONTROL_TAGS = frozenset("input select textarea button".split())
+FORM_TEXT = 300
 MAIN_TAGS = frozenset("article main".split())
 AROUND_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
 AROUND_NAMES = frozenset("""
@@ -55,6 +59,7 @@ _TAG = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_HIDDEN_TYPE = re.compile(r"""type\s*=\s*["']?hidden""", re.I)
 _WORD_EDGE = re.compile(r"^\W+|\W+$")
 
 
@@ -62,8 +67,9 @@ _WORD_EDGE = re.compile(r"^\W+|\W+$")
 class Block:
     text: str
     linked: int
-    path: tuple[int, ...]
+    shared: int  # enclosing block elements it has in common with the block before it
     main: int
+    form: int
     around: bool
     tag: str
     label: str = ""
@@ -87,6 +93,8 @@ def _around(name: str, tag: str, name_end: int) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")):
         return True
+    if name == "main":
+        return False
     for whole in (*attrs.get("class", "").split(), attrs.get("id", "")):
         parts = [p.lower() for p in _NAME_PARTS.findall(whole)]
         if not parts or LOOSE_NAMES.intersection(parts):
@@ -104,10 +112,12 @@ def blocks(html: str) -> list[Block]:
     the page once.
     """
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, bool, int]] = []  # name, number, around, header, main before
+    stack: list[tuple[str, bool, bool, int, int]] = []  # name, around, header, main and form before
+    held: list[str] = []  # open block elements
+    controls: dict[int, int] = {}  # of every form
     open_tags: dict[str, int] = {}
     pieces: list[str] = []
-    state = {"around": 0, "header": 0, "links": 0, "linked": 0, "main": 0, "number": 0, "heading": 0}
+    state = {"around": 0, "header": 0, "links": 0, "linked": 0, "main": 0, "number": 0, "heading": 0, "form": 0, "low": 0}
     quotes = {'"': True, "'": True}
     breaks = 0
 
@@ -116,18 +126,21 @@ def blocks(html: str) -> list[Block]:
         pieces.clear()
         if text:
             around = state["around"] > 0 or (state["header"] > 0 and not (state["main"] and state["heading"]))
-            held = [e for e in stack if e[0] in BLOCK_TAGS]
-            out.append(Block(text, state["linked"], tuple(e[1] for e in held), state["main"], around, held[-1][0] if held else ""))
+            out.append(Block(text, state["linked"], state["low"], state["main"], state["form"], around, held[-1] if held else ""))
+            state["low"] = len(held)
         state["linked"] = 0
 
     def pop() -> None:
-        name, _, around, header, main = stack.pop()
+        name, around, header, main, form = stack.pop()
         open_tags[name] -= 1
+        if name in BLOCK_TAGS:
+            held.pop()
+            state["low"] = min(state["low"], len(held))
         state["around"] -= around
         state["header"] -= header
         state["links"] -= name == "a"
         state["heading"] -= name in HEADINGS
-        state["main"] = main
+        state["main"], state["form"] = main, form
 
     def close(name: str) -> None:
         if open_tags.get(name):
@@ -199,6 +212,8 @@ def blocks(html: str) -> list[Block]:
         if tag[1] == "/":
             close(name)
             continue
+        if name in CONTROL_TAGS and state["form"] and not _HIDDEN_TYPE.search(tag):
+            controls[state["form"]] += 1
         if name in RAW_TAGS:
             end = re.compile(f"</{re.escape(name)}", re.I).search(html, pos)
             if end is None:
@@ -222,7 +237,12 @@ def blocks(html: str) -> list[Block]:
             continue
         around = _around(name, tag, m.end() - i)
         state["number"] += 1
-        stack.append((name, state["number"], around, name == "header", state["main"]))
+        stack.append((name, around, name == "header", state["main"], state["form"]))
+        if block:
+            held.append(name)
+        if name == "form":
+            state["form"] = state["number"]
+            controls[state["form"]] = 0
         open_tags[name] = open_tags.get(name, 0) + 1
         state["around"] += around
         state["header"] += name == "header"
@@ -231,6 +251,13 @@ def blocks(html: str) -> list[Block]:
         if name in MAIN_TAGS or name == "div" and 'role="main"' in tag:
             state["main"] = state["main"] or state["number"]
     flush()
+    # A form is judged by what it holds itself: fields with labels, or a page wrapped in a form.
+    written = dict.fromkeys(controls, 0)
+    for b in out:
+        if b.form:
+            written[b.form] += len(b.text) - min(b.linked, len(b.text))
+    for b in out:
+        b.around = b.around or b.form > 0 and written[b.form] < FORM_TEXT * max(1, controls[b.form])
     return out
 
 
@@ -239,44 +266,54 @@ def classify(found: list[Block], stop_words: frozenset[str] = STOP_WORDS) -> Non
 
     First pass, by the block alone: surroundings and blocks of links are bad; long blocks with
     many stop words are good; short ones, and those with few stop words inside an article, are
-    open. Second pass: an open block takes the label of the nearest decided block before or after
+    open. On a page whose language has none of the stop words, length alone decides among blocks
+    without links. Second pass: an open block takes the label of the nearest decided block before or after
     it: the one sharing more enclosing blocks, then of the same kind of element, then (for a
     heading) the one that follows, then the one fewer blocks away, then the bad one. Inside an article only its own blocks count, and without any the block is good.
     """
+    density = []
     for b in found:
         words = [_WORD_EDGE.sub("", w).lower() for w in b.text.split()]
-        stops = sum(w in stop_words for w in words) / len(words)
+        density.append(sum(w in stop_words for w in words) / len(words))
+    # Where no block of text has enough stop words, they are of other languages than the page.
+    foreign = all(stops < STOP_LOW for b, stops in zip(found, density, strict=True) if not b.around and len(b.text) >= SHORT)
+    for b, stops in zip(found, density, strict=True):
         if b.around:
             b.label = "bad"
         elif b.linked > LINKS_MOST * len(b.text):
             b.label = "bad"
         elif len(b.text) < SHORT:
             b.label = ""
+        elif foreign and not b.main:
+            b.label = "good" if len(b.text) > LONG else ""
         elif stops >= STOP_HIGH or len(b.text) > LONG and stops >= STOP_LOW:
             b.label = "good"
         elif stops >= STOP_LOW or b.main:
             b.label = ""
         else:
             b.label = "bad"
-    decided, before, after = None, [], []
-    for i, b in enumerate(found):
-        before.append(decided)
-        decided = i if b.label else decided
-    decided = None
-    for i in range(len(found) - 1, -1, -1):
-        after.append(decided)
-        decided = i if found[i].label else decided
-    after.reverse()
+    # Nearest decided block on either side, and how many enclosing elements are shared with it: as
+    # many as all blocks up to it share with the one before them.
+    sides: list[list[tuple[int, int]]] = [[], []]
+    for out, order in zip(sides, (range(len(found)), range(len(found) - 1, -1, -1)), strict=True):
+        decided, common, step = -1, 0, order.step
+        for i in order:
+            if decided >= 0:
+                common = min(common, found[max(i, i - step)].shared)
+            out.append((decided, common))
+            if found[i].label:
+                decided, common = i, sys.maxsize
+    before, after = sides[0], sides[1][::-1]
     labels = []
     for i, b in enumerate(found):
         if b.label:
             labels.append(b.label)
             continue
         best = None
-        for j in (before[i], after[i]):
-            if j is None or b.main and (found[j].main != b.main or found[j].around):
+        for j, common in (before[i], after[i]):
+            if j < 0 or b.main and (found[j].main != b.main or found[j].around):
                 continue
-            rank = (-_shared(b.path, found[j].path), b.tag != found[j].tag, b.tag in HEADINGS and j < i, abs(i - j), found[j].label)
+            rank = (-common, b.tag != found[j].tag, b.tag in HEADINGS and j < i, abs(i - j), found[j].label)
             if best is None or rank < best:
                 best = rank
         labels.append(best[-1] if best else "good")
@@ -289,15 +326,6 @@ def classify(found: list[Block], stop_words: frozenset[str] = STOP_WORDS) -> Non
                 b.label = "bad"
 
 
-def _shared(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    n = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        n += 1
-    return n
-
-
 def main_text(html: str | None, stop_words: frozenset[str] = STOP_WORDS) -> str:
     found = blocks(html or "")
     classify(found, stop_words)

@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from leadloom.llm.html_text import blocks, extract, main_text
@@ -61,3 +64,61 @@ def test_rows(spark, clashing):
     rows = sorted(map(tuple, extract(clashing(df)).collect()), key=str)
     assert rows == [(1, "u", ""), (1, "u", PROSE), (None, None, "")]
     assert extract(df.limit(0)).collect() == []
+
+
+SIMPLE = "the cat is on the mat and it was good to be there with us "
+
+
+def test_a_page_wrapped_in_a_form_is_judged_by_its_controls():
+    page = f"<form><input type=hidden name=s><p>{SIMPLE * 12}</p><p>{SIMPLE * 3}</p><input name=q></form>"
+    assert main_text(page) == f"{(SIMPLE * 12).strip()}\n{(SIMPLE * 3).strip()}"
+    fields = "<form><label>Name</label><input><p>" + SIMPLE * 4 + "</p><textarea>x</textarea></form>"
+    assert main_text(fields) == ""
+    assert main_text(f"<p>{SIMPLE * 5}</p>{fields}") == (SIMPLE * 5).strip()
+
+
+def test_main_is_no_surrounding_by_its_class():
+    assert main_text(f'<main class="modal-open"><p>{SIMPLE * 5}</p></main>') == (SIMPLE * 5).strip()
+    assert main_text(f'<main hidden><p>{SIMPLE * 5}</p></main>') == ""
+
+
+def test_languages_without_listed_stop_words():
+    text = "это длинный русский текст о том как жили люди " * 8
+    page = f"<div><a href=x>меню</a></div><div><p>{text}</p><p>коротко</p></div><div><a href=y>{text}</a></div>"
+    assert main_text(page) == f"{text.strip()}\nкоротко"
+
+
+def test_shared_elements_are_those_of_the_tree():
+    rnd, paths, parts, number = random.Random(3), [], [], [0]
+
+    def grow(path):
+        for _ in range(rnd.randrange(1, 5)):
+            if len(path) < 6 and rnd.random() < 0.6:
+                number[0] += 1
+                parts.append("<div>")
+                grow((*path, number[0]))
+                parts.append("</div>")
+            else:
+                number[0] += 1
+                parts.append(f"<p>word{number[0]}</p>")
+                paths.append((*path, number[0]))
+
+    while len(paths) < 200:
+        grow(())
+    found = blocks("".join(parts))
+    assert len(found) == len(paths)
+    for i in range(len(paths)):
+        low = len(paths)
+        for j in range(i + 1, min(i + 30, len(paths))):
+            low = min(low, found[j].shared)
+            assert low == next((n for n, (x, y) in enumerate(zip(paths[i], paths[j])) if x != y), 0)
+
+
+def test_deep_pages_of_many_blocks_take_time_in_proportion():
+    def seconds(n):
+        start = time.process_time()
+        main_text("<div>text" * n)
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(40_000) < 30 * max(seconds(4_000), 0.02)
